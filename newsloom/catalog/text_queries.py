@@ -181,10 +181,10 @@ corpus AS (SELECT count(*) AS docs FROM clean WHERE clean <> ''),
 features AS (SELECT term, sum(tf)::BIGINT AS n, count(*) AS df FROM terms GROUP BY term ORDER BY n DESC, term LIMIT {FEATURES}),
 idf AS (SELECT term, n, df, log10(docs / df::DOUBLE) AS idf FROM features, corpus),
 weighted AS (SELECT t.doc_id, t.term, t.tf, t.tf * i.idf AS tfidf FROM terms t JOIN idf i ON t.term = i.term),
-scored AS (SELECT doc_id, term, tfidf / sqrt(sum(tfidf * tfidf) OVER (PARTITION BY doc_id)) AS score
+term_scores AS (SELECT doc_id, term, tfidf / sqrt(sum(tfidf * tfidf) OVER (PARTITION BY doc_id)) AS score
   FROM weighted WHERE tfidf > 0),
 ranked AS (SELECT doc_id, term, score, row_number() OVER (PARTITION BY doc_id ORDER BY round(score, 9) DESC, term) AS rn
-  FROM scored),
+  FROM term_scores),
 top10 AS (SELECT doc_id, term, score, rn FROM ranked WHERE rn <= 10),
 leaders AS (SELECT term AS word, sum(score) AS score FROM top10 GROUP BY term)"""
 
