@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from newsloom.catalog import inputs as src
 from newsloom.catalog.registry import query
-from newsloom.functions.cleaning import clean_text_geo
+from newsloom.functions.cleaning import with_clean_geo
 from newsloom.operators import gazetteer as gz
 from newsloom.operators import places as pc
+from newsloom.operators.rows import explode_rows
 from newsloom.plans import pipelines as pl
 
 # Parts stand for places: size and key give country, class and region.
@@ -47,7 +48,7 @@ SELECT name, coalesce(regexp_matches(name, '^[0-9A-Za-zÀ-ÿ\s\-'']+$'), false)
 def name_validity(spark, folder):
     docs = src.spread(src.table(spark, folder, "documents"), "doc_id")
     words = F.split(F.replace(F.lower("text"), F.lit("\n"), F.lit(" ")), " ", -1)
-    names = docs.select(F.explode(words).alias("name")).distinct()
+    names = explode_rows(docs, words, "name").distinct()
     return names.select("name", gz.valid_main_name(F.col("name")).alias("main_ok"),
                         gz.valid_alternate(F.col("name")).alias("alternate_ok"))
 
@@ -143,7 +144,7 @@ found AS (SELECT doc_id, pos, loc, cc FROM free WHERE covered IS NULL OR covered
 
 def _cleaned(spark, folder):
     docs = src.spread(src.table(spark, folder, "documents"), "doc_id")
-    return docs.select("doc_id", clean_text_geo("text").alias("clean_geo"))
+    return with_clean_geo(docs, "text").select("doc_id", "clean_geo")
 
 
 @query("candidate_spans", f"WITH {CANDIDATES} SELECT doc_id, pos, words, loc FROM spans")

@@ -11,6 +11,7 @@ from newsloom.functions import markup as mk
 from newsloom.functions import strings as st
 from newsloom.operators import keywords as kw
 from newsloom.operators import vocabulary as vo
+from newsloom.operators.rows import explode_rows
 from newsloom.plans import pipelines as pl
 from newsloom.rules.stopwords import DUTCH
 
@@ -20,7 +21,7 @@ def _docs(spark, folder):
 
 
 def _clean(spark, folder):
-    return _docs(spark, folder).select("doc_id", cl.clean_text("text").alias("clean"))
+    return cl.with_clean(_docs(spark, folder), "text").select("doc_id", "clean")
 
 
 CLEAN = f"clean AS (SELECT doc_id, {src.sql_clean('text')} AS clean FROM documents)"
@@ -79,7 +80,7 @@ def clean_text(spark, folder):
 SELECT page_id, nfc_normalize({src.sql_html_to_text("html")}) AS clean_geo FROM pages""")
 def clean_text_geo(spark, folder):
     pages = src.spread(src.table(spark, folder, "pages"), "page_id")
-    return pages.select("page_id", cl.clean_text_geo("html").alias("clean_geo"))
+    return cl.with_clean_geo(pages, "html").select("page_id", "clean_geo")
 
 
 @query("tag_split")
@@ -132,7 +133,7 @@ def split_80_20(spark, folder):
 
 def _train_tokens(spark, folder):
     docs = _docs(spark, folder).where(vo.split_bucket("doc_id") < 80)
-    return docs.select("doc_id", cl.ws_tokens(cl.clean_text("text")).alias("tokens"))
+    return cl.with_clean(docs, "text").select("doc_id", cl.ws_tokens("clean").alias("tokens"))
 
 
 @query("word_counts", f"WITH {WS_WORDS} SELECT word, count(*) AS n FROM words WHERE doc_id IN ({TRAIN}) GROUP BY word")
@@ -151,12 +152,11 @@ def vocab_topn(spark, folder):
 
 @query("tokens_unk", f"""
 WITH {VOCAB}
-SELECT w.doc_id, string_agg(coalesce(v.word, '<unk>'), ' ' ORDER BY w.pos) AS tokens
-FROM words w LEFT JOIN vocab v ON w.word = v.word GROUP BY w.doc_id""")
+SELECT d.doc_id, coalesce(string_agg(coalesce(v.word, '<unk>'), ' ' ORDER BY w.pos) FILTER (w.word IS NOT NULL), '') AS tokens
+FROM documents d LEFT JOIN words w ON d.doc_id = w.doc_id LEFT JOIN vocab v ON w.word = v.word GROUP BY d.doc_id""")
 def tokens_unk(spark, folder):
-    docs = _docs(spark, folder).select("doc_id", cl.ws_tokens(cl.clean_text("text")).alias("tokens"))
-    marked = vo.mark_unknown(docs, vocab_topn(spark, folder))
-    return marked.where(F.size("tokens") > 0).select("doc_id", F.array_join("tokens", " ").alias("tokens"))
+    marked, _ = pl.word_tokens(src.articles(spark, folder), 2000)
+    return marked.select("doc_id", F.array_join("tokens", " ").alias("tokens"))
 
 
 @query("oov_rate", f"""
@@ -165,7 +165,8 @@ SELECT count(*) AS total, count(*) FILTER (v.word IS NULL) AS oov,
        round(count(*) FILTER (v.word IS NULL) / count(*)::DOUBLE, 9) AS rate
 FROM words w LEFT JOIN vocab v ON w.word = v.word WHERE w.doc_id IN ({TRAIN})""")
 def oov_rate(spark, folder):
-    rate = vo.oov_rate(vo.mark_unknown(_train_tokens(spark, folder), vocab_topn(spark, folder)))
+    marked, _ = pl.word_tokens(src.articles(spark, folder), 2000)
+    rate = vo.oov_rate(marked.where("split = 'train'"))
     return rate.select("total", "oov", F.round("rate", 9).alias("rate"))
 
 
@@ -199,7 +200,7 @@ def _keywords(spark, folder):
 
 @query("term_freq", f"WITH {TERMS} SELECT doc_id, term, tf FROM terms")
 def term_freq(spark, folder):
-    pairs = _terms(spark, folder).select("doc_id", F.explode_outer("terms").alias("t")).where("t is not null")
+    pairs = explode_rows(_terms(spark, folder), "terms", "t", ["doc_id"])
     return pairs.select("doc_id", "t.term", F.col("t.tf").cast("long").alias("tf"))
 
 
@@ -239,7 +240,7 @@ def doc_keywords_topk(spark, folder):
 
 @query("keyword_valid", f"WITH {TERMS} SELECT doc_id, term AS word, round(score, 6) AS score FROM top10")
 def keyword_valid(spark, folder):
-    each = _keywords(spark, folder).select("doc_id", F.explode("keywords").alias("k")).select("doc_id", "k.*")
+    each = explode_rows(_keywords(spark, folder), "keywords", "k", ["doc_id"]).select("doc_id", "k.*")
     whole = each.where(F.col("word").isNotNull() & F.col("score").isNotNull())
     return whole.select("doc_id", "word", F.round("score", 6).alias("score"))
 

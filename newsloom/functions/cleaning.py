@@ -16,8 +16,9 @@ from functools import lru_cache
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType
 
 from newsloom.functions.markup import html_to_text
 from newsloom.functions.strings import _col, blank_to_empty, interleave
@@ -35,19 +36,21 @@ UNSTABLE = (
     r"[\xA0\xA8\xAA\xAF\xB2-\xB5\xB8-\xBA\xBC-\xBE\x{132}\x{133}\x{13F}\x{140}\x{149}"
     r"\x{17F}-\x{200F}\x{2011}\x{2017}\x{2024}-\x{2038}\x{203B}-\x{20AB}\x{20AD}-\x{10FFFF}]"
 )
+# Everything outside ASCII and the accented Latin-1 letters: a quick first test.
+UNUSUAL = r"[\x80-\xBF\x{100}-\x{10FFFF}]"
 # Everything but 0-9, A-Z, a-z and U+00C0..U+00FF.
 NOT_CLEAN = r"[\x00-/:-@\[-`{-\xBF\x{100}-\x{10FFFF}]"
 WORD = r"[\p{L}\p{N}_]"
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _nfkc(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: unicodedata.normalize("NFKC", t), na_action="ignore")
 
 
 def nfkc(c: Column | str) -> Column:
     text = _col(c)
-    return F.coalesce(_nfkc(F.when(text.rlike(UNSTABLE), text)), text)
+    return F.coalesce(_nfkc(F.when(text.rlike(UNUSUAL) & text.rlike(UNSTABLE), text)), text)
 
 
 def strip_number_header(c: Column | str) -> Column:
@@ -68,6 +71,14 @@ def collapse_lower(c: Column | str) -> Column:
     return F.lower(F.trim(F.regexp_replace(_col(c), r"\s+", " ")))
 
 
+def letters_only(c: Column | str) -> Column:
+    """Tag symbols and punctuation to blanks, blanks collapsed, lower case.
+
+    One pass: tag symbols and whitespace are among what is not a letter.
+    """
+    return F.lower(F.trim(F.regexp_replace(_col(c), NOT_CLEAN + "+", " ")))
+
+
 def clean_text_geo(c: Column | str, normalize: bool = True) -> Column:
     """Markup and compatibility characters out, casing and punctuation kept."""
     text = html_to_text(blank_to_empty(c))
@@ -83,8 +94,28 @@ def clean_text(c: Column | str, normalize: bool = True, tag_costs: dict[str, flo
     text = strip_number_header(clean_text_geo(c, normalize))
     if tag_costs is not None:
         text = split_tags(text, tag_costs)
-    # tag symbols are punctuation too, so one pass replaces every run of both
-    return F.lower(F.trim(F.regexp_replace(text, NOT_CLEAN + "+", " ")))
+    return letters_only(text)
+
+
+def with_clean_geo(df: DataFrame, text: Column | str, name: str = "clean_geo", normalize: bool = True) -> DataFrame:
+    """``clean_text_geo`` as a column. The steps are separate projections, so the
+    text that normalisation tests, converts and falls back to is made once."""
+    out = df.withColumn(name, html_to_text(blank_to_empty(text)))
+    return out.withColumn(name, nfkc(name)) if normalize else out
+
+
+def with_clean(
+    df: DataFrame,
+    text: Column | str,
+    name: str = "clean",
+    normalize: bool = True,
+    tag_costs: dict[str, float] | None = None,
+) -> DataFrame:
+    """``clean_text`` as a column, in the same way."""
+    out = with_clean_geo(df, text, name, normalize).withColumn(name, strip_number_header(name))
+    if tag_costs is not None:
+        out = out.withColumn(name, split_tags(name, tag_costs))
+    return out.withColumn(name, letters_only(name))
 
 
 # --- tags -------------------------------------------------------------------
@@ -158,7 +189,7 @@ def split_tags(c: Column | str, costs: dict[str, float]) -> Column:
     text = _col(c)
     longest = max(map(len, costs), default=1)
 
-    @F.pandas_udf("array<string>")
+    @F.pandas_udf(ArrayType(StringType()))
     def words_of(tags: pd.Series) -> pd.Series:
         cached = lru_cache(maxsize=100_000)(lambda t: split_tag(t, costs, longest))
         return tags.map(lambda ts: [cached(t) for t in ts], na_action="ignore")

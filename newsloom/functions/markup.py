@@ -74,7 +74,12 @@ def tags_to_space(c: Column | str) -> Column:
 
 def html_to_text(c: Column | str) -> Column:
     """Visible text of a fragment; tag boundaries become blanks."""
-    return decode_entities(tags_to_space(drop_hidden(c)))
+
+    def untagged(text: Column) -> Column:
+        # most text has no markup at all, and looking for one character is cheap
+        return F.when(F.contains(text, F.lit("<")), tags_to_space(drop_hidden(text))).otherwise(text)
+
+    return decode_entities(let(_col(c), untagged))
 
 
 def container(c: Column | str) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsloom.operators.lookup import collect_bounded, lookup_join, member_of
+from newsloom.operators.rows import explode_rows
 
 SPOTLIGHT_SIZE = 5
 UNTITLED = "Untitled Article"
@@ -15,11 +16,8 @@ def located_mentions(
     df: DataFrame, coordinates: DataFrame, locations: str = "locations", id_col: str = "doc_id", title: str = "title"
 ) -> DataFrame:
     """(location, lat, lon, title) per mention that has coordinates; names match case-sensitively."""
-    each = df.select(
-        id_col,
-        F.coalesce(F.col(title), F.lit(UNTITLED)).alias("title"),
-        F.posexplode(locations).alias("pos", "location"),
-    )
+    named = F.coalesce(F.col(title), F.lit(UNTITLED)).alias("title")
+    each = explode_rows(df, locations, "location", [id_col, named], pos="pos")
     joined = lookup_join(each, coordinates, "location", spread_by=[id_col, "pos"])
     return joined.select("location", "lat", "lon", "title")
 
@@ -50,7 +48,8 @@ def flag_region(
     names = collect_bounded(region, "name_lower", *([] if max_values is None else [max_values]))
     if names is not None:
         return df.withColumn("in_region", in_region(names, locations))
-    each = df.select(id_col, F.explode(F.array_distinct(F.transform(locations, F.lower))).alias("name_lower"))
+    lowered = F.array_distinct(F.transform(locations, lambda l: F.lower(l)))
+    each = explode_rows(df, lowered, "name_lower", [id_col])
     hits = lookup_join(each, region, "name_lower", "left_semi", spread_by=[id_col]).select(id_col).distinct()
     flagged = df.join(hits.withColumn("in_region", F.lit(True)), id_col, "left")
     return flagged.withColumn("in_region", F.coalesce("in_region", F.lit(False)))

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StringType, StructType
 
 from newsloom.functions.strings import all_of, any_of
+from newsloom.operators.rows import explode_rows
 
 
 def text_matches(schema: StructType, query: str, literal: bool = True) -> Column:
@@ -149,7 +150,7 @@ def tag_presets(df: DataFrame, presets: Mapping[str, FilterSpec]) -> DataFrame:
     """
     hits = [F.when(spec_condition(df.schema, spec), F.lit(name)) for name, spec in presets.items()]
     kept = F.filter(F.array(*hits), lambda p: p.isNotNull())
-    return df.withColumn("preset", F.explode(kept))
+    return explode_rows(df, kept, "preset", list(df.columns))
 
 
 def keep_ratio(df: DataFrame, stages: Mapping[str, Column]) -> DataFrame:

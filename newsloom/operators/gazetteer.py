@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsloom.functions.strings import strip
+from newsloom.operators.rows import explode_rows
 
 # Name patterns, kept feature classes, and countries in the
 # order their lookups are merged (a later one overrides an earlier one).
@@ -42,7 +43,7 @@ def place_names(gazetteer: DataFrame, alternates: bool = True) -> DataFrame:
     if alternates:
         others = F.transform(F.split(F.coalesce("alternate_names", F.lit("")), ",", -1), lambda a: F.lower(strip(a)))
         names = F.concat(names, F.filter(others, valid_alternate))
-    return gazetteer.select(F.explode(F.array_distinct(names)).alias("name_lower"), F.col("country_code").alias("cc"))
+    return explode_rows(gazetteer, F.array_distinct(names), "name_lower", [F.col("country_code").alias("cc")])
 
 
 def merge_names(names: DataFrame, countries: tuple[str, ...] = COUNTRIES) -> DataFrame:

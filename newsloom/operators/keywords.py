@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsloom.functions.strings import let
+from newsloom.operators.rows import explode_rows
 from newsloom.schemas import KEYWORDS
 
 MAX_FEATURES = 10_000
@@ -47,11 +48,8 @@ def with_terms(df: DataFrame, tokens: str = "tokens") -> DataFrame:
 
 def term_stats(df: DataFrame) -> DataFrame:
     """Occurrences ``n`` and document frequency ``df`` of every term."""
-    # the outer form: for the inner one Spark would test the array for rows to
-    # drop in a filter below, which computes it (and the cleaning) a second time
     return (
-        df.select(F.explode_outer("terms").alias("t"))
-        .where("t is not null")
+        explode_rows(df, "terms", "t")
         .groupBy(F.col("t.term").alias("term"))
         .agg(F.sum(F.col("t.tf").cast("long")).alias("n"), F.count(F.lit(1)).alias("df"))
     )
@@ -86,7 +84,7 @@ def weigh_terms(df: DataFrame, idf: DataFrame, id_col: str = "doc_id") -> DataFr
 
     ``idf`` comes from ``term_idf`` and is therefore small enough to broadcast.
     """
-    pairs = df.select(id_col, F.explode_outer("terms").alias("t")).select(id_col, "t.term", "t.tf")
+    pairs = explode_rows(df, "terms", "t", [id_col]).select(id_col, "t.term", "t.tf")
     return pairs.join(F.broadcast(idf.select("term", "idf")), "term").select(
         id_col, "term", "tf", (F.col("tf") * F.col("idf")).alias("tfidf")
     )
@@ -136,7 +134,7 @@ def document_keywords(
 
 def explode_keywords(df: DataFrame, keywords: str = "keywords") -> DataFrame:
     """(word, score) of the complete keyword entries."""
-    flat = df.select(F.explode(keywords).alias("k")).select("k.word", "k.score")
+    flat = explode_rows(df, keywords, "k").select("k.word", "k.score")
     return flat.where(F.col("word").isNotNull() & F.col("score").isNotNull())
 
 

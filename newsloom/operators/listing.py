@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from newsloom.functions.dates import try_layouts
 from newsloom.functions.markup import drop_hidden, html_to_text, resolve_url
 from newsloom.functions.strings import collapse_ws
+from newsloom.operators.rows import explode_rows
 
 
 def listing_rows(
@@ -29,7 +30,7 @@ def listing_rows(
     is empty, never taken over from the item before.
     """
     matches = F.regexp_extract_all(drop_hidden(html), F.lit(item), 1)
-    items = pages.select(*pages.columns, F.posexplode(matches).alias("item_no", "_item"))
+    items = explode_rows(pages, matches, "_item", list(pages.columns), pos="item_no")
     values = {}
     for name, pattern in fields.items():
         raw = F.regexp_extract("_item", pattern, 1)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from newsloom.functions.strings import let
 from newsloom.operators.gazetteer import COUNTRIES
 from newsloom.operators.lookup import lookup_join
+from newsloom.operators.rows import explode_rows
 
 NAME_TOKEN = r"'?[\p{L}\p{N}](?:[\p{L}\p{N}'\-]*[\p{L}\p{N}])?"
 STARTS_NAME = r"^(?:'\p{L}-)?\p{Lu}"
@@ -33,7 +34,7 @@ def candidate_spans(df: DataFrame, text: str = "clean_geo", id_col: str = "doc_i
             ),
         ))
 
-    each = tokens.select(id_col, F.explode(let(F.col("w"), spans)).alias("s"))
+    each = explode_rows(tokens, let(F.col("w"), spans), "s", [id_col])
     return each.select(id_col, "s.pos", "s.words", "s.loc")
 
 
@@ -89,7 +90,7 @@ def lookup_mentions(mentions: DataFrame, lookup: DataFrame, id_col: str = "doc_i
 
 def explode_locations(df: DataFrame, locations: str = "locations", id_col: str = "doc_id") -> DataFrame:
     """(id, pos, loc), one row per mention."""
-    return df.select(id_col, F.posexplode(locations).alias("pos", "loc"))
+    return explode_rows(df, locations, "loc", [id_col], pos="pos")
 
 
 def evidence(countries: tuple[str, ...] = COUNTRIES) -> Column:

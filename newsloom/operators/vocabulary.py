@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.operators.lookup import collect_bounded
 from newsloom.functions.strings import sql_literal
+from newsloom.operators.lookup import collect_bounded
+from newsloom.operators.rows import explode_rows
 
 MAX_WORDS = 10_000
 UNKNOWN = "<unk>"
@@ -14,7 +15,7 @@ UNKNOWN = "<unk>"
 
 def word_counts(df: DataFrame, tokens: str = "tokens") -> DataFrame:
     """Occurrences of each word; counts combine before the shuffle."""
-    return df.select(F.explode(tokens).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    return explode_rows(df, tokens, "word").groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
 
 def top_words(counts: DataFrame, size: int = MAX_WORDS) -> DataFrame:

@@ -8,20 +8,22 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsloom.functions.cleaning import clean_text, clean_text_geo, clean_word_tokens, drop_stopwords, stopwords
+from newsloom.functions.cleaning import (
+    clean_word_tokens, drop_stopwords, stopwords, with_clean, with_clean_geo, ws_tokens,
+)
 from newsloom.functions.dates import published_ts
 from newsloom.functions.markup import (
     container, drop_hidden, html_to_text, is_page_url, main_text, min_words_gate, paragraph_text,
 )
-from newsloom.functions.strings import collapse_ws, first_nonblank, raw_text
+from newsloom.functions.strings import collapse_ws, let, nonblank, raw_text
 from newsloom.operators import explore as ex
 from newsloom.operators import filters as fl
 from newsloom.operators import keywords as kw
 from newsloom.operators import places as pl
+from newsloom.operators import vocabulary as vo
 from newsloom.operators.dedupe import feed_dedupe, new_only, union_sources, url_dedupe
 from newsloom.operators.label_model import LabelModel, fit_label_model, label, probability_filter
 from newsloom.operators.rules import AnyRule, active_rules, apply_rules
-from newsloom.operators.vocabulary import train_test_split
 from newsloom.rules.dutch_sme import RULES
 from newsloom.schemas import EVIDENCE
 from newsloom.sources.readers import ORDER, read_article_json
@@ -47,17 +49,13 @@ def resolve_countries(
     id_col: str = "doc_id",
     candidates: Callable[[DataFrame], DataFrame] | None = None,
     blocked: list[str] | None = None,
-    keep_unresolved: bool = True,
 ) -> DataFrame:
-    """Adds locations, country, country_score and country_evidence to cleaned articles.
+    """Adds locations, country, country_score and country_evidence to all cleaned articles.
 
     Text stays out of the vote: only (id, mention) pairs are shuffled for it.
     """
     mentions = pl.location_mentions(df, lookup, "clean_geo", id_col, candidates, blocked)
-    votes = pl.vote_countries(mentions, id_col, threshold)
-    if not keep_unresolved:
-        return df.join(votes, id_col)
-    joined = df.join(votes, id_col, "left")
+    joined = df.join(pl.vote_countries(mentions, id_col, threshold), id_col, "left")
     return joined.withColumns(
         {
             "locations": F.coalesce("locations", F.array().cast("array<string>")),
@@ -77,10 +75,15 @@ def geo_resolve(
     normalize: bool = True,
     **hooks,
 ) -> DataFrame:
-    """Articles resolved to a target country with at least ``min_conf``."""
-    cleaned = df.withColumn("clean_geo", clean_text_geo(raw_text(), normalize))
-    resolved = resolve_countries(cleaned, lookup, threshold, id_col, keep_unresolved=False, **hooks)
-    return pl.country_filter(resolved, min_conf)
+    """Articles resolved to a target country with at least ``min_conf``.
+
+    ``hooks`` are the ``candidates`` and ``blocked`` of ``location_mentions``.
+    """
+    texts = with_clean_geo(df, raw_text(), normalize=normalize)
+    mentions = pl.location_mentions(texts, lookup, "clean_geo", id_col, **hooks)
+    votes = pl.country_filter(pl.vote_countries(mentions, id_col, threshold), min_conf)
+    # the text is cleaned again for the articles that stay, not carried along for all
+    return with_clean_geo(df.join(votes, id_col), raw_text(), normalize=normalize)
 
 
 def weak_label(
@@ -110,11 +113,26 @@ def tokenized(
     below the projection and clean every article twice.
     """
     words = stopwords() if stop is None else list(stop)
-    cleaned = df.select(id_col, clean_text(raw_text(), normalize, tag_costs).alias("clean"))
+    cleaned = with_clean(df.select(id_col, raw_text().alias("clean")), "clean", "clean", normalize, tag_costs)
     tokens = F.when(F.col("clean") != "", drop_stopwords(clean_word_tokens("clean"), words))
     return kw.with_terms(cleaned.select(id_col, tokens.alias("tokens"))).select(id_col, "terms")
 
 
+def word_tokens(
+    df: DataFrame, size: int = vo.MAX_WORDS, test_share: float = 0.2, normalize: bool = True, id_col: str = "doc_id",
+) -> tuple[DataFrame, DataFrame]:
+    """(id, split, tokens) with rare words marked unknown, and the vocabulary used.
+
+    The vocabulary is that of the training share. Tokens are staged, since the
+    vocabulary has to be complete before the first of them can be marked.
+    """
+    cleaned = with_clean(df.select(id_col, raw_text().alias("clean")), "clean", "clean", normalize)
+    tokens = vo.train_test_split(cleaned.select(id_col, ws_tokens("clean").alias("tokens")), id_col, test_share)
+    tokens = stage(tokens, "tokens")
+    vocabulary = vo.top_words(vo.word_counts(tokens.where("split = 'train'")), size)
+    return vo.mark_unknown(tokens, vocabulary), vocabulary
+
+
 def keywords(
     df: DataFrame,
     k: int = kw.KEYWORDS_PER_ARTICLE,
@@ -123,9 +141,16 @@ def keywords(
     fit_on: DataFrame | None = None,
     normalize: bool = True,
     id_col: str = "doc_id",
+    staged: bool = True,
 ) -> DataFrame:
-    """(id, keywords) per article. ``fit_on`` restricts what the idf is fitted to."""
+    """(id, keywords) per article. ``fit_on`` restricts what the idf is fitted to.
+
+    The term counts feed both the fit and the scoring. They are much smaller
+    than the text and costly to make, so they are staged once.
+    """
     terms = tokenized(df, stop, normalize, id_col=id_col)
+    if staged:
+        terms = stage(terms, "terms")
     fitted = terms if fit_on is None else tokenized(fit_on, stop, normalize, id_col=id_col)
     return kw.document_keywords(terms, kw.term_idf(fitted, max_features), k, id_col)
 
@@ -178,15 +203,20 @@ def update_articles(existing: DataFrame, incoming: DataFrame, order: list[str],
 
 def pages_to_articles(pages: DataFrame, order: list[str], blank: str = "drop") -> DataFrame:
     """Raw pages to articles: feed (the host), title, url and main text, one per link."""
-    readable = pages.where(is_page_url("url"))
-    fallback = first_nonblank(paragraph_text(container("html")), paragraph_text(drop_hidden("html")))
-    title = F.regexp_extract(drop_hidden("html"), r"(?is)<title[^>]*>(.*?)</title\s*>", 1)
-    articles = readable.select(
+    host = F.lower(F.try_parse_url("url", F.lit("HOST")))
+    # one projection per step: each result is used more than once by the next
+    visible = pages.where(is_page_url("url")).select(*order, host.alias("feed"), "url", drop_hidden("html").alias("v"))
+    blocks = visible.withColumn("main", main_text("v"))
+    fallback = let(
+        paragraph_text(container("v")), lambda t: F.when(nonblank(t), t).otherwise(paragraph_text("v"))
+    )
+    title = F.regexp_extract("v", r"(?is)<title[^>]*>(.*?)</title\s*>", 1)
+    articles = blocks.select(
         *order,
-        F.lower(F.try_parse_url("url", F.lit("HOST"))).alias("feed"),
+        "feed",
         collapse_ws(html_to_text(title)).alias("title"),
         "url",
-        collapse_ws(min_words_gate(main_text("html"), fallback)).alias("full_text"),
+        collapse_ws(min_words_gate("main", fallback)).alias("full_text"),
     )
     return feed_dedupe(articles, order, blank=blank)
 
@@ -209,7 +239,7 @@ def enrich(
     """
     resolved = stage(geo_resolve(df, lookup, min_conf, id_col=id_col), "resolved")
     labelled, _ = weak_label(resolved, rules, label_conf)
-    selected = train_test_split(probability_filter(labelled, probability), id_col)
+    selected = vo.train_test_split(probability_filter(labelled, probability), id_col)
     if split:
         selected = selected.where(F.col("split") == split)
     selected = stage(selected, "selected")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from newsloom.functions.cleaning import clean_text_geo
+from newsloom.functions.cleaning import with_clean_geo
 from newsloom.functions.strings import nonblank, raw_text
 from newsloom.operators.dedupe import new_only
 from newsloom.operators.label_model import LabelModel, label
@@ -39,7 +39,7 @@ def dedupe_stream(articles: DataFrame, remember: str = REMEMBER) -> DataFrame:
 
 def score_stream(articles: DataFrame, rules: Sequence[AnyRule], model: LabelModel, min_conf: float = 0.6) -> DataFrame:
     """Clean, vote and score with a model fitted beforehand; all row by row."""
-    cleaned = articles.withColumn("clean_geo", clean_text_geo(raw_text()))
+    cleaned = with_clean_geo(articles, raw_text())
     names = [r.name for r in active_rules(rules)]
     return label(apply_rules(cleaned, rules), model, min_conf).drop(*names)
 
