@@ -306,6 +306,6 @@ def keyword_map_roundtrip(spark, folder):
     docs = src.table(spark, folder, "documents")
     scores = docs.groupBy(F.col("source").alias("word")).agg((F.sum("n_chars") / 1000.0).cast("double").alias("score"))
     writers.write_keyword_map(scores, path)
-    text = spark.read.option("wholetext", True).text(path)
+    text = spark.read.text(path, wholetext=True)
     entries = text.select(F.explode(F.from_json("value", "map<string,double>")).alias("word", "score"))
     return entries.select("word", F.round("score", 6).alias("score"))

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -31,15 +31,17 @@ def build_session(app_name: str = "newsloom", master: str | None = None, **conf:
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, for checkpoints and staged tables.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only a session without
-    that setting (local tests) gets a folder made for it, and the setting is
-    then filled in so later calls agree.
+    The cluster names it in ``spark.checkpoint.dir``. Only a local session
+    without that setting gets a folder made for it, one per application.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-    made = tempfile.mkdtemp(prefix="newsloom-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    return _local_dir(spark.sparkContext.applicationId)
+
+
+@cache
+def _local_dir(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"newsloom-{application}-")

@@ -69,7 +69,7 @@ def read_gazetteer(spark: SparkSession, *paths: str) -> DataFrame:
 def read_coordinates(spark: SparkSession, path: str) -> DataFrame:
     """(location, lat, lon) from one JSON object; an absent file is an empty table."""
     try:
-        text = spark.read.option("wholetext", True).text(path)
+        text = spark.read.text(path, wholetext=True)
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -80,7 +80,7 @@ def read_coordinates(spark: SparkSession, path: str) -> DataFrame:
 
 def read_presets(spark: SparkSession, path: str) -> DataFrame:
     """(name, text_filter, selected_feeds, location_search, date_range) of saved filters."""
-    text = spark.read.option("wholetext", True).text(path)
+    text = spark.read.text(path, wholetext=True)
     saved = F.from_json("value", MapType(StringType(), schemas.FILTER_SPEC))
     return text.select(F.explode(saved).alias("name", "spec")).select("name", "spec.*")
 
@@ -172,5 +172,5 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
 
 def read_page_files(spark: SparkSession, *paths: str) -> DataFrame:
     """One page per file; the path stands for the url."""
-    text = spark.read.option("wholetext", True).text(list(paths))
+    text = spark.read.text(list(paths), wholetext=True)
     return text.select(F.col("_metadata.file_path").alias("url"), F.col("value").alias("html"))
