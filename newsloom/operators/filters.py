@@ -137,9 +137,8 @@ def apply_filters(df: DataFrame, spec: FilterSpec, ts: str = "published_ts") ->
     if spec.date_range is None or ts not in df.columns:
         return kept
     clamped = clamp_range(date_bounds(df, ts), *spec.date_range)
-    return kept.where(
-        date_between(ts, clamped.select("start_d").scalar(), clamped.select("end_d").scalar())
-    )
+    span = clamped.select(F.struct("start_d", "end_d")).scalar()
+    return kept.where(date_between(ts, span["start_d"], span["end_d"]))
 
 
 def tag_presets(df: DataFrame, presets: Mapping[str, FilterSpec]) -> DataFrame:

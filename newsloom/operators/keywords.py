@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsloom.functions.strings import let
+from newsloom.operators.lookup import BROADCAST_ROWS
 from newsloom.operators.rows import explode_rows
 from newsloom.schemas import KEYWORDS
 
@@ -63,6 +64,8 @@ def term_idf(df: DataFrame, max_features: int = MAX_FEATURES) -> DataFrame:
     N together with the features and the corpus is not scanned again to count.
     Articles whose ``terms`` are null (no text) do not count.
     """
+    if max_features >= BROADCAST_ROWS:
+        raise ValueError(f"max_features must stay below {BROADCAST_ROWS}: the features are broadcast")
     marker = F.array(F.struct(F.lit("").alias("term"), F.lit(1).alias("tf")))
     counted = df.select(F.concat(marker, "terms").alias("terms"))
     top = (

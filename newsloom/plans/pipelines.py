@@ -31,7 +31,11 @@ from newsloom.sources.writers import stage
 
 
 def merge_articles(spark: SparkSession, *dirs: str, extra: Sequence[DataFrame] = ()) -> DataFrame:
-    """All article files and further sources, one row per address, first one kept."""
+    """All article files and further sources, one row per address, first one kept.
+
+    A further source that has no ``src_file`` and ``src_pos`` comes after the
+    files and is numbered as it is read; give the columns where order matters.
+    """
     frames = [read_article_json(spark, *dirs)] if dirs else []
     for number, frame in enumerate(extra):
         if not set(ORDER) <= set(frame.columns):
