@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from newsloom.catalog import inputs as src
+from newsloom.catalog.place_queries import RESOLVED
 from newsloom.catalog.registry import query
 from newsloom.catalog.rule_queries import LOG_ODDS, MODEL
 from newsloom.catalog.text_queries import FEATURES, TERMS
@@ -222,6 +223,22 @@ def _explored(spark, folder, with_keywords: bool = False):
     return pl.explore(df, SPEC, src.coordinates(spark), src.region(spark))
 
 
+@query("enrich", f"""
+WITH {RESOLVED}, {src.votes_sql()},
+probable AS (SELECT r.doc_id, r.country, 1.0::DOUBLE / (1.0::DOUBLE + exp(-({LOG_ODDS}))) AS p FROM resolved r JOIN votes v ON r.doc_id = v.doc_id),
+selected AS (SELECT * FROM probable WHERE p > 0.6),
+{TERMS.replace("FROM documents)", "FROM documents WHERE doc_id IN (SELECT doc_id FROM selected))", 1)}
+SELECT s.doc_id, s.country, round(s.p, 9) AS sme_probability,
+  coalesce(string_agg(t.term || ':' || printf('%.6f', t.score), ' ' ORDER BY t.rn), '') AS keywords
+FROM selected s LEFT JOIN top10 t ON s.doc_id = t.doc_id GROUP BY ALL""")
+def enrich(spark, folder):
+    """Country filter, label, probability filter and keywords in one job, with fixed weights."""
+    rows = pl.enrich(src.articles(spark, folder), src.lexicon(spark), src.WORD_RULES, model=MODEL)
+    shown = F.transform("keywords", lambda k: F.format_string("%s:%.6f", k["word"], k["score"]))
+    return rows.select("doc_id", "country", F.round("sme_probability", 9).alias("sme_probability"),
+                       F.array_join(shown, " ").alias("keywords"))
+
+
 # --- streams ----------------------------------------------------------------------
 
 

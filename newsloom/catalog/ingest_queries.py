@@ -232,19 +232,18 @@ def new_articles_anti(spark, folder):
 @query("update_articles", f"""
 WITH {src.ARTICLES},
 existing AS (SELECT a.doc_id, a.url, a.published_ts FROM articles a JOIN documents d USING (doc_id) WHERE d.n_chars > 6000),
+bounded AS (SELECT * FROM existing WHERE doc_id <= (SELECT (min(doc_id) + max(doc_id)) // 2 FROM documents)),
 fresh AS (SELECT doc_id, url, published_ts FROM articles
-  WHERE published_ts >= (SELECT date_trunc('day', quantile_disc(published_ts, 0.5)) FROM existing)),
-bounded AS (SELECT * FROM existing WHERE published_ts <= (SELECT quantile_disc(published_ts, 0.5) FROM existing))
+  WHERE published_ts >= (SELECT date_trunc('day', max(published_ts)) FROM bounded))
 SELECT doc_id, url FROM bounded UNION ALL
 (SELECT doc_id, url FROM fresh WHERE url NOT IN (SELECT url FROM bounded)
  QUALIFY row_number() OVER (PARTITION BY url ORDER BY doc_id) = 1)""")
 def update_articles(spark, folder):
-    """Stored: the long documents up to their median hour; incoming: all documents."""
+    """Stored: the long documents of the first half of the time; incoming: all documents."""
     docs = src.table(spark, folder, "documents")
     stamped = docs.select("doc_id", F.md5("text").alias("url"), src.publication_hour().alias("published_ts"), "n_chars")
-    long = stamped.where("n_chars > 6000")
-    middle = long.agg(F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY unix_seconds(published_ts))").alias("m"))
-    existing = long.where(F.unix_seconds("published_ts") <= middle.scalar()).drop("n_chars")
+    middle = docs.agg(F.expr("(min(doc_id) + max(doc_id)) div 2").alias("m"))
+    existing = stamped.where("n_chars > 6000").where(F.col("doc_id") <= middle.scalar()).drop("n_chars")
     updated = pl.update_articles(existing, stamped.drop("n_chars"), ["doc_id"])
     return updated.select("doc_id", "url")
 

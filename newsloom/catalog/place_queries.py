@@ -156,14 +156,16 @@ def candidate_spans(spark, folder):
 def location_candidates(spark, folder):
     return pc.location_mentions(_cleaned(spark, folder), src.lexicon(spark))
 
+RESOLVED = f"""{CANDIDATES},
+counted AS (SELECT doc_id, count(*) FILTER (cc = 'NL') AS nl, count(*) FILTER (cc = 'BE') AS be, count(*) FILTER (cc = 'DE') AS de,
+  string_agg(loc, '|' ORDER BY pos) AS locations FROM found GROUP BY doc_id),
+shares AS (SELECT *, nl + be + de AS total, greatest(nl, be, de) AS best FROM counted),
+resolved AS (SELECT doc_id, CASE WHEN nl = best THEN 'NL' WHEN be = best THEN 'BE' ELSE 'DE' END AS country,
+  best / total::DOUBLE AS score, locations FROM shares WHERE total > 0 AND best / total::DOUBLE >= 0.6)"""
+
 
 @query("geo_resolve", f"""
-WITH {CANDIDATES},
-votes AS (SELECT doc_id, count(*) FILTER (cc = 'NL') AS nl, count(*) FILTER (cc = 'BE') AS be, count(*) FILTER (cc = 'DE') AS de,
-  string_agg(loc, '|' ORDER BY pos) AS locations FROM found GROUP BY doc_id),
-shares AS (SELECT *, nl + be + de AS total, greatest(nl, be, de) AS best FROM votes)
-SELECT doc_id, CASE WHEN nl = best THEN 'NL' WHEN be = best THEN 'BE' ELSE 'DE' END AS country,
-  round(best / total::DOUBLE, 9) AS country_score, locations FROM shares WHERE total > 0 AND best / total::DOUBLE >= 0.6""")
+WITH {RESOLVED} SELECT doc_id, country, round(score, 9) AS country_score, locations FROM resolved""")
 def geo_resolve(spark, folder):
     resolved = pl.geo_resolve(src.articles(spark, folder), src.lexicon(spark))
     return resolved.select("doc_id", "country", F.round("country_score", 9).alias("country_score"),

@@ -142,12 +142,12 @@ def word_counts(spark, folder):
 
 
 VOCAB = f"""{WS_WORDS},
-vocab AS (SELECT word, count(*) AS n FROM words WHERE doc_id IN ({TRAIN}) GROUP BY word ORDER BY n DESC, word LIMIT 2000)"""
+vocab AS (SELECT word, count(*) AS n FROM words WHERE doc_id IN ({TRAIN}) GROUP BY word ORDER BY n DESC, word LIMIT {vo.MAX_WORDS})"""
 
 
 @query("vocab_topn", f"WITH {VOCAB} SELECT word, n FROM vocab")
 def vocab_topn(spark, folder):
-    return vo.top_words(vo.word_counts(_train_tokens(spark, folder)), 2000)
+    return vo.top_words(vo.word_counts(_train_tokens(spark, folder)))
 
 
 @query("tokens_unk", f"""
@@ -155,7 +155,7 @@ WITH {VOCAB}
 SELECT d.doc_id, coalesce(string_agg(coalesce(v.word, '<unk>'), ' ' ORDER BY w.pos) FILTER (w.word IS NOT NULL), '') AS tokens
 FROM documents d LEFT JOIN words w ON d.doc_id = w.doc_id LEFT JOIN vocab v ON w.word = v.word GROUP BY d.doc_id""")
 def tokens_unk(spark, folder):
-    marked, _ = pl.word_tokens(src.articles(spark, folder), 2000)
+    marked, _ = pl.word_tokens(src.articles(spark, folder))
     return marked.select("doc_id", F.array_join("tokens", " ").alias("tokens"))
 
 
@@ -165,14 +165,14 @@ SELECT count(*) AS total, count(*) FILTER (v.word IS NULL) AS oov,
        round(count(*) FILTER (v.word IS NULL) / count(*)::DOUBLE, 9) AS rate
 FROM words w LEFT JOIN vocab v ON w.word = v.word WHERE w.doc_id IN ({TRAIN})""")
 def oov_rate(spark, folder):
-    marked, _ = pl.word_tokens(src.articles(spark, folder), 2000)
+    marked, _ = pl.word_tokens(src.articles(spark, folder))
     rate = vo.oov_rate(marked.where("split = 'train'"))
     return rate.select("total", "oov", F.round("rate", 9).alias("rate"))
 
 
 # --- TF-IDF -------------------------------------------------------------------
 
-FEATURES = 5000
+FEATURES = kw.MAX_FEATURES
 
 TERMS = f"""{CLEAN},
 terms AS (SELECT doc_id, term, count(*) AS tf FROM (

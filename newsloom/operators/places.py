@@ -53,11 +53,13 @@ def match_mentions(
     if blocked:
         keyed = keyed.where(~F.col("name_lower").isin(*[b.lower() for b in blocked]))
     known = lookup_join(keyed, lookup, "name_lower", spread_by=[id_col, "pos"])
-    longest = Window.partitionBy(id_col, "pos")
-    before = Window.partitionBy(id_col).orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
+    # both frames share partitioning and order: one shuffle by article, none if
+    # the articles already come in partitions by id
+    ordered = Window.partitionBy(id_col).orderBy("pos")
+    longest = ordered.rangeBetween(Window.currentRow, Window.currentRow)
+    before = ordered.rowsBetween(Window.unboundedPreceding, -1)
     best = (
-        known.repartition(id_col)
-        .withColumn("_longest", F.max("words").over(longest))
+        known.withColumn("_longest", F.max("words").over(longest))
         .where("words = _longest")
         .withColumn("_covered", F.max(F.col("pos") + F.col("words")).over(before))
     )

@@ -234,6 +234,7 @@ def enrich(
     probability: float = 0.6,
     split: str | None = None,
     id_col: str = "doc_id",
+    model: LabelModel | None = None,
 ) -> DataFrame:
     """The whole enrichment: country filter, label, probability filter, keywords.
 
@@ -242,7 +243,7 @@ def enrich(
     by the fit and by the scoring, and the labelled selection.
     """
     resolved = stage(geo_resolve(df, lookup, min_conf, id_col=id_col), "resolved")
-    labelled, _ = weak_label(resolved, rules, label_conf)
+    labelled, _ = weak_label(resolved, rules, label_conf, model)
     selected = vo.train_test_split(probability_filter(labelled, probability), id_col)
     if split:
         selected = selected.where(F.col("split") == split)
