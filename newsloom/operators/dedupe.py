@@ -10,6 +10,11 @@ from pyspark.sql import functions as F
 from newsloom.functions.strings import is_blank, nonblank
 
 
+# Largest rank for which Spark limits groups before the shuffle, by default.
+GROUP_LIMIT = 1000
+SLICES = 64
+
+
 def union_sources(*frames: DataFrame) -> DataFrame:
     """Append sources by column name; columns a source lacks are null."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
@@ -57,11 +62,23 @@ def feed_dedupe(
 def head_per_feed(
     df: DataFrame, n: int | None, order: list[str | Column], feed: str = "feed"
 ) -> DataFrame:
-    """First ``n`` rows of each feed; None or 0 keeps all."""
+    """First ``n`` rows of each feed; None or 0 keeps all.
+
+    Up to a size Spark limits the groups on the map side. Beyond it each feed
+    is first limited in slices, so a feed with a third of all rows reaches its
+    last task with at most ``n`` rows per slice.
+    """
     if not n:
         return df
-    w = Window.partitionBy(feed).orderBy(*order)
-    return df.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") <= n).drop("_rank")
+
+    def first(rows: DataFrame, *keys: str) -> DataFrame:
+        w = Window.partitionBy(*keys).orderBy(*order)
+        return rows.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") <= n).drop("_rank")
+
+    if n > GROUP_LIMIT:
+        slices = df.withColumn("_slice", F.pmod(F.xxhash64(*df.columns), F.lit(SLICES)))
+        df = first(slices, feed, "_slice").drop("_slice")
+    return first(df, feed)
 
 
 def head_feeds(df: DataFrame, m: int | None, feed: str = "feed", feed_order: str | None = None) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -65,12 +66,16 @@ def exact_append(
     """
     schema = stream.schema
 
+    def stored(spark: SparkSession) -> DataFrame:
+        try:
+            return spark.read.schema(schema).parquet(path)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return spark.createDataFrame([], schema)
+
     def add(batch: DataFrame, _: int) -> None:
-        spark = batch.sparkSession
-        # the folder may not exist before the first batch
-        spark.createDataFrame([], schema).write.mode("append").parquet(path)
-        stored = spark.read.schema(schema).parquet(path)
-        new_only(batch, stored, order).write.mode("append").parquet(path)
+        new_only(batch, stored(batch.sparkSession), order).write.mode("append").parquet(path)
 
     writer = stream.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint)
     if available_now:

@@ -75,6 +75,16 @@ def test_heads(spark):
     assert rows(dd.head_feeds(df, 2, feed_order="pos"), "pos") == [(1,), (2,), (3,)]
 
 
+def test_long_heads_of_a_hot_feed(spark):
+    df = spark.range(20000).select("id", F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("f"), F.col("id") % 50)).alias("feed"))
+    got = dd.head_per_feed(df, 1500, ["id"])
+    local = {}
+    for i in range(20000):
+        local.setdefault("hot" if i % 3 == 0 else f"f{i % 50}", []).append(i)
+    want = sorted((i, f) for f, ids_ in local.items() for i in ids_[:1500])
+    assert rows(got, "id", "feed") == want
+
+
 def test_new_only_hot_address(spark):
     incoming = spark.range(5000).select(
         F.col("id"), F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("url"))
