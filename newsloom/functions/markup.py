@@ -38,9 +38,9 @@ def _codepoint_to_text(cp: Column) -> Column:
 
 
 def _named_entities() -> Column:
-    pairs = [F.lit(x) for name, cp in sorted(name2codepoint.items()) for x in (name, chr(cp))]
-    pairs += [F.lit("apos"), F.lit("'")]
-    return F.create_map(*pairs)
+    """Name to character, as one constant that the optimizer turns into a map."""
+    pairs = [f"{name}\x02{chr(cp)}" for name, cp in sorted(name2codepoint.items())]
+    return F.str_to_map(F.lit("\x01".join([*pairs, "apos\x02'"])), F.lit("\x01"), F.lit("\x02"))
 
 
 def decode_entities(c: Column | str) -> Column:

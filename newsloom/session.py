@@ -16,6 +16,9 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # call sites are captured for every column operation otherwise, which takes
+    # half of all calls to the JVM while the longer expressions are built
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
