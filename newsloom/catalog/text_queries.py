@@ -256,7 +256,7 @@ def top_keywords(spark, folder):
     return pl.top_keywords(_keywords(spark, folder)).select("word", F.round("score", 6).alias("score"))
 
 
-# the keyword stage on the training share only, as the reference runs it
+# the keyword stage on the training share only
 @query("top_keywords_train", "WITH " + TERMS.replace(
     "FROM documents)", f"FROM documents WHERE doc_id IN ({TRAIN}))", 1) + """
 SELECT word, round(score, 6) AS score FROM leaders ORDER BY round(score, 9) DESC, word LIMIT 20""")

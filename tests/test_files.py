@@ -51,12 +51,12 @@ def test_merge(spark, tmp_path):
 def test_archive_csv(spark, tmp_path):
     path = tmp_path / "archive.csv"
     write(path, 'date,time,title,url,full_text\n21-10-2025,09:30,"He said ""ok"", then",u1,"line one\nline two"\n05-10-2025,,b,u2,\n')
-    got = readers.read_archive_csv(spark, str(path), "security").orderBy("url").collect()
+    got = readers.read_archive_csv(spark, str(path), "archive").orderBy("url").collect()
     assert [r.published for r in got] == ["Tue, 21 Oct 2025 09:30:00", "Sun, 05 Oct 2025 00:00:00"]
-    assert got[0].title == 'He said "ok", then' and got[0].full_text == "line one\nline two" and got[0].feed == "security"
+    assert got[0].title == 'He said "ok", then' and got[0].full_text == "line one\nline two" and got[0].feed == "archive"
     listing = tmp_path / "listing.csv"
     write(listing, "date,time,title,summary,link\n2025-10-03,10:00,a,s,https://x/1\n")
-    row = readers.read_archive_csv(spark, str(listing), "bleeping", listing=True).first()
+    row = readers.read_archive_csv(spark, str(listing), "listing", listing=True).first()
     assert row.url == "https://x/1" and row.summary == "s" and str(row.published_ts) == "2025-10-03 00:00:00"
 
 

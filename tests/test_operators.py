@@ -354,10 +354,10 @@ def test_label_model_is_symmetric():
 def articles(spark):
     return spark.createDataFrame(
         [
-            (1, "nos", "Brand in Sittard", ["Sittard"], "2025-01-02 10:00:00", 0.9, [("brand", 0.5)]),
-            (2, "nos", "Markt (open)", ["Den Haag", "Berg"], "2025-01-03 23:59:59", 0.8, [("markt", 0.4), ("brand", 0.2)]),
+            (1, "alpha", "Brand in Sittard", ["Sittard"], "2025-01-02 10:00:00", 0.9, [("brand", 0.5)]),
+            (2, "alpha", "Markt (open)", ["Den Haag", "Berg"], "2025-01-03 23:59:59", 0.8, [("markt", 0.4), ("brand", 0.2)]),
             (3, None, "Niets", None, None, None, None),
-            (4, "ncsc", "BRAND", [], "2025-02-01 00:00:00", 0.1, []),
+            (4, "beta", "BRAND", [], "2025-02-01 00:00:00", 0.1, []),
         ],
         "doc_id int, feed string, title string, locations array<string>, ts string, sme_probability double, "
         "keywords array<struct<word:string,score:double>>",
@@ -378,7 +378,7 @@ def test_text_search(spark):
 
 def test_other_filters(spark):
     df = articles(spark)
-    assert ids(df.where(fl.feed_in(["nos"]))) == [1, 2]
+    assert ids(df.where(fl.feed_in(["alpha"]))) == [1, 2]
     assert ids(df.where(fl.feed_in([]))) == []
     assert ids(df.where(fl.location_tags("SITT, haag"))) == [1, 2]
     assert ids(df.where(fl.location_tags(" , "))) == [1, 2, 3, 4]
@@ -404,17 +404,17 @@ def test_clamp(spark, start, end, want):
 
 def test_specs_and_presets(spark):
     df = articles(spark)
-    spec = fl.FilterSpec.from_mapping({"text_filter": "brand", "selected_feeds": ["nos"], "date_range": ["2025-01-01", "2025-01-02"]})
+    spec = fl.FilterSpec.from_mapping({"text_filter": "brand", "selected_feeds": ["alpha"], "date_range": ["2025-01-01", "2025-01-02"]})
     assert ids(fl.apply_filters(df, spec)) == [1]
     assert ids(fl.apply_filters(df, fl.FilterSpec.from_mapping({}))) == [1, 2, 3, 4]
     assert ids(fl.apply_filters(df, fl.FilterSpec(date_range=("2100-01-01", "2101-01-01")))) == [4]
-    tagged = fl.tag_presets(df, {"fire": fl.FilterSpec(text_filter="brand"), "nos": fl.FilterSpec(selected_feeds=("nos",))})
-    assert rows(tagged, "preset", "doc_id") == [("fire", 1), ("fire", 2), ("fire", 4), ("nos", 1), ("nos", 2)]
+    tagged = fl.tag_presets(df, {"fire": fl.FilterSpec(text_filter="brand"), "alpha": fl.FilterSpec(selected_feeds=("alpha",))})
+    assert rows(tagged, "preset", "doc_id") == [("fire", 1), ("fire", 2), ("fire", 4), ("alpha", 1), ("alpha", 2)]
     assert "Join" not in plan(tagged)
-    one, two = fl.text_matches(df.schema, "brand"), fl.feed_in(["nos"])
+    one, two = fl.text_matches(df.schema, "brand"), fl.feed_in(["alpha"])
     assert ids(df.where(one).where(two)) == ids(df.where(two).where(one))
-    kept = {r.stage: (r.kept, r.total) for r in fl.keep_ratio(df, {"nos": F.col("feed") == "nos"}).collect()}
-    assert kept == {"nos": (2, 4)}
+    kept = {r.stage: (r.kept, r.total) for r in fl.keep_ratio(df, {"alpha": F.col("feed") == "alpha"}).collect()}
+    assert kept == {"alpha": (2, 4)}
 
 
 # --- exploration ------------------------------------------------------------------
