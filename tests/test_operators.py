@@ -409,7 +409,7 @@ def test_specs_and_presets(spark):
     assert ids(fl.apply_filters(df, fl.FilterSpec.from_mapping({}))) == [1, 2, 3, 4]
     assert ids(fl.apply_filters(df, fl.FilterSpec(date_range=("2100-01-01", "2101-01-01")))) == [4]
     tagged = fl.tag_presets(df, {"fire": fl.FilterSpec(text_filter="brand"), "alpha": fl.FilterSpec(selected_feeds=("alpha",))})
-    assert rows(tagged, "preset", "doc_id") == [("fire", 1), ("fire", 2), ("fire", 4), ("alpha", 1), ("alpha", 2)]
+    assert rows(tagged, "preset", "doc_id") == [("alpha", 1), ("alpha", 2), ("fire", 1), ("fire", 2), ("fire", 4)]
     assert "Join" not in plan(tagged)
     one, two = fl.text_matches(df.schema, "brand"), fl.feed_in(["alpha"])
     assert ids(df.where(one).where(two)) == ids(df.where(two).where(one))
