@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from newsloom.llm.common import table
+from newsloom.llm.decontaminate import contamination
 from newsloom.llm.exact_dedup import exact_groups
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,3 +40,49 @@ def _query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 )
 def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_groups(table(spark, folder, "documents"))
+
+
+# Documents and items as numbered words; a window of n words is a slice of such a list.
+@_query(
+    "op7_decontaminate",
+    r"""
+    WITH d AS (
+      SELECT doc_id, regexp_extract_all(lower_ascii, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+      FROM (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS lower_ascii
+            FROM documents)
+    ), b AS (
+      SELECT item_id, regexp_extract_all(lower_ascii, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+      FROM (SELECT item_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS lower_ascii
+            FROM benchmark)
+    ), grams AS (
+      SELECT DISTINCT item_id, size, list_aggregate(words[i + 1:i + size], 'string_agg', ' ') AS gram
+      FROM (SELECT item_id, words, least(10, len(words)) AS size,
+                   unnest(range(len(words) - least(10, len(words)) + 1)) AS i
+            FROM b WHERE len(words) > 0)
+    ), places AS (
+      SELECT doc_id, size, i, list_aggregate(words[i + 1:i + size], 'string_agg', ' ') AS gram
+      FROM (SELECT doc_id, words, size, unnest(range(len(words) - size + 1)) AS i
+            FROM d, (SELECT DISTINCT size FROM grams) WHERE len(words) >= size)
+    ), hits AS (
+      SELECT doc_id, item_id, i, size FROM places JOIN grams USING (size, gram)
+    ), words_hit AS (
+      SELECT doc_id, count(DISTINCT w) AS n FROM (SELECT doc_id, unnest(range(i, i + size)) AS w FROM hits) GROUP BY doc_id
+    ), items_hit AS (
+      SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS names
+      FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id
+    )
+    SELECT doc_id, len(words) AS n_words, coalesce(w.n, 0) AS n_hit, coalesce(x.n, 0) AS n_items,
+           sha256(coalesce(x.names, '')) AS items_sha256, coalesce(w.n, 0) > 0 AS contaminated
+    FROM d LEFT JOIN words_hit w USING (doc_id) LEFT JOIN items_hit x USING (doc_id)
+    """,
+)
+def op7_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    found = contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
