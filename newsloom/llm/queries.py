@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from newsloom.llm.common import table
 from newsloom.llm.decontaminate import contamination
 from newsloom.llm.exact_dedup import exact_groups
+from newsloom.llm.simhash import near_groups
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -86,3 +87,9 @@ def op7_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
     )
+
+
+@_query("op6_simhash_dedup")
+def op6_simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = near_groups(table(spark, folder, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
