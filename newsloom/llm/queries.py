@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from newsloom.llm.common import table
 from newsloom.llm.decontaminate import contamination
 from newsloom.llm.exact_dedup import exact_groups
+from newsloom.llm.quality import THRESHOLD, train, with_quality
 from newsloom.llm.simhash import near_groups
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -93,3 +94,19 @@ def op7_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
 def op6_simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = near_groups(table(spark, folder, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def _held_out():
+    return F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+
+
+@_query("op1_quality_classifier")
+def op1_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    model = train(docs, table(spark, folder, "labels").where(~_held_out()))
+    return with_quality(docs, model, "score").select(
+        "doc_id",
+        F.coalesce(_held_out(), F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
+    )
