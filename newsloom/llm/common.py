@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from newsloom.session import shared_dir
+
 # The ASCII white space that the contracts name: space and U+0009 to U+000D.
 WHITE = r"[\x20\x09-\x0D]+"
 
@@ -16,6 +19,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A path of its own in the shared folder."""
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def texts_of(column: pa.Array) -> list[str]:
     """The strings of an Arrow column, null as empty."""
     return [t or "" for t in column.to_pylist()]

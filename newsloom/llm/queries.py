@@ -7,11 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsloom.llm.common import table
+from newsloom.llm.common import scratch, table
 from newsloom.llm.decontaminate import contamination
 from newsloom.llm.exact_dedup import exact_groups
 from newsloom.llm.quality import THRESHOLD, train, with_quality
 from newsloom.llm.simhash import near_groups
+from newsloom.llm.token_files import ids_crc32, read_tokens, tokenizer_path, write_tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -110,3 +111,10 @@ def op1_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
         "score",
         (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
     )
+
+
+@_query("op5_token_files")
+def op5_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch(spark, "tokens")
+    write_tokens(table(spark, folder, "documents"), path, tokenizer_path())
+    return read_tokens(spark, path).select("doc_id", "start", "n_tokens", ids_crc32(F.col("ids")).alias("ids_crc32"))
