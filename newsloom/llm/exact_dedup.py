@@ -28,6 +28,9 @@ from newsloom.sources.writers import stage
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+# Characters of a text that take part in a splitter. Texts with one head are
+# told apart by a hash there, and by the whole text in the comparison.
+HEAD = 32
 FOLDED = pa.schema([("content", pa.string()), ("first_id", pa.int64()), ("ids", pa.list_(pa.int64()))])
 
 
@@ -68,14 +71,22 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = pick(docs, doc_id=id_col, text=text_col).select(F.col("doc_id").cast("long"), normalised().alias("content"))
     folded = stage(
         rows.mapInArrow(fold_batches, "content string, first_id long, ids array<long>")
-        .withColumn("entry", F.monotonically_increasing_id()),
+        .select(
+            F.monotonically_increasing_id().alias("entry"),
+            F.left("content", F.lit(HEAD)).alias("head"),
+            F.xxhash64("content").alias("mark"),
+            "content",
+            "first_id",
+            "ids",
+        ),
         "folded-texts",
     )
-    # window partitions need no second exchange: the ranges already keep equal texts together
-    group = Window.partitionBy("content")
+    # The ranges already keep equal texts together, so the window needs no second
+    # exchange. Splitters are heads of texts: whole ones would not fit the driver.
+    group = Window.partitionBy("head", "mark", "content")
     found = (
-        folded.select("content", "first_id", F.size("ids").alias("n"), "entry")
-        .repartitionByRange("content")
+        folded.select("head", "mark", "content", "first_id", F.size("ids").alias("n"), "entry")
+        .repartitionByRange("head", "mark")
         .select(
             "entry",
             F.min("first_id").over(group).alias("keep_id"),
