@@ -13,6 +13,7 @@ from newsloom.llm.exact_dedup import exact_groups
 from newsloom.llm.quality import THRESHOLD, train, with_quality
 from newsloom.llm.simhash import near_groups
 from newsloom.llm.token_files import ids_crc32, read_tokens, tokenizer_path, write_tokens
+from newsloom.llm.warc import read_warc, write_pages
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -118,3 +119,37 @@ def op5_token_files(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch(spark, "tokens")
     write_tokens(table(spark, folder, "documents"), path, tokenizer_path())
     return read_tokens(spark, path).select("doc_id", "start", "n_tokens", ids_crc32(F.col("ids")).alias("ids_crc32"))
+
+
+# Five hexadecimal digits are four letters of base 32.
+@_query(
+    "op4_warc",
+    r"""
+    WITH p AS (
+      SELECT page_id, sha1(coalesce(html, '')) AS digest, octet_length(encode(coalesce(html, ''))) AS payload_bytes FROM pages
+    ), g AS (
+      SELECT *, min(page_id) OVER (PARTITION BY digest, payload_bytes) AS first_id FROM p
+    )
+    SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes,
+           list_aggregate(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+             1 + CAST((CAST('0x' || substr(digest, CAST(5 * (i // 4) + 1 AS INT), 5) AS BIGINT) >> CAST(15 - 5 * (i % 4) AS INT)) & 31 AS INT), 1)),
+             'string_agg', '') AS payload_digest,
+           CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+           CASE WHEN page_id = first_id THEN NULL ELSE first_id END AS refers_to
+    FROM g
+    """,
+)
+def op4_warc(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch(spark, "warc")
+    write_pages(table(spark, folder, "pages"), path)
+
+    def page_of(urn: str):
+        return F.substring_index(urn, ":", -1).try_cast("long")
+
+    return read_warc(spark, path).select(
+        page_of("record_id").alias("page_id"),
+        "payload_bytes",
+        F.substring_index("payload_digest", ":", -1).alias("payload_digest"),
+        F.col("warc_type").alias("record_type"),
+        page_of("refers_to").alias("refers_to"),
+    )
