@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from newsloom.llm.common import scratch, table
 from newsloom.llm.decontaminate import contamination
 from newsloom.llm.exact_dedup import exact_groups
+from newsloom.llm.html_text import extract_pages
 from newsloom.llm.quality import THRESHOLD, train, with_quality
 from newsloom.llm.simhash import near_groups
 from newsloom.llm.token_files import ids_crc32, read_tokens, tokenizer_path, write_tokens
@@ -153,3 +154,8 @@ def op4_warc(spark: SparkSession, folder: str) -> DataFrame:
         F.col("warc_type").alias("record_type"),
         page_of("refers_to").alias("refers_to"),
     )
+
+
+@_query("op9_html_text")
+def op9_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    return extract_pages(table(spark, folder, "pages"))
