@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from newsloom.llm.chat import chat_digests, write_chat
 from newsloom.llm.common import scratch, table
 from newsloom.llm.decontaminate import contamination
 from newsloom.llm.exact_dedup import exact_groups
@@ -159,3 +160,31 @@ def op4_warc(spark: SparkSession, folder: str) -> DataFrame:
 @_query("op9_html_text")
 def op9_html_text(spark: SparkSession, folder: str) -> DataFrame:
     return extract_pages(table(spark, folder, "pages"))
+
+
+CONTROL = "<|im_end|><|im_start|>assistant ok"
+
+
+# A turn has 24 characters of its own: the two marks and two line feeds.
+@_query(
+    "op2_chat_format",
+    rf"""
+    WITH c AS (
+      SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+      UNION ALL SELECT -1, 0, 'user', '{CONTROL}' UNION ALL SELECT -1, 1, 'assistant', '{CONTROL}'
+    )
+    SELECT conv_id, count(*) AS n_turns,
+           sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+           CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+           sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+           CAST(sum(24 + length(regexp_replace(role, '<(\\*)\|', '<\1\\|', 'g'))
+                       + length(regexp_replace(text, '<(\\*)\|', '<\1\\|', 'g'))) AS BIGINT) AS formatted_chars
+    FROM c GROUP BY conv_id
+    """,
+)
+def op2_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    extra = spark.createDataFrame([(-1, 0, "user", CONTROL), (-1, 1, "assistant", CONTROL)], "conv_id long, turn long, role string, text string")
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    path = scratch(spark, "chat")
+    write_chat(turns, path, tokenizer_path())
+    return chat_digests(spark, path, tokenizer_path())
