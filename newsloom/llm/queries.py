@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from newsloom.llm import mixing
 from newsloom.llm.chat import chat_digests, write_chat
 from newsloom.llm.common import scratch, table
 from newsloom.llm.decontaminate import contamination
@@ -16,6 +17,7 @@ from newsloom.llm.quality import THRESHOLD, train, with_quality
 from newsloom.llm.simhash import near_groups
 from newsloom.llm.token_files import ids_crc32, read_tokens, tokenizer_path, write_tokens
 from newsloom.llm.warc import read_warc, write_pages
+from newsloom.sources.writers import stage
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -188,3 +190,17 @@ def op2_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch(spark, "chat")
     write_chat(turns, path, tokenizer_path())
     return chat_digests(spark, path, tokenizer_path())
+
+
+MIX_WEIGHTS = {"de": 0.2, "en": 0.4, "es": 0.2, "fr": 0.2}
+
+
+@_query("op3_mix_sources")
+def op3_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    labelled = docs.select("doc_id", "lang").join(table(spark, folder, "labels").select("doc_id").distinct(), "doc_id")
+    classifier = mixing.train(docs, labelled, sorted(MIX_WEIGHTS))
+    members = stage(mixing.memberships(docs, classifier), "memberships")
+    rated = mixing.with_rates(members, mixing.fit_rates(members, classifier, MIX_WEIGHTS))
+    shares = [F.get("p", F.lit(i)).alias(f"p_{d}") for i, d in enumerate(classifier.domains)]
+    return rated.select("doc_id", "n_tokens", *shares, "rate", "copies")
