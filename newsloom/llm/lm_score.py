@@ -1,0 +1,223 @@
+"""Scores of documents by masked pseudo-likelihood.
+
+Every token is predicted from the two tokens on either side by a small network:
+an embedding per place of the window, summed into one hidden layer, and a
+softmax over the vocabulary. The score of a document is the sum over its tokens
+of the log-probability of the token given its neighbours.
+
+The vocabulary is the most frequent words of the whole corpus and one entry per
+ending for the rest. The window is seen through classes of tokens, so the
+windows of the corpus can be counted without loss: the counts of (window,
+token), summed over all documents by Spark, are all that training needs, and
+their size depends on the classes only. The network is trained on them in
+numpy, and scoring looks its outputs up.
+"""
+
+from __future__ import annotations
+
+import sys
+import zlib
+from collections import Counter
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from newsloom.llm.common import pick
+from newsloom.sources.writers import stage
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+# Token numbers: 0 stands outside of a text, then frequent words, then endings.
+WORDS = 191
+ENDINGS = 64
+TOKENS = 1 + WORDS + ENDINGS
+# Longer words never enter the vocabulary.
+LONGEST = 64
+# Classes of the tokens next to the predicted one and of those behind them.
+NEAR, FAR = 16, 3
+OWN_CLASS = 7
+CONTEXTS = NEAR * NEAR * FAR * FAR
+HIDDEN = 32
+EPOCHS = 300
+RATE = 0.02
+REMEMBER = 400_000
+CHUNK = 2_000_000
+
+
+class Numbering(dict):
+    """Token number of a word; a worker remembers words it has met, up to a bound."""
+
+    def __init__(self, words: list[bytes]):
+        super().__init__({w: i + 1 for i, w in enumerate(words)})
+
+    def __missing__(self, word: bytes) -> int:
+        number = 1 + WORDS + zlib.crc32(word[-3:]) % ENDINGS
+        if len(self) < REMEMBER:
+            self[word] = number
+        return number
+
+
+def classes(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Near and far class of every token: outside, the most frequent words by themselves, the others by ending."""
+    near, far = np.zeros(TOKENS, np.int64), np.full(TOKENS, 2, np.int64)
+    spare = NEAR - 1 - OWN_CLASS
+    for i, w in enumerate(words):
+        near[i + 1] = 1 + i if i < OWN_CLASS else 1 + OWN_CLASS + zlib.crc32(w[-2:]) % (spare // 2)
+        far[i + 1] = 1
+    near[1 + WORDS :] = 1 + OWN_CLASS + spare // 2 + np.arange(ENDINGS) % (spare - spare // 2)
+    far[0] = 0
+    return near, far
+
+
+def numbered(texts: list[bytes], numbers: Numbering) -> tuple[np.ndarray, np.ndarray]:
+    """Tokens of all texts with two outside places around each, and tokens per text."""
+    row, counts = [0, 0], []
+    for text in texts:
+        words = text.lower().split()
+        counts.append(len(words))
+        row.extend(map(numbers.__getitem__, words))
+        row += (0, 0)
+    return np.array(row, np.int64), np.array(counts, np.int64)
+
+
+def windows(row: np.ndarray, near: np.ndarray, far: np.ndarray) -> np.ndarray:
+    """Cell (window, token) of every place but the two at either end."""
+    n, f = near[row], far[row]
+    context = ((n[1:-3] * NEAR + n[3:-1]) * FAR + f[:-4]) * FAR + f[4:]
+    return context * TOKENS + row[2:-2]
+
+
+def _chunks(texts: list[bytes]) -> Iterator[list[bytes]]:
+    part, size = [], 0
+    for text in texts:
+        if size and size + len(text) > CHUNK:
+            yield part
+            part, size = [], 0
+        part.append(text)
+        size += len(text)
+    if part:
+        yield part
+
+
+def _bytes(column: pa.Array) -> list[bytes]:
+    return [t or b"" for t in column.cast(pa.binary()).to_pylist()]
+
+
+def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    schema = pa.schema([("word", pa.binary()), ("n", pa.int64())])
+    counts: Counter = Counter()
+    for rows in batches:
+        for text in _bytes(rows.column(0)):
+            counts.update(text.lower().split())
+        if len(counts) > REMEMBER:
+            yield _counted(counts, schema)
+            counts.clear()
+    yield _counted(counts, schema)
+
+
+def _counted(counts: Counter, schema: pa.Schema) -> pa.RecordBatch:
+    kept = [(w, n) for w, n in counts.items() if len(w) <= LONGEST]
+    return pa.RecordBatch.from_arrays([pa.array([w for w, _ in kept], pa.binary()), pa.array([n for _, n in kept], pa.int64())], schema=schema)
+
+
+def vocabulary(docs: DataFrame) -> list[bytes]:
+    """The most frequent words of all texts, by number and then in order."""
+    counted = docs.select("text").mapInArrow(count_words, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return [bytes(r["word"]) for r in counted.orderBy(F.desc("n"), "word").limit(WORDS).collect()]
+
+
+def window_counts(docs: DataFrame, words: list[bytes]) -> DataFrame:
+    """``cell, n``: how often each token stands in each window, over all texts."""
+    near, far = classes(words)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("cell", pa.int64()), ("n", pa.int64())])
+        numbers, total = Numbering(words), np.zeros(CONTEXTS * TOKENS, np.int64)
+        for rows in batches:
+            for part in _chunks(_bytes(rows.column(0))):
+                row, _ = numbered(part, numbers)
+                cells = windows(row, near, far)
+                total += np.bincount(cells[row[2:-2] > 0], minlength=len(total))
+        cells = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(total[cells])], schema=schema)
+
+    return docs.select("text").mapInArrow(count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
+
+
+def _log_softmax(x: np.ndarray) -> np.ndarray:
+    x = x - x.max(axis=1, keepdims=True)
+    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
+
+
+def train_network(counts: np.ndarray, epochs: int = EPOCHS, seed: int = 0) -> np.ndarray:
+    """Log-probabilities [window, token] of the network fitted to the counts; even ones without counts."""
+    rng, total = np.random.default_rng(seed), counts.sum()
+    at = np.stack(np.unravel_index(np.arange(CONTEXTS), (NEAR, NEAR, FAR, FAR)))
+    seen = np.log(counts.sum(axis=0) + 0.5)
+    seen[0] = -30.0  # no token stands outside
+    if not total:
+        return np.full((CONTEXTS, TOKENS), -np.log(TOKENS - 1), np.float32)
+    net = [rng.normal(0, 0.3, (k, HIDDEN)) for k in (NEAR, NEAR, FAR, FAR)] + [rng.normal(0, 0.1, (HIDDEN, TOKENS)), seen - np.log(np.exp(seen).sum())]
+    net = [p.astype(np.float32) for p in net]
+    first, second = [np.zeros_like(p) for p in net], [np.zeros_like(p) for p in net]
+    used = np.flatnonzero(counts.sum(axis=1))
+    share, weight = (counts[used] / total).astype(np.float32), (counts[used].sum(axis=1, keepdims=True) / total).astype(np.float32)
+    places = [(at[i, used][:, None] == np.arange(k)).astype(np.float32) for i, k in enumerate((NEAR, NEAR, FAR, FAR))]
+
+    def hidden(rows: np.ndarray) -> np.ndarray:
+        return np.tanh(sum(net[i][at[i, rows]] for i in range(4)))
+
+    for epoch in range(1, epochs + 1):
+        h = hidden(used)
+        error = np.exp(_log_softmax(h @ net[4] + net[5])) * weight - share
+        back = (error @ net[4].T) * (1 - h * h)
+        grads = [p.T @ back for p in places] + [h.T @ error, error.sum(axis=0)]
+        step = RATE * min(1.0, 3 * (1 - epoch / (epochs + 1)))
+        for p, g, m, v in zip(net, grads, first, second, strict=True):
+            m += 0.1 * (g - m)
+            v += 0.01 * (g * g - v)
+            p -= step * (m / (1 - 0.9**epoch)) / (np.sqrt(v / (1 - 0.99**epoch)) + 1e-9)
+    return _log_softmax(hidden(np.arange(CONTEXTS)) @ net[4] + net[5]).astype(np.float32)
+
+
+def score_texts(texts: list[bytes], numbers: Numbering, near: np.ndarray, far: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Tokens and summed log-probability of each text."""
+    row, counts = numbered(texts, numbers)
+    values = np.where(row[2:-2] > 0, table.ravel()[windows(row, near, far)], 0).astype(np.float64)
+    sums = np.concatenate([[0], np.cumsum(values)])
+    starts = np.concatenate([[0], np.cumsum(counts + 2)])[:-1]
+    return counts, sums[starts + counts] - sums[starts]
+
+
+def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id, n_tokens, log_prob, mean_log_prob`` of every row, by a network trained on all of them.
+
+    Tokens are words between ASCII white space, A-Z lowered. Null and empty texts
+    have no tokens, a sum of zero and no mean. Rows that repeat are scored alike.
+    An empty table gives an empty result. Other columns are ignored.
+    """
+    texts = pick(docs, doc_id=id_col, text=text_col)
+    words = vocabulary(texts)
+    # at most one row per cell reaches the driver
+    cells = stage(window_counts(texts, words), "window-counts").toPandas()
+    counts = np.zeros(CONTEXTS * TOKENS)
+    counts[cells["cell"].to_numpy(np.int64)] = cells["n"].to_numpy(float)
+    sent = docs.sparkSession.sparkContext.broadcast((words, train_network(counts.reshape(CONTEXTS, TOKENS))))
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("log_prob", pa.float64())])
+        known, table = sent.value
+        numbers, (near, far) = Numbering(known), classes(known)
+        for rows in batches:
+            at = 0
+            for part in _chunks(_bytes(rows.column(1))):
+                n, sums = score_texts(part, numbers, near, far, table)
+                yield pa.RecordBatch.from_arrays([rows.column(0).slice(at, len(part)), pa.array(n), pa.array(sums)], schema=schema)
+                at += len(part)
+
+    scored = texts.select(F.col("doc_id").cast("long"), "text").mapInArrow(score, "doc_id long, n_tokens long, log_prob double")
+    return scored.withColumn("mean_log_prob", F.try_divide("log_prob", "n_tokens"))

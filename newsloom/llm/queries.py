@@ -13,6 +13,7 @@ from newsloom.llm.common import scratch, table
 from newsloom.llm.decontaminate import contamination
 from newsloom.llm.exact_dedup import exact_groups
 from newsloom.llm.html_text import extract_pages
+from newsloom.llm.lm_score import score_documents
 from newsloom.llm.quality import THRESHOLD, train, with_quality
 from newsloom.llm.simhash import near_groups
 from newsloom.llm.token_files import ids_crc32, read_tokens, tokenizer_path, write_tokens
@@ -204,3 +205,8 @@ def op3_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     rated = mixing.with_rates(members, mixing.fit_rates(members, classifier, MIX_WEIGHTS))
     shares = [F.get("p", F.lit(i)).alias(f"p_{d}") for i, d in enumerate(classifier.domains)]
     return rated.select("doc_id", "n_tokens", *shares, "rate", "copies")
+
+
+@_query("op8_lm_score")
+def op8_lm_score(spark: SparkSession, folder: str) -> DataFrame:
+    return score_documents(table(spark, folder, "documents"))
