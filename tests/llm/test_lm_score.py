@@ -1,0 +1,79 @@
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from newsloom.llm import lm_score as L
+
+SCHEMA = "doc_id long, text string, n_tokens string, log_prob int"
+
+
+@pytest.fixture(scope="module")
+def rows():
+    rng, text = random.Random(3), []
+    for _ in range(300):
+        line, word = [], 0
+        for _ in range(rng.randint(1, 60)):  # words follow each other by a rule, with some noise
+            word = (word * 3 + 1) % 17 if rng.random() < 0.8 else rng.randint(0, 16)
+            line.append(f"w{word}" if rng.random() < 0.9 else f"rare{rng.randint(0, 10**6)}x")
+        text.append(" ".join(line))
+    return [(i, t, "x", 1) for i, t in enumerate(text)]
+
+
+def plain(texts):
+    """Vocabulary, counts and per-text cells, one token after the other."""
+    seen = Counter(w for t in texts for w in t.lower().encode().split())
+    words = [w for w, _ in sorted(seen.items(), key=lambda x: (-x[1], x[0])) if len(w) <= L.LONGEST][: L.WORDS]
+    numbers, (near, far) = L.Numbering(words), L.classes(words)
+    cells = []
+    for t in texts:
+        ids = [0, 0, *(numbers[w] for w in t.lower().encode().split()), 0, 0]
+        cells.append([
+            np.ravel_multi_index((near[ids[j - 1]], near[ids[j + 1]], far[ids[j - 2]], far[ids[j + 2]], ids[j]), (L.NEAR, L.NEAR, L.FAR, L.FAR, L.TOKENS))
+            for j in range(2, len(ids) - 2)
+        ])
+    return words, cells
+
+
+def test_scores_against_one_token_at_a_time(spark, rows):
+    extra = [(1000, None, "x", 1), (1001, "", "x", 1), (1001, " \n", "x", 1), (None, "W1 w4", "x", 1), (1002, "w1 " * 30_000, "x", 1), (1003, "y" * 70_000, "x", 1)]
+    everything = rows + extra
+    words, cells = plain([t or "" for _, t, *_ in everything])
+    counts = np.zeros(L.CONTEXTS * L.TOKENS)
+    for c in cells:
+        np.add.at(counts, c, 1)
+    table = L.train_network(counts.reshape(L.CONTEXTS, L.TOKENS))
+    got = L.score_documents(spark.createDataFrame(everything, SCHEMA).repartition(4)).collect()
+    want = sorted((str(i), len(c), float(table.ravel()[c].sum(dtype=float)) if c else 0.0) for (i, *_), c in zip(everything, cells, strict=True))
+    found = sorted((str(r.doc_id), r.n_tokens, r.log_prob) for r in got)
+    assert [x[:2] for x in found] == [x[:2] for x in want]
+    assert np.allclose([x[2] for x in found], [x[2] for x in want], rtol=1e-3, atol=0.01)
+    assert all((r.mean_log_prob is None) == (r.n_tokens == 0) for r in got)
+
+
+def test_the_network_beats_single_words_and_prefers_the_right_order(spark, rows):
+    words, cells = plain([t for _, t, *_ in rows])
+    counts = np.zeros(L.CONTEXTS * L.TOKENS)
+    for c in cells:
+        np.add.at(counts, c, 1)
+    counts = counts.reshape(L.CONTEXTS, L.TOKENS)
+    table = L.train_network(counts)
+    assert np.allclose(np.exp(table.astype(float)).sum(axis=1), 1, atol=1e-4)
+    alone = counts.sum(axis=0) / counts.sum()
+    assert (counts * table).sum() > (counts.sum(axis=0) * np.log(alone + 1e-300)).sum() + 0.1 * counts.sum()
+    near, far = L.classes(words)
+    rng, better = random.Random(1), 0
+    long = [t for _, t, *_ in rows if len(t.split()) > 30]
+    for t in long:
+        mixed = t.split()
+        rng.shuffle(mixed)
+        _, (a, b) = L.score_texts([t.encode(), " ".join(mixed).encode()], L.Numbering(words), near, far, table)
+        better += a > b
+    assert better > 0.9 * len(long)
+
+
+def test_empty_tables(spark):
+    assert L.score_documents(spark.createDataFrame([], SCHEMA)).collect() == []
+    (row,) = L.score_documents(spark.createDataFrame([(1, None, "", 0)], SCHEMA)).collect()
+    assert (row.n_tokens, row.log_prob, row.mean_log_prob) == (0, 0.0, None)
