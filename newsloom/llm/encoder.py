@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import gc
 import re
+import string
 import sys
 import types
 
@@ -18,25 +19,27 @@ from pyspark import cloudpickle
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# Pieces a worker remembers; beyond that it starts anew, so its memory stays bounded.
-REMEMBER = 700_000
+# Pieces a worker remembers; beyond that it forgets the rare ones, so its memory stays bounded.
+REMEMBER = 500_000
 TOGETHER = 2_000
+SIGNS = string.punctuation
 PIECES = re.compile(r"\s*\S+|\s+")
 # Python counts these as white space, the pattern of the tokenizer does not.
 UNSURE = re.compile(r"[\x1c-\x1f]")
 
 
 class _Numbers(dict):
-    """Numbers keys in the order they are met. New ones are noted for encoding, or as a known piece and a stop."""
+    """Numbers keys in the order they are met. New ones are noted for encoding, or as a piece and signs."""
 
     def __init__(self, coder: PieceEncoder, spaced: bool):
         self.coder, self.spaced = coder, spaced
 
     def __missing__(self, key: str) -> int:
         coder = self.coder
-        # a letter and a stop after it are never joined
-        stopped = key[-1] in ".," and key[-2:-1].isalpha() and key[-2] < "\u0250"
-        parts = (self[key[:-1]], coder.exact[key[-1]]) if stopped else None
+        # a letter and the signs after it are never joined
+        stem = key.rstrip(SIGNS)
+        signed = len(stem) < len(key) and stem[-1:].isalpha() and stem[-1] < "\u0250"
+        parts = (self[stem], coder.exact[key[len(stem) :]]) if signed else None
         self[key] = number = coder.count
         coder.count += 1
         if parts:
@@ -66,16 +69,34 @@ class PieceEncoder:
         self.lengths = np.zeros(max(vocabulary.values()) + 1, np.int64)
         for token, number in vocabulary.items():
             self.lengths[number] = len(token)  # one letter stands for one byte
-        self._forget()
+        self._start()
 
-    def _forget(self) -> None:
+    def _start(self) -> None:
         self.ids, self.used = np.zeros(1 << 16, np.int32), 0
         self.starts, self.sizes = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
+        self.uses = np.zeros(1, np.int64)
         self.count, self.new, self.derived = 1, [], []
         self.spaced, self.exact = _Numbers(self, True), _Numbers(self, False)
         # piece 0 ends a text
         self._store(np.zeros(1, np.int64), np.array([] if self.end is None else [self.end], np.int32), np.array([self.end is not None], np.int64))
 
+    def _forget(self) -> None:
+        """Keep the pieces met most often since the last time, at most half of the bound."""
+        least = 2
+        while (self.uses >= least).sum() > self.remember // 2:
+            least *= 2
+        kept = np.union1d([0], np.flatnonzero(self.uses >= least))
+        ids, sizes = self._gather(kept)
+        number = np.full(self.count, -1, np.int64)
+        number[kept] = np.arange(len(kept))
+        number, before = number.tolist(), (self.spaced, self.exact)
+        self._start()
+        self.count = len(kept)
+        self.used = 0
+        self._store(np.arange(len(kept)), ids, sizes)
+        for old, new in zip(before, (self.spaced, self.exact), strict=True):
+            new.update((key, number[n]) for key, n in old.items() if number[n] >= 0)
+
     def _store(self, numbers: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> None:
         self.ids = _wider(self.ids, self.used + len(ids))
         self.starts, self.sizes = _wider(self.starts, self.count), _wider(self.sizes, self.count)
@@ -120,9 +141,11 @@ class PieceEncoder:
     def _pieces(self, text: str) -> list[int]:
         if not text:
             return []
-        parts = text.replace("\n", " \n").split(" ")
-        # regular: every white space is one space or line feed between two other characters
-        if text.replace("\n", " ").split(" ") == text.split():
+        # regular: every white space is one space or line feed between two other characters;
+        # no other white space is printable
+        flat = text.replace("\n", " ")
+        if (flat.isprintable() and "  " not in flat and " " not in (flat[0], flat[-1])) or flat.split(" ") == text.split():
+            parts = text.replace("\n", " \n").split(" ")
             row = list(map(self.spaced.__getitem__, parts[1:]))
             row.insert(0, self.exact[parts[0]])
             return row
@@ -147,7 +170,11 @@ class PieceEncoder:
         finally:
             if collecting:
                 gc.enable()
-        ids, sizes = self._gather(np.array(rows, np.int64))
+        at = np.array(rows, np.int64)
+        uses = np.bincount(at, minlength=self.count)
+        uses[: len(self.uses)] += self.uses
+        self.uses = uses
+        ids, sizes = self._gather(at)
         ends, bounds = np.cumsum(sizes), np.cumsum(counts)
         return ids, np.diff(ends[bounds - 1], prepend=0) if len(bounds) else np.zeros(0, np.int64)
 

@@ -16,11 +16,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from newsloom.llm.common import pick
+from newsloom.llm.common import pick, texts_of
 from newsloom.llm.encoder import worker_encoder
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -30,8 +31,8 @@ END = 0
 # Bytes of a row group in memory, and rows of a page: what a selective read must touch at least.
 ROW_GROUP = 32 << 20
 PAGE_ROWS = 2_000
-# Characters that are encoded at once.
-CHUNK = 2_000_000
+# Bytes of text that are encoded at once.
+CHUNK = 1_000_000
 CODED = pa.schema([
     ("doc_id", pa.int64()), ("shard", pa.int32()), ("start_in_shard", pa.int64()), ("n_tokens", pa.int64()),
     ("ids", pa.list_(pa.int32())),
@@ -44,14 +45,14 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
-def _chunks(texts: list[str]) -> Iterator[tuple[int, int]]:
-    """Bounds of runs of texts of about CHUNK characters; a longer text is a run of its own."""
+def _chunks(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """Bounds of runs of texts of about CHUNK bytes; a longer text is a run of its own."""
     start, size = 0, 0
-    for i, text in enumerate(texts):
-        if size and size + len(text) > CHUNK:
+    for i, n in enumerate(pc.fill_null(pc.binary_length(texts), 0).to_pylist()):
+        if size and size + n > CHUNK:
             yield start, i
             start, size = i, 0
-        size += len(text)
+        size += n
     if start < len(texts):
         yield start, len(texts)
 
@@ -62,9 +63,8 @@ def _coder(path: str, end: int | None):
 
         encoder, shard, start = worker_encoder(path, end), TaskContext.get().partitionId(), 0
         for rows in batches:
-            texts = [t or "" for t in rows.column(1).to_pylist()]
-            for a, b in _chunks(texts):
-                ids, sizes = encoder.encode(texts[a:b])
+            for a, b in _chunks(rows.column(1)):
+                ids, sizes = encoder.encode(texts_of(rows.column(1).slice(a, b - a)))
                 ends = np.cumsum(sizes)
                 lists = pa.ListArray.from_arrays(pa.array(np.append(0, ends), pa.int32()), pa.array(ids))
                 yield pa.RecordBatch.from_arrays(
