@@ -81,6 +81,9 @@ PRESETS = {
     "german": fl.FilterSpec(text_filter="und der"),
     "early": fl.FilterSpec(date_range=("2024-01-01", "2024-01-10")),
     "inverted": fl.FilterSpec(date_range=("2024-01-10", "2024-01-01")),
+    "later": fl.FilterSpec(date_range=("2090-01-01", "2091-01-01")),
+    "unreadable": fl.FilterSpec(date_range=("soon", "2024-01-05")),
+    "open_end": fl.FilterSpec(date_range=("2024-01-05", "2091-01-01"), text_filter="und der"),
     "tagged": fl.FilterSpec(location_search="nicht, le", selected_feeds=("src1", "src2", "src3", "src4")),
 }
 PRESET_SQL = {
@@ -88,6 +91,9 @@ PRESET_SQL = {
     "german": "contains(lower(full_text), 'und der') OR contains(lower(title), 'und der')",
     "early": "published_ts::DATE BETWEEN DATE '2024-01-01' AND DATE '2024-01-10'",
     "inverted": "true",
+    "later": "published_ts::DATE = (SELECT max(published_ts)::DATE FROM located)",
+    "unreadable": "true",
+    "open_end": "published_ts::DATE >= DATE '2024-01-05' AND (contains(lower(full_text), 'und der') OR contains(lower(title), 'und der'))",
     "tagged": "feed IN ('src1', 'src2', 'src3', 'src4') AND "
               "len(list_filter(locations, lambda l: contains(lower(l), 'nicht') OR contains(lower(l), 'le'))) > 0",
 }
@@ -224,7 +230,7 @@ def _explored(spark, folder, with_keywords: bool = False):
 
 
 @query("enrich", f"""
-WITH {RESOLVED}, {src.votes_sql()},
+WITH RECURSIVE {RESOLVED}, {src.votes_sql()},
 probable AS (SELECT r.doc_id, r.country, 1.0::DOUBLE / (1.0::DOUBLE + exp(-({LOG_ODDS}))) AS p FROM resolved r JOIN votes v ON r.doc_id = v.doc_id),
 selected AS (SELECT * FROM probable WHERE p > 0.6),
 {TERMS.replace("FROM documents)", "FROM documents WHERE doc_id IN (SELECT doc_id FROM selected))", 1)}

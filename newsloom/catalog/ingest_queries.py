@@ -150,10 +150,10 @@ def union_distinct_sources(spark, folder):
     return dd.union_distinct(docs.select("title", "url"), talk.select("url"), items.select("url"))
 
 
-@query("row_dedupe", "SELECT DISTINCT role, turn, length(text) AS n FROM conversations")
+@query("row_dedupe", "SELECT DISTINCT role, turn, text FROM conversations")
 def row_dedupe(spark, folder):
-    talk = src.table(spark, folder, "conversations")
-    return dd.union_distinct(talk.select("role", "turn", F.length("text").cast("long").alias("n")))
+    talk = src.table(spark, folder, "conversations").select("role", "turn", "text")
+    return dd.union_distinct(talk, talk)
 
 
 @query("merge_articles", f"""
@@ -231,20 +231,19 @@ def new_articles_anti(spark, folder):
 
 @query("update_articles", f"""
 WITH {src.ARTICLES},
-existing AS (SELECT a.doc_id, a.url, a.published_ts FROM articles a JOIN documents d USING (doc_id) WHERE d.n_chars > 6000),
-bounded AS (SELECT * FROM existing WHERE doc_id <= (SELECT (min(doc_id) + max(doc_id)) // 2 FROM documents)),
+bounded AS (SELECT doc_id, url, published_ts FROM articles WHERE doc_id <= (SELECT (min(doc_id) + max(doc_id)) // 2 FROM documents)),
 fresh AS (SELECT doc_id, url, published_ts FROM articles
   WHERE published_ts >= (SELECT date_trunc('day', max(published_ts)) FROM bounded))
 SELECT doc_id, url FROM bounded UNION ALL
 (SELECT doc_id, url FROM fresh WHERE url NOT IN (SELECT url FROM bounded)
  QUALIFY row_number() OVER (PARTITION BY url ORDER BY doc_id) = 1)""")
 def update_articles(spark, folder):
-    """Stored: the long documents of the first half of the time; incoming: all documents."""
+    """Stored: the documents of the first half of the time; incoming: all documents."""
     docs = src.table(spark, folder, "documents")
-    stamped = docs.select("doc_id", F.md5("text").alias("url"), src.publication_hour().alias("published_ts"), "n_chars")
+    stamped = docs.select("doc_id", F.md5("text").alias("url"), src.publication_hour().alias("published_ts"))
     middle = docs.agg(F.expr("(min(doc_id) + max(doc_id)) div 2").alias("m"))
-    existing = stamped.where("n_chars > 6000").where(F.col("doc_id") <= middle.scalar()).drop("n_chars")
-    updated = pl.update_articles(existing, stamped.drop("n_chars"), ["doc_id"])
+    existing = stamped.where(F.col("doc_id") <= middle.scalar())
+    updated = pl.update_articles(existing, stamped, ["doc_id"])
     return updated.select("doc_id", "url")
 
 
@@ -281,20 +280,42 @@ def json_roundtrip(spark, folder):
     return back.select("feed", "title", "url", "published", "full_text")
 
 
-@query("csv_roundtrip", ROUNDTRIP.format(published="strftime(TIMESTAMP '2024-01-01' + to_hours(doc_id), '%a, %d %b %Y %H:%M:%S')"))
+@query("csv_roundtrip", ROUNDTRIP.replace("source AS feed", "'archive' AS feed").format(
+    published="strftime(TIMESTAMP '2024-01-01' + to_hours(doc_id), '%a, %d %b %Y %H:%M:%S')"))
 def csv_roundtrip(spark, folder):
     """Articles to the archive layout and back, line breaks and quotes included."""
     path = _scratch(spark, "csv")
     rows = _article_rows(spark, folder).withColumn("ts", dt.published_ts("published"))
-    archive = rows.select(
-        F.date_format("ts", "dd-MM-yyyy").alias("date"), F.date_format("ts", "HH:mm").alias("time"),
-        "title", "url", "full_text", "feed")
-    # one folder per feed, as each archive file belongs to one source
-    archive.write.partitionBy("feed").option("header", True).option("quote", '"').option("escape", '"').csv(path)
-    base = spark.read.schema("date string, time string, title string, url string, full_text string, feed string")
-    back = base.option("header", True).option("multiLine", True).option("quote", '"').option("escape", '"').csv(path)
-    dated = back.withColumn("published", dt.compose_published("date", "time"))
-    return dated.select("feed", "title", "url", "published", "full_text")
+    day, time = F.date_format("ts", "dd-MM-yyyy"), F.date_format("ts", "HH:mm")
+    writers.write_csv(rows.select(day.alias("date"), time.alias("time"), "title", "url", "full_text"), path)
+    return readers.read_archive_csv(spark, path, "archive").select("feed", "title", "url", "published", "full_text")
+
+
+@query("listing_csv_roundtrip", """
+SELECT 'listing' AS feed, 'https://news.example/' || doc_id AS url,
+  strftime(TIMESTAMP '2024-01-01' + to_hours(doc_id), '%Y-%m-%d %H:%M') AS at FROM documents""")
+def listing_csv_roundtrip(spark, folder):
+    """Listing rows with a time of twelve hours, and back."""
+    path = _scratch(spark, "listing")
+    rows = _article_rows(spark, folder).withColumn("ts", dt.published_ts("published"))
+    day, time = F.date_format("ts", "yyyy-MM-dd"), F.date_format("ts", "hh:mm a")
+    writers.write_csv(
+        rows.select(day.alias("date"), time.alias("time"), "title", F.lit("").alias("summary"), F.col("url").alias("link")), path)
+    back = readers.read_archive_csv(spark, path, "listing", listing=True)
+    return back.select("feed", "url", F.date_format("published_ts", "yyyy-MM-dd HH:mm").alias("at"))
+
+
+@query("coordinates_map", """
+SELECT source AS location, count(*)::DOUBLE AS lat, max(n_chars)::DOUBLE AS lon FROM documents GROUP BY source""")
+def coordinates_map(spark, folder):
+    """Sources stand for places: one JSON object of them all, read as a table."""
+    path = _scratch(spark, "coordinates")
+    at = F.struct(F.count(F.lit(1)).cast("double").alias("lat"), F.max("n_chars").cast("double").alias("lon"))
+    places = src.table(spark, folder, "documents").groupBy("source").agg(at.alias("at"))
+    # one entry per source
+    entries = F.map_from_entries(F.collect_list(F.struct("source", "at")))
+    places.agg(F.to_json(entries).alias("value")).write.text(path)
+    return readers.read_coordinates(spark, path)
 
 
 @query("keyword_map_roundtrip", """

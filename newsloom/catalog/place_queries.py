@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from newsloom.catalog import inputs as src
@@ -11,6 +13,9 @@ from newsloom.operators import gazetteer as gz
 from newsloom.operators import places as pc
 from newsloom.operators.rows import explode_rows
 from newsloom.plans import pipelines as pl
+from newsloom.schemas import GAZETTEER as GAZETTEER_SCHEMA
+from newsloom.session import shared_dir
+from newsloom.sources import readers
 
 # Parts stand for places: size and key give country, class and region.
 GAZETTEER = """gaz AS (SELECT p_partkey AS geonameid, p_name AS name, p_brand || ',' || p_type || ',zz,été' AS alternate_names,
@@ -40,6 +45,18 @@ def gazetteer_rows(spark, folder):
     return gz.keep_places(_gazetteer(spark, folder)).select("geonameid", "name")
 
 
+@query("gazetteer_tsv", f"""
+WITH {GAZETTEER} SELECT geonameid, name, alternate_names, feature_class, country_code, admin1_code FROM gaz""")
+def gazetteer_tsv(spark, folder):
+    """The gazetteer as a dump without a header, and back."""
+    path = f"{shared_dir(spark)}/gazetteer-{uuid.uuid4().hex}"
+    places = _gazetteer(spark, folder)
+    kept = set(places.columns)
+    columns = [F.col(f.name) if f.name in kept else F.lit(None).cast("string").alias(f.name) for f in GAZETTEER_SCHEMA.fields]
+    places.select(*columns).write.option("sep", "\t").option("quote", "").csv(path)
+    return readers.read_gazetteer(spark, path).select(*places.columns)
+
+
 @query("name_validity", r"""
 WITH t AS (SELECT DISTINCT unnest(string_split(replace(lower(text), chr(10), ' '), ' ')) AS name FROM documents)
 SELECT name, coalesce(regexp_matches(name, '^[0-9A-Za-zÀ-ÿ\s\-'']+$'), false) AS main_ok,
@@ -83,7 +100,7 @@ resolved AS (SELECT doc_id, CASE WHEN total = 0 OR best / total::DOUBLE < 0.6 TH
 
 def _mentions(spark, folder):
     located = src.located(spark, folder).select("doc_id", "locations")
-    return pc.lookup_mentions(pc.explode_locations(located), src.lexicon(spark))
+    return pc.lookup_mentions(pc.explode_locations(located), src.lexicon(spark)).where("cc is not null")
 
 
 @query("mention_order", f"WITH {MENTIONS} SELECT doc_id, pos, loc FROM each")
@@ -138,8 +155,13 @@ spans AS (SELECT doc_id, pos, n::INTEGER AS words, array_to_string(w[pos:pos + n
 {src.LEXICON_SQL},
 known AS (SELECT s.*, x.cc FROM spans s JOIN lexicon x ON lower(s.loc) = x.name_lower),
 longest AS (SELECT * FROM known QUALIFY words = max(words) OVER (PARTITION BY doc_id, pos)),
-free AS (SELECT *, max(pos + words) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS covered FROM longest),
-found AS (SELECT doc_id, pos, loc, cc FROM free WHERE covered IS NULL OR covered <= pos)"""
+numbered AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS k FROM longest),
+walk(doc_id, k, until, kept) AS (
+  SELECT doc_id, k, pos + words, true FROM numbered WHERE k = 1
+  UNION ALL
+  SELECT n.doc_id, n.k, CASE WHEN n.pos >= w.until THEN n.pos + n.words ELSE w.until END, n.pos >= w.until
+  FROM walk w JOIN numbered n ON n.doc_id = w.doc_id AND n.k = w.k + 1),
+found AS (SELECT n.doc_id, n.pos, n.loc, n.cc FROM numbered n JOIN walk w ON n.doc_id = w.doc_id AND n.k = w.k WHERE w.kept)"""
 
 
 def _cleaned(spark, folder):
@@ -147,12 +169,12 @@ def _cleaned(spark, folder):
     return with_clean_geo(docs, "text").select("doc_id", "clean_geo")
 
 
-@query("candidate_spans", f"WITH {CANDIDATES} SELECT doc_id, pos, words, loc FROM spans")
+@query("candidate_spans", f"WITH RECURSIVE {CANDIDATES} SELECT doc_id, pos, words, loc FROM spans")
 def candidate_spans(spark, folder):
     return pc.candidate_spans(_cleaned(spark, folder))
 
 
-@query("location_candidates", f"WITH {CANDIDATES} SELECT doc_id, pos, loc, cc FROM found")
+@query("location_candidates", f"WITH RECURSIVE {CANDIDATES} SELECT doc_id, pos, loc, cc FROM found")
 def location_candidates(spark, folder):
     return pc.location_mentions(_cleaned(spark, folder), src.lexicon(spark))
 
@@ -165,7 +187,7 @@ resolved AS (SELECT doc_id, CASE WHEN nl = best THEN 'NL' WHEN be = best THEN 'B
 
 
 @query("geo_resolve", f"""
-WITH {RESOLVED} SELECT doc_id, country, round(score, 9) AS country_score, locations FROM resolved""")
+WITH RECURSIVE {RESOLVED} SELECT doc_id, country, round(score, 9) AS country_score, locations FROM resolved""")
 def geo_resolve(spark, folder):
     resolved = pl.geo_resolve(src.articles(spark, folder), src.lexicon(spark))
     return resolved.select("doc_id", "country", F.round("country_score", 9).alias("country_score"),

@@ -114,13 +114,15 @@ def stopword_filter(spark, folder):
     return _docs(spark, folder).select("doc_id", F.array_join(tokens, "|").alias("tokens"))
 
 
-@query("nonempty_corpus", rf"""
-WITH c AS (SELECT conv_id, turn, regexp_replace(text, '[^\p{{Lu}}]+', '', 'g') AS clean FROM conversations)
-SELECT conv_id, turn, clean FROM c WHERE clean <> ''""")
+@query("nonempty_corpus", f"""
+WITH c AS (SELECT conv_id, turn, {src.sql_clean("CASE WHEN turn % 3 = 0 THEN '&nbsp;' ELSE text END")} AS clean FROM conversations)
+SELECT conv_id * 100 + turn AS doc_id FROM c WHERE clean <> ''""")
 def nonempty_corpus(spark, folder):
-    talk = src.table(spark, folder, "conversations")
-    return talk.select("conv_id", "turn", F.regexp_replace("text", r"[^\p{Lu}]+", "").alias("clean")).where(
-        st.nonblank("clean"))
+    """Articles that still have text after cleaning; every third turn has only a blank."""
+    text = F.when(F.col("turn") % 3 == 0, F.lit("&nbsp;")).otherwise(F.col("text"))
+    talk = src.table(spark, folder, "conversations").select(
+        (F.col("conv_id") * 100 + F.col("turn")).alias("doc_id"), F.lit("").alias("title"), F.lit("").alias("summary"), text.alias("full_text"))
+    return pl.tokenized(talk).where("terms is not null").select("doc_id")
 
 
 # --- vocabulary ---------------------------------------------------------------
@@ -289,11 +291,14 @@ def sql_container(x: str) -> str:
 
 
 BLOCKS = rf"""{VISIBLE},
-blocks AS (SELECT page_id, url, v, list_transform(string_split_regex(v, '{mk.BLOCK_START}')[2:],
+chosen AS (SELECT *, {sql_container('v')} AS inner_html FROM visible),
+blocks AS (SELECT page_id, url, v, inner_html <> v AS marked,
+  list_transform(string_split_regex(CASE WHEN inner_html <> v THEN '<p>' || inner_html ELSE v END, '{mk.BLOCK_START}')[2:],
   lambda x: {{'text': {sql_text('x')},
-              'plain': length({sql_text(f"regexp_replace(x, '{mk.ANCHOR}', ' ', 'g')")})}}) AS b FROM visible),
+              'plain': length({sql_text(f"regexp_replace(x, '{mk.ANCHOR}', ' ', 'g')")})}}) AS b FROM chosen),
 main AS (SELECT page_id, url, v, array_to_string(list_transform(list_filter(b,
-  lambda k: length(k.text) >= 25 AND k.plain >= length(k.text) * 0.67::DOUBLE AND regexp_matches(k.text, '[.,;:!?]')),
+  lambda k: k.text <> '' AND k.plain >= length(k.text) * 0.67::DOUBLE
+    AND (marked OR (length(k.text) >= 25 AND regexp_matches(k.text, '[.,;:!?]')))),
   lambda k: k.text), ' ') AS main_text FROM blocks)"""
 
 PAGE_TEXTS = f"""{BLOCKS},

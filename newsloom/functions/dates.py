@@ -29,10 +29,10 @@ def published_ts(c: Column | str) -> Column:
 
 
 def archive_ts(date: Column | str, time: Column | str) -> Column:
-    """``dd-MM-yyyy`` and ``HH:mm``; a missing time means midnight."""
+    """Day in the layout of archives or of listings, and a time of 24 or 12 hours; a missing time means midnight."""
     joined = F.concat_ws(" ", strip(date), F.nullif(strip(time), F.lit("")))
     return F.coalesce(
-        F.try_to_timestamp(joined, F.lit("dd-MM-yyyy HH:mm")),
+        *[F.try_to_timestamp(joined, F.lit(f"{day} {hour}")) for hour in ("HH:mm", "hh:mm a") for day in ("dd-MM-yyyy", "yyyy-MM-dd")],
         F.try_to_timestamp(strip(date), F.lit("dd-MM-yyyy")),
         F.try_to_timestamp(strip(date), F.lit("yyyy-MM-dd")),
     )

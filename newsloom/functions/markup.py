@@ -7,7 +7,7 @@ run in linear-time engines as well and can be checked against one.
 
 from __future__ import annotations
 
-from html.entities import name2codepoint
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -21,7 +21,9 @@ HIDDEN = (
     r"|noscript(?:\s[^>]*)?>.*?</noscript\s*)>"
 )
 TAG = r"</?[A-Za-z!][^>]*>"
-ENTITY = r"&(#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]{1,30});"
+# Some names may stand without their semicolon; the longer ones are tried first.
+BARE_NAMES = "|".join(sorted((n for n in html5 if not n.endswith(";")), key=lambda n: (-len(n), n)))
+ENTITY = rf"&(#[0-9]+;?|#[xX][0-9A-Fa-f]+;?|[A-Za-z][A-Za-z0-9]*;|{BARE_NAMES})"
 BLOCK_START = r"(?i)<(?:p|li|div|h[1-6]|td|section|article|main|blockquote|pre|ul|ol|table|nav|footer|header|aside)(?:\s[^>]*)?>"
 ANCHOR = r"(?is)<a(?:\s[^>]*)?>.*?</a\s*>"
 
@@ -32,28 +34,41 @@ BINARY_EXTENSIONS = (*AUDIO_EXTENSIONS, "zip", "pdf")
 MIN_ARTICLE_WORDS = 40
 
 
+# Numbers 128 to 159 are read as Windows-1252, as page parsers do; five of them are free there.
+LOW_NUMBERS = [bytes([n]).decode("cp1252", "ignore") or chr(n) for n in range(128, 160)]
+
+
 def _codepoint_to_text(cp: Column) -> Column:
     valid = cp.between(1, 0xD7FF) | cp.between(0xE000, 0x10FFFF)
-    return F.when(valid, F.decode(F.unhex(F.lpad(F.hex(cp), 8, "0")), "UTF-32")).otherwise(F.lit("�"))
+    low = F.element_at(F.array(*[F.lit(c) for c in LOW_NUMBERS]), (cp - 127).cast("int"))
+    return (
+        F.when(cp.between(128, 159), low)
+        .when(valid, F.decode(F.unhex(F.lpad(F.hex(cp), 8, "0")), "UTF-32"))
+        .otherwise(F.lit("\ufffd"))
+    )
 
 
 def _named_entities() -> Column:
-    """Name to character, as one constant that the optimizer turns into a map."""
-    pairs = [f"{name}\x02{chr(cp)}" for name, cp in sorted(name2codepoint.items())]
-    return F.str_to_map(F.lit("\x01".join([*pairs, "apos\x02'"])), F.lit("\x01"), F.lit("\x02"))
+    """Name, with its semicolon if it has one, to text: one constant that the optimizer turns into a map."""
+    pairs = [f"{name}\x02{text}" for name, text in sorted(html5.items())]
+    return F.str_to_map(F.lit("\x01".join(pairs)), F.lit("\x01"), F.lit("\x02"))
 
 
 def decode_entities(c: Column | str) -> Column:
-    """Named and numeric references to characters, each decoded exactly once."""
+    """Named and numeric references to characters, each decoded exactly once.
+
+    Names are those of HTML 5. Numbers that are no character, however long,
+    become the replacement character; unknown names stay as they are.
+    """
     named = _named_entities()
 
     def one(ref: Column) -> Column:
-        digits = F.regexp_extract(ref, "^#([0-9]+)$", 1)
-        hexits = F.regexp_extract(ref, "^#[xX]([0-9A-Fa-f]+)$", 1)
+        digits = F.regexp_extract(ref, "^#([0-9]+);?$", 1)
+        hexits = F.regexp_extract(ref, "^#[xX]([0-9A-Fa-f]+);?$", 1)
         return (
             F.when(digits != "", let(digits.try_cast("long"), _codepoint_to_text))
             .when(hexits != "", let(F.conv(hexits, 16, 10).try_cast("long"), _codepoint_to_text))
-            .otherwise(F.coalesce(F.try_element_at(named, ref), F.concat(F.lit("&"), ref, F.lit(";"))))
+            .otherwise(F.coalesce(F.try_element_at(named, ref), F.concat(F.lit("&"), ref)))
         )
 
     def whole(text: Column) -> Column:
@@ -112,22 +127,30 @@ def paragraph_text(c: Column | str, sep: str = " ") -> Column:
 
 
 def main_blocks(c: Column | str, min_chars: int = 25, max_link_share: float = 0.33) -> Column:
-    """Text blocks that read like content: long enough and not mostly links."""
-    bodies = _after_first(F.split(drop_hidden(c), BLOCK_START, -1))
+    """Text blocks that read like content and are not mostly links.
+
+    In a page with an article or main element these are all of its blocks,
+    however short; elsewhere a block must be long enough and hold punctuation.
+    """
 
     def measure(x: Column) -> Column:
         text = collapse_ws(decode_entities(tags_to_space(x)))
         unlinked = collapse_ws(decode_entities(tags_to_space(F.regexp_replace(x, ANCHOR, " "))))
         return F.struct(text.alias("text"), F.length(unlinked).alias("plain"))
 
-    measured = F.transform(bodies, measure)
-    kept = F.filter(
-        measured,
-        lambda b: (F.length(b["text"]) >= min_chars)
-        & (b["plain"] >= F.length(b["text"]) * F.lit(1.0 - max_link_share))
-        & b["text"].rlike(r"[.,;:!?]"),
-    )
-    return F.transform(kept, lambda b: b["text"])
+    def reads_well(b: Column) -> Column:
+        return (b["text"] != "") & (b["plain"] >= F.length(b["text"]) * F.lit(1.0 - max_link_share))
+
+    def long_enough(b: Column) -> Column:
+        return (F.length(b["text"]) >= min_chars) & b["text"].rlike(r"[.,;:!?]")
+
+    def blocks(visible: Column, inner: Column) -> Column:
+        marked = inner != visible
+        bodies = _after_first(F.split(F.when(marked, F.concat(F.lit("<p>"), inner)).otherwise(visible), BLOCK_START, -1))
+        kept = F.filter(F.transform(bodies, measure), lambda b: reads_well(b) & (marked | long_enough(b)))
+        return F.transform(kept, lambda b: b["text"])
+
+    return let(drop_hidden(c), lambda visible: let(container(visible), lambda inner: blocks(visible, inner)))
 
 
 def main_text(c: Column | str, min_chars: int = 25, max_link_share: float = 0.33) -> Column:

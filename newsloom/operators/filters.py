@@ -16,7 +16,7 @@ from newsloom.operators.rows import explode_rows
 
 
 def text_matches(schema: StructType, query: str, literal: bool = True) -> Column:
-    """Case-insensitive search in every text column; lists search their text form.
+    """Case-insensitive search in every text column and in every element of a list of texts.
 
     A literal query is matched as written; otherwise it is a pattern. Missing
     values never match.
@@ -29,16 +29,21 @@ def text_matches(schema: StructType, query: str, literal: bool = True) -> Column
         column = F.col(f"`{field.name}`")
         if isinstance(field.dataType, StringType):
             tests.append(column.rlike(pattern))
+        elif isinstance(field.dataType, ArrayType) and isinstance(field.dataType.elementType, StringType):
+            tests.append(F.exists(column, lambda x: x.rlike(pattern)))
         elif isinstance(field.dataType, (ArrayType, StructType, MapType)):
             tests.append(F.to_json(column).rlike(pattern))
     return F.coalesce(any_of([F.coalesce(t, F.lit(False)) for t in tests]), F.lit(False))
 
 
 def feed_in(feeds: Sequence[str] | None, feed: str = "feed") -> Column:
-    """Selected feeds; None selects all, an empty list none. Rows without a feed go."""
+    """Selected feeds; None selects all, an empty list none. Rows without a feed go.
+
+    A bare comparison, null for a missing feed, so that a scan can use it.
+    """
     if feeds is None:
         return F.lit(True)
-    return F.coalesce(F.col(feed).isin(list(feeds)), F.lit(False)) if feeds else F.lit(False)
+    return F.col(feed).isin(list(feeds)) if feeds else F.lit(False)
 
 
 def location_tags(search: str, locations: str = "locations") -> Column:
@@ -51,13 +56,17 @@ def location_tags(search: str, locations: str = "locations") -> Column:
 
 
 def date_between(ts: Column | str, start: date | str | Column, end: date | str | Column) -> Column:
-    """Calendar date inside the inclusive range; undated rows go."""
+    """Calendar date inside the inclusive range; undated rows go.
+
+    Compares the bare time stamp with the first moment of the range and of the
+    day after it, null for a missing one, so that a scan can use it.
+    """
 
     def bound(v):
         return v if isinstance(v, Column) else F.lit(v).cast("date")
 
-    day = F.to_date(F.col(ts) if isinstance(ts, str) else ts)
-    return F.coalesce(day.between(bound(start), bound(end)), F.lit(False))
+    column = F.col(ts) if isinstance(ts, str) else ts
+    return (column >= bound(start).cast("timestamp")) & (column < F.date_add(bound(end), 1).cast("timestamp"))
 
 
 def since(ts: Column | str, cutoff: date | str) -> Column:
@@ -71,32 +80,38 @@ def date_bounds(df: DataFrame, ts: str = "published_ts") -> DataFrame:
     return df.agg(F.to_date(F.min(ts)).alias("min_d"), F.to_date(F.max(ts)).alias("max_d"))
 
 
-def clamp_range(bounds: DataFrame, start: str | date | None, end: str | date | None) -> DataFrame:
-    """Range moved inside the bounds; unreadable or inverted means the full range."""
-
+def _clamped(min_d: Column, max_d: Column, start: str | date | None, end: str | date | None) -> tuple[Column, Column]:
     def parsed(v) -> Column:
         return F.lit(None).cast("date") if v is None else F.lit(str(v)).try_cast("date")
 
     def inside(v: Column) -> Column:
-        return F.greatest(F.least(v, F.col("max_d")), F.col("min_d"))
+        return F.greatest(F.least(v, max_d), min_d)
 
     s, e = parsed(start), parsed(end)
     full = s.isNull() | e.isNull() | (inside(s) > inside(e))
-    return bounds.select(
-        F.when(full, F.col("min_d")).otherwise(inside(s)).alias("start_d"),
-        F.when(full, F.col("max_d")).otherwise(inside(e)).alias("end_d"),
-    )
+    return F.when(full, min_d).otherwise(inside(s)), F.when(full, max_d).otherwise(inside(e))
+
+
+def clamp_range(bounds: DataFrame, start: str | date | None, end: str | date | None) -> DataFrame:
+    """Range moved inside the bounds; unreadable or inverted means the full range."""
+    s, e = _clamped(F.col("min_d"), F.col("max_d"), start, end)
+    return bounds.select(s.alias("start_d"), e.alias("end_d"))
 
 
 @dataclass(frozen=True)
 class FilterSpec:
-    """What a user asked to see; every default means no restriction."""
+    """What a user asked to see; every default means no restriction.
+
+    Where a frame has publication times, undated rows are never shown, unless
+    ``undated`` asks for them and no range is given.
+    """
 
     text_filter: str = ""
     selected_feeds: tuple[str, ...] | None = None
     location_search: str = ""
     date_range: tuple[str, str] | None = None
     literal: bool = True
+    undated: bool = False
 
     @classmethod
     def from_mapping(cls, saved: Mapping) -> FilterSpec:
@@ -111,45 +126,50 @@ class FilterSpec:
 
 
 def spec_condition(
-    schema: StructType, spec: FilterSpec, feed: str = "feed", locations: str = "locations", ts: str = "published_ts"
+    df: DataFrame, spec: FilterSpec, feed: str = "feed", locations: str = "locations", ts: str = "published_ts",
+    bounds: Column | None = None,
 ) -> Column:
-    """One predicate for a whole specification. Cheap tests come first."""
+    """One predicate for a whole specification, null or false where it fails. Cheap tests come first.
+
+    A date range is first clamped to the dates of ``df``: ``bounds`` holds them,
+    or they become a scalar subquery of the predicate.
+    """
     parts = []
-    names = set(schema.fieldNames())
+    names = set(df.columns)
     if feed in names:
         parts.append(feed_in(spec.selected_feeds, feed))
-    if spec.date_range is not None and ts in names:
-        start, end = (F.lit(v).try_cast("date") for v in spec.date_range)
-        # an inverted or unreadable range restricts nothing
-        usable = F.coalesce(start <= end, F.lit(False))
-        parts.append(F.when(usable, date_between(ts, start, end)).otherwise(F.col(ts).isNotNull()))
+    if ts in names:
+        if spec.date_range is not None:
+            span = _bounds(df, ts) if bounds is None else bounds
+            parts.append(date_between(ts, *_clamped(span["min_d"], span["max_d"], *spec.date_range)))
+        elif not spec.undated:
+            parts.append(F.col(ts).isNotNull())
     if locations in names:
         parts.append(location_tags(spec.location_search, locations))
-    parts.append(text_matches(schema, spec.text_filter, spec.literal))
+    parts.append(text_matches(df.schema, spec.text_filter, spec.literal))
     return all_of(parts)
 
 
+def _bounds(df: DataFrame, ts: str) -> Column:
+    return date_bounds(df, ts).select(F.struct("min_d", "max_d")).scalar()
+
+
 def apply_filters(df: DataFrame, spec: FilterSpec, ts: str = "published_ts") -> DataFrame:
-    """Rows a specification keeps; the date range is first clamped to the data."""
-    condition = spec_condition(df.schema, FilterSpec(
-        spec.text_filter, spec.selected_feeds, spec.location_search, None, spec.literal), ts=ts)
-    kept = df.where(condition)
-    if spec.date_range is None or ts not in df.columns:
-        return kept
-    clamped = clamp_range(date_bounds(df, ts), *spec.date_range)
-    span = clamped.select(F.struct("start_d", "end_d")).scalar()
-    return kept.where(date_between(ts, span["start_d"], span["end_d"]))
-
-
-def tag_presets(df: DataFrame, presets: Mapping[str, FilterSpec]) -> DataFrame:
+    """Rows a specification keeps."""
+    return df.where(spec_condition(df, spec, ts=ts))
+
+
+def tag_presets(df: DataFrame, presets: Mapping[str, FilterSpec], ts: str = "published_ts") -> DataFrame:
     """(preset, row…): each row once per preset that keeps it, in one pass.
 
     Presets are a handful of saved specifications, so each is compiled to a
-    predicate on the row; rows are not joined with them.
+    predicate on the row; rows are not joined with them. A preset keeps the
+    rows that ``apply_filters`` keeps.
     """
-    hits = [F.when(spec_condition(df.schema, spec), F.lit(name)) for name, spec in presets.items()]
-    kept = F.filter(F.array(*hits), lambda p: p.isNotNull())
-    return explode_rows(df, kept, "preset", list(df.columns))
+    ranged = ts in df.columns and any(spec.date_range is not None for spec in presets.values())
+    bounded = df.withColumn("_bounds", _bounds(df, ts)) if ranged else df
+    hits = [F.when(spec_condition(df, spec, ts=ts, bounds=F.col("_bounds")), F.lit(name)) for name, spec in presets.items()]
+    return explode_rows(bounded, F.array_compact(F.array(*hits)), "preset", list(df.columns))
 
 
 def keep_ratio(df: DataFrame, stages: Mapping[str, Column]) -> DataFrame:

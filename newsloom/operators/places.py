@@ -44,17 +44,18 @@ def match_mentions(
     id_col: str = "doc_id",
     blocked: list[str] | None = None,
 ) -> DataFrame:
-    """Candidates the lookup knows, longest first, without overlaps.
+    """Candidates the lookup knows, from left to right, longest first, without overlaps.
 
     At each position the longest known name counts. A name that begins inside
-    an earlier one of the same article is part of it and is dropped.
+    an earlier one that was kept is part of it and is dropped; one that begins
+    inside a dropped name is not.
     """
     keyed = candidates.withColumn("name_lower", F.lower("loc"))
     if blocked:
         keyed = keyed.where(~F.col("name_lower").isin(*[b.lower() for b in blocked]))
     known = lookup_join(keyed, lookup, "name_lower", spread_by=[id_col, "pos"])
-    # both frames share partitioning and order: one shuffle by article, none if
-    # the articles already come in partitions by id
+    # all steps share the partitioning by article: one shuffle, none if the
+    # articles already come in partitions by id
     ordered = Window.partitionBy(id_col).orderBy("pos")
     longest = ordered.rangeBetween(Window.currentRow, Window.currentRow)
     before = ordered.rowsBetween(Window.unboundedPreceding, -1)
@@ -62,8 +63,30 @@ def match_mentions(
         known.withColumn("_longest", F.max("words").over(longest))
         .where("words = _longest")
         .withColumn("_covered", F.max(F.col("pos") + F.col("words")).over(before))
+        # names that overlap in a chain form a group; only inside one the order matters
+        .withColumn("_first", (F.col("_covered").isNull() | (F.col("_covered") <= F.col("pos"))).cast("int"))
+        .withColumn("_group", F.sum("_first").over(ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     )
-    return best.where("_covered is null or _covered <= pos").select(id_col, "pos", "loc", "cc")
+    spans = F.array_sort(F.collect_list(F.struct("pos", "words", "loc", "cc")))
+    chains = best.groupBy(id_col, "_group").agg(spans.alias("spans"))
+    return explode_rows(chains, _left_to_right(F.col("spans")), "s", [id_col]).select(id_col, "s.pos", "s.loc", "s.cc")
+
+
+def _left_to_right(spans: Column) -> Column:
+    """Spans in order, without those that begin before the last kept one ends."""
+
+    def step(kept: Column, s: Column) -> Column:
+        last = F.get(kept, F.size(kept) - 1)
+        free = F.coalesce(last["pos"] + last["words"] <= s["pos"], F.lit(True))
+        return F.when(free, F.concat(kept, F.array(s))).otherwise(kept)
+
+    return F.aggregate(F.slice(spans, 2, F.size(spans)), F.slice(spans, 1, 1), step)
+
+
+def longest_name(lookup: DataFrame, name: str = "name_lower") -> int:
+    """Words of the longest name; names without a word count as one."""
+    words = F.size(F.regexp_extract_all(F.col(name), F.lit(NAME_TOKEN), 0))
+    return lookup.agg(F.greatest(F.lit(1), F.max(words))).first()[0]
 
 
 def location_mentions(
@@ -73,21 +96,25 @@ def location_mentions(
     id_col: str = "doc_id",
     candidates: Callable[[DataFrame], DataFrame] | None = None,
     blocked: list[str] | None = None,
+    max_words: int | None = None,
 ) -> DataFrame:
     """(id, pos, loc, cc) per place mention.
 
-    ``candidates`` may bring a recogniser of one's own: it gets the articles
-    and returns (id, pos, loc) rows, which are then only looked up.
+    Names may have as many words as the longest one of the lookup, unless
+    ``max_words`` says otherwise. ``candidates`` may bring a recogniser of
+    one's own: it gets the articles and returns (id, pos, loc) rows, which are
+    then only looked up; those the lookup does not know stay, without a country.
     """
     if candidates is None:
-        return match_mentions(candidate_spans(df, text, id_col), lookup, id_col, blocked)
+        spans = candidate_spans(df, text, id_col, max_words or longest_name(lookup))
+        return match_mentions(spans, lookup, id_col, blocked)
     return lookup_mentions(candidates(df), lookup, id_col)
 
 
 def lookup_mentions(mentions: DataFrame, lookup: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """Equi lookup of lower-cased mentions; misses are dropped."""
+    """Equi lookup of lower-cased mentions; those without an entry keep their place and have no country."""
     keyed = mentions.withColumn("name_lower", F.lower("loc"))
-    return lookup_join(keyed, lookup, "name_lower", spread_by=[id_col, "pos"]).select(id_col, "pos", "loc", "cc")
+    return lookup_join(keyed, lookup, "name_lower", "left", spread_by=[id_col, "pos"]).select(id_col, "pos", "loc", "cc")
 
 
 def explode_locations(df: DataFrame, locations: str = "locations", id_col: str = "doc_id") -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsloom.functions.strings import sql_literal
-from newsloom.operators.lookup import collect_bounded
+from newsloom.operators.lookup import LITERAL_VALUES, collect_bounded, lookup_join
 from newsloom.operators.rows import explode_rows
 
 MAX_WORDS = 10_000
@@ -24,16 +24,23 @@ def top_words(counts: DataFrame, size: int = MAX_WORDS) -> DataFrame:
 
 
 def mark_unknown(
-    df: DataFrame, vocabulary: DataFrame, tokens: str = "tokens", size: int = MAX_WORDS, unknown: str = UNKNOWN
+    df: DataFrame, vocabulary: DataFrame, tokens: str = "tokens", unknown: str = UNKNOWN, id_col: str = "doc_id",
+    max_values: int = LITERAL_VALUES,
 ) -> DataFrame:
     """Replace tokens outside the vocabulary, keeping order and length.
 
-    A vocabulary has at most ``size`` words, so it is read once and becomes a
-    hash set inside the expression: no token is ever exploded or shuffled.
+    A vocabulary of at most ``max_values`` words is read once and becomes a hash
+    set inside the expression: no token is exploded or shuffled. A larger one is
+    joined to the tokens by ``id_col``, which then must name each row.
     """
-    words = collect_bounded(vocabulary, "word", size)
+    words = collect_bounded(vocabulary, "word", max_values)
     if words is None:
-        raise ValueError(f"vocabulary has more than {size} words; cut it with top_words first")
+        each = explode_rows(df, tokens, "word", [id_col], pos="pos")
+        known = lookup_join(each, vocabulary.select("word", F.lit(True).alias("_known")), "word", "left", spread_by=[id_col, "pos"])
+        marked = F.struct("pos", F.when(F.col("_known"), F.col("word")).otherwise(F.lit(unknown)).alias("word"))
+        lists = known.groupBy(id_col).agg(F.array_sort(F.collect_list(marked)).alias("_marked"))
+        found = F.coalesce(F.transform("_marked", lambda m: m["word"]), F.col(tokens))
+        return df.join(lists, id_col, "left").withColumn(tokens, found).select(*df.columns)
     if not words:
         return df.withColumn(tokens, F.transform(tokens, lambda t: F.lit(unknown)))
     listed = ",".join(sql_literal(w) for w in words)

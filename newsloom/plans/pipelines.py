@@ -97,8 +97,14 @@ def weak_label(
     model: LabelModel | None = None,
     text: str = "clean_geo",
 ) -> tuple[DataFrame, LabelModel]:
-    """Votes, fit (unless a model is given) and probability of each article."""
+    """Votes, fit (unless a model is given) and probability of each article.
+
+    Without a model the votes are staged with the article, so that the rules are
+    applied once for the fit and the scoring.
+    """
     votes = apply_rules(df, rules, text)
+    if model is None:
+        votes = stage(votes, "votes")
     fitted = model or fit_label_model(votes, rules)
     names = [r.name for r in active_rules(rules)]
     return label(votes, fitted, min_conf).drop(*names), fitted
@@ -123,18 +129,23 @@ def tokenized(
 
 
 def word_tokens(
-    df: DataFrame, size: int = vo.MAX_WORDS, test_share: float = 0.2, normalize: bool = True, id_col: str = "doc_id",
+    df: DataFrame,
+    size: int = vo.MAX_WORDS,
+    test_share: float = 0.2,
+    normalize: bool = True,
+    id_col: str = "doc_id",
+    tag_costs: dict[str, float] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(id, split, tokens) with rare words marked unknown, and the vocabulary used.
 
     The vocabulary is that of the training share. Tokens are staged, since the
     vocabulary has to be complete before the first of them can be marked.
     """
-    cleaned = with_clean(df.select(id_col, raw_text().alias("clean")), "clean", "clean", normalize)
+    cleaned = with_clean(df.select(id_col, raw_text().alias("clean")), "clean", "clean", normalize, tag_costs)
     tokens = vo.train_test_split(cleaned.select(id_col, ws_tokens("clean").alias("tokens")), id_col, test_share)
     tokens = stage(tokens, "tokens")
     vocabulary = vo.top_words(vo.word_counts(tokens.where("split = 'train'")), size)
-    return vo.mark_unknown(tokens, vocabulary), vocabulary
+    return vo.mark_unknown(tokens, vocabulary, id_col=id_col), vocabulary
 
 
 def keywords(
@@ -146,16 +157,17 @@ def keywords(
     normalize: bool = True,
     id_col: str = "doc_id",
     staged: bool = True,
+    tag_costs: dict[str, float] | None = None,
 ) -> DataFrame:
     """(id, keywords) per article. ``fit_on`` restricts what the idf is fitted to.
 
     The term counts feed both the fit and the scoring. They are much smaller
     than the text and costly to make, so they are staged once.
     """
-    terms = tokenized(df, stop, normalize, id_col=id_col)
+    terms = tokenized(df, stop, normalize, tag_costs, id_col)
     if staged:
         terms = stage(terms, "terms")
-    fitted = terms if fit_on is None else tokenized(fit_on, stop, normalize, id_col=id_col)
+    fitted = terms if fit_on is None else tokenized(fit_on, stop, normalize, tag_costs, id_col)
     return kw.document_keywords(terms, kw.term_idf(fitted, max_features), k, id_col)
 
 
@@ -235,12 +247,15 @@ def enrich(
     split: str | None = None,
     id_col: str = "doc_id",
     model: LabelModel | None = None,
+    least_articles: int = 0,
+    tag_costs: dict[str, float] | None = None,
 ) -> DataFrame:
     """The whole enrichment: country filter, label, probability filter, keywords.
 
     ``split='train'`` keeps the training share only, from which keywords are
     then fitted as well. Two tables are staged: the resolved articles, read
-    by the fit and by the scoring, and the labelled selection.
+    by the fit and by the scoring, and the labelled selection. A selection of
+    fewer than ``least_articles`` gets no keywords (by default any is enough).
     """
     resolved = stage(geo_resolve(df, lookup, min_conf, id_col=id_col), "resolved")
     labelled, _ = weak_label(resolved, rules, label_conf, model)
@@ -248,10 +263,10 @@ def enrich(
     if split:
         selected = selected.where(F.col("split") == split)
     selected = stage(selected, "selected")
-    if not kw.enough_articles(selected):
+    if least_articles and not kw.enough_articles(selected, least_articles):
         none = F.array().cast("array<struct<word:string,score:double>>")
         return selected.withColumn("keywords", none)
-    words = keywords(selected, id_col=id_col)
+    words = keywords(selected, id_col=id_col, tag_costs=tag_costs)
     empty = F.array().cast("array<struct<word:string,score:double>>")
     return selected.join(words, id_col, "left").withColumn("keywords", F.coalesce("keywords", empty))
 

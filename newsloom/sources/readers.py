@@ -15,30 +15,35 @@ from newsloom.functions.strings import first_nonblank, strip
 ORDER = ["src_file", "src_pos"]
 
 
-def _with_position(df: DataFrame) -> DataFrame:
-    """File and place inside the file; whole-file formats keep a file in one task."""
-    return df.withColumn("src_file", F.col("_metadata.file_path")).withColumn(
-        "src_pos", F.monotonically_increasing_id()
-    )
-
+def read_article_json(spark: SparkSession, *paths: str, schema: StructType = schemas.ARTICLE) -> DataFrame:
+    """Article files: an array gives many rows, an object one; broken files are skipped.
 
-def read_article_json(spark: SparkSession, *paths: str) -> DataFrame:
-    """Article files: an array gives many rows, an object one; broken files are skipped."""
-    schema = StructType([*schemas.ARTICLE.fields, StructField("_bad", StringType())])
-    raw = (
-        spark.read.schema(schema)
-        .option("multiLine", True)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", "_bad")
-        .option("pathGlobFilter", "*.json")
-        .json(list(paths))
+    Elements that are no object are left out and the others keep their place.
+    ``schema`` may name further keys to read.
+    """
+    files = spark.read.option("pathGlobFilter", "*.json").text(list(paths), wholetext=True)
+    text = F.trim(F.col("value"))
+    elements = F.when(F.startswith(text, F.lit("[")), F.from_json(text, "array<string>")).when(
+        F.startswith(text, F.lit("{")), F.array(text)
     )
-    return _with_position(raw).where("_bad is null").drop("_bad")
+    each = files.select(F.col("_metadata.file_path").alias("src_file"), F.posexplode(elements).alias("src_pos", "element"))
+    outer = StructType([*schema.fields, StructField("_bad", StringType())])
+    parsed = F.from_json("element", outer, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
+    rows = each.where(F.startswith(F.ltrim("element"), F.lit("{"))).select("src_file", F.col("src_pos").cast("long"), parsed.alias("a"))
+    return rows.where("a._bad is null").select(*[f"a.`{f.name}`" for f in schema.fields], "src_file", "src_pos")
+
 
+def read_article_lines(spark: SparkSession, *paths: str, schema: StructType = schemas.ARTICLE) -> DataFrame:
+    """Articles one per line, as ``write_json`` leaves them; large files split.
 
-def read_article_lines(spark: SparkSession, *paths: str) -> DataFrame:
-    """Articles one per line, as ``write_json`` leaves them; large files split."""
-    return _with_position(spark.read.schema(schemas.ARTICLE).json(list(paths)))
+    The position grows with the place in the file: where the piece of a row
+    begins, and the rows read since. A piece has fewer rows than bytes, so
+    positions do not reach into the next piece.
+    """
+    row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    return spark.read.schema(schema).json(list(paths)).withColumns(
+        {"src_file": F.col("_metadata.file_path"), "src_pos": F.col("_metadata.file_block_start") + row}
+    )
 
 
 def read_archive_csv(spark: SparkSession, path: str, feed: str, listing: bool = False) -> DataFrame:
@@ -111,7 +116,7 @@ def read_feed(spark: SparkSession, *paths: str, kind: str = "rss") -> DataFrame:
     """Feed files to entries: feed, title, url, published, summary.
 
     RSS names its feed in the channel; Atom entries stand on their own and
-    take the feed's title.
+    take the feed's title. A feed without a title is named by its address.
     """
     entry = schemas.FEED_ENTRY
     if kind == "rss":
@@ -125,7 +130,7 @@ def read_feed(spark: SparkSession, *paths: str, kind: str = "rss") -> DataFrame:
     feeds = spark.read.format("xml").schema(outer).option("rowTag", row_tag).load(",".join(paths))
     each = feeds.select(
         F.col("_metadata.file_path").alias("src_file"),
-        strip("title").alias("feed"),
+        F.coalesce(F.nullif(strip("title"), F.lit("")), F.col("_metadata.file_path")).alias("feed"),
         F.posexplode(items).alias("src_pos", "e"),
     )
     return each.select("src_file", "src_pos", "feed", *entry_columns("e"))

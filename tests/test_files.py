@@ -1,7 +1,9 @@
 import json
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
+from newsloom import schemas
 from newsloom.operators import dedupe as dd
 from newsloom.plans import pipelines as pl
 from newsloom.session import shared_dir
@@ -36,6 +38,11 @@ def landed(tmp_path):
 def test_json_folder(spark, tmp_path):
     df = readers.read_article_json(spark, landed(tmp_path))
     assert rows(df, "url", "title") == [("", "t"), ("u1", "later"), ("u1", "één"), ("u2", "t"), ("u3", "t"), (None, "no url")]
+    write(tmp_path / "landed" / "f.json", json.dumps([article("u4"), 7, "text", None, [1], article("u5") | {"extra": "kept"}]))
+    mixed = readers.read_article_json(spark, f"{tmp_path}/landed/f.json").orderBy("src_pos")
+    assert [(r.url, r.src_pos) for r in mixed.collect()] == [("u4", 0), ("u5", 5)]
+    wider = StructType([*schemas.ARTICLE.fields, StructField("extra", StringType())])
+    assert [r.extra for r in readers.read_article_json(spark, f"{tmp_path}/landed/f.json", schema=wider).orderBy("src_pos").collect()] == [None, "kept"]
     first = df.where("src_file like '%a.json'").orderBy("src_pos").select("url").collect()
     assert [r.url for r in first] == ["u1", "u2", "", None]
 
@@ -55,9 +62,10 @@ def test_archive_csv(spark, tmp_path):
     assert [r.published for r in got] == ["Tue, 21 Oct 2025 09:30:00", "Sun, 05 Oct 2025 00:00:00"]
     assert got[0].title == 'He said "ok", then' and got[0].full_text == "line one\nline two" and got[0].feed == "archive"
     listing = tmp_path / "listing.csv"
-    write(listing, "date,time,title,summary,link\n2025-10-03,10:00,a,s,https://x/1\n")
-    row = readers.read_archive_csv(spark, str(listing), "listing", listing=True).first()
-    assert row.url == "https://x/1" and row.summary == "s" and str(row.published_ts) == "2025-10-03 00:00:00"
+    write(listing, "date,time,title,summary,link\n2025-10-03,10:00,a,s,https://x/1\n2025-10-04,02:30 PM,b,s,https://x/2\n2025-10-05,,c,s,https://x/3\n")
+    got = readers.read_archive_csv(spark, str(listing), "listing", listing=True).orderBy("url").collect()
+    assert got[0].url == "https://x/1" and got[0].summary == "s"
+    assert [str(r.published_ts) for r in got] == ["2025-10-03 10:00:00", "2025-10-04 14:30:00", "2025-10-05 00:00:00"]
 
 
 def test_gazetteer_tsv(spark, tmp_path):
@@ -109,6 +117,9 @@ def test_feeds(spark, tmp_path):
     assert [(r.feed, r.title, r.url) for r in got] == [
         ("Nieuws", "Een", "https://n/1"), ("Nieuws", "Twee", "https://n/2"), ("Nieuws", "Pod", "https://n/3.mp3")]
     assert got[0].published.startswith("Tue, 21 Oct") and got[0].summary == "d1" and got[1].published == ""
+    nameless = tmp_path / "nameless.xml"
+    write(nameless, "<feed><title> </title><entry><title>x</title><id>i</id></entry></feed>")
+    assert readers.read_feed(spark, str(nameless), kind="atom").first().feed.endswith("/nameless.xml")
     row = readers.read_feed(spark, str(atom), kind="atom").first()
     assert (row.feed, row.url, row.published, row.summary) == ("Atoom", "https://n/a1", "2025-10-21T10:00:00Z", "s1")
     head = dd.head_per_feed(readers.read_feed(spark, str(rss)), 2, ["src_file", "src_pos"])

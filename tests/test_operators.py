@@ -114,8 +114,9 @@ def test_vocabulary(spark):
     assert rows(marked.where("tokens is not null"), "doc_id", "tokens") == [(1, ["a", "b", "a"]), (2, ["<unk>", "a"]), (3, [])]
     assert tuple(vo.oov_rate(marked).first()) == (5, 1, 0.2)
     assert vo.mark_unknown(df, vo.top_words(counts, 3)).where("array_contains(tokens, '<unk>')").count() == 0
-    with pytest.raises(ValueError):
-        vo.mark_unknown(df, counts, size=1)
+    # a vocabulary too large for a literal set is joined, with the same result
+    joined = vo.mark_unknown(df, top, max_values=1)
+    assert joined.columns == df.columns and sorted(map(str, joined.collect())) == sorted(map(str, marked.collect()))
 
 
 def test_split_is_reproducible(spark):
@@ -214,6 +215,8 @@ def test_votes(spark):
     lookup = gz.build_lookup(gazetteer(spark)).union(spark.createDataFrame([("paris", "FR")], "n string, c string"))
     mentions = pc.lookup_mentions(pc.explode_locations(df), lookup)
     votes = {r.doc_id: r for r in pc.vote_countries(mentions).collect()}
+    # places the lookup does not know stay among the locations, but have no vote
+    assert votes[1].locations == ["Maastricht", "Aken", "maastricht", "Nergens"]
     assert votes[1].country == "NL" and votes[1].country_score == pytest.approx(2 / 3)
     assert [(e.loc, e.cc) for e in votes[1].country_evidence] == [("Maastricht", "NL"), ("Aken", "DE"), ("maastricht", "NL")]
     assert votes[2].country == "uncertain" and votes[2].country_score == 0.5 and len(votes[2].country_evidence) == 2
@@ -231,6 +234,12 @@ def test_longest_name_wins(spark):
     lookup = spark.createDataFrame([(n, "NL") for n in names], "name_lower string, cc string")
     got = pc.location_mentions(df, lookup).orderBy("pos").collect()
     assert [r.loc for r in got] == ["Den Haag", "Haag", "Bergen op Zoom", "'s-Hertogenbosch", "Nederland"]
+    chain = spark.createDataFrame([(1, "In Den Haag Zuid Holland Kust Stad bij Alphen aan den Rijn")], "doc_id int, clean_geo string")
+    linked = ["den haag", "haag zuid", "zuid holland", "holland kust", "kust stad", "alphen aan den rijn", "rijn"]
+    known = spark.createDataFrame([(n, "NL") for n in linked], "name_lower string, cc string")
+    found = pc.location_mentions(chain, known).orderBy("pos").collect()
+    assert [r.loc for r in found] == ["Den Haag", "Zuid Holland", "Kust Stad", "Alphen aan den Rijn"]
+    assert [r.loc for r in pc.location_mentions(chain, known, max_words=1).collect()] == ["Rijn"]
     blocked = pc.location_mentions(df, lookup, blocked=["Nederland"])
     assert "Nederland" not in [r.loc for r in blocked.collect()]
     own = pc.location_mentions(df, lookup, candidates=lambda d: d.select("doc_id", F.lit(0).alias("pos"), F.lit("HAAG").alias("loc")))
@@ -374,6 +383,8 @@ def test_text_search(spark):
     assert ids(df.where(fl.text_matches(df.schema, "(open)"))) == [2]
     assert ids(df.where(fl.text_matches(df.schema, "^(mar|nie)", literal=False))) == [2, 3]
     assert ids(df.where(fl.text_matches(df.schema, "none"))) == []
+    quoted = spark.createDataFrame([(1, ['say x "y" now']), (2, None), (3, ["xy", None])], "doc_id int, tags array<string>")
+    assert ids(quoted.where(fl.text_matches(quoted.schema, 'x "y"'))) == [1]
 
 
 def test_other_filters(spark):
@@ -386,6 +397,16 @@ def test_other_filters(spark):
     assert ids(df.where(fl.since("published_ts", "2025-01-03"))) == [2, 4]
 
 
+def test_filters_reach_the_scan(spark, tmp_path):
+    articles(spark).write.parquet(f"{tmp_path}/a")
+    df = spark.read.parquet(f"{tmp_path}/a").select("doc_id", "feed", "published_ts")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "1000")
+    assert "In(feed, [alpha,beta])" in plan(df.where(fl.feed_in(["alpha", "beta"])))
+    dated = plan(df.where(fl.date_between("published_ts", "2025-01-02", "2025-01-03")))
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "GreaterThanOrEqual(published_ts" in dated and "LessThan(published_ts" in dated
+
+
 @pytest.mark.parametrize(
     "start,end,want",
     [
@@ -406,11 +427,22 @@ def test_specs_and_presets(spark):
     df = articles(spark)
     spec = fl.FilterSpec.from_mapping({"text_filter": "brand", "selected_feeds": ["alpha"], "date_range": ["2025-01-01", "2025-01-02"]})
     assert ids(fl.apply_filters(df, spec)) == [1]
-    assert ids(fl.apply_filters(df, fl.FilterSpec.from_mapping({}))) == [1, 2, 3, 4]
+    # undated articles are never shown, unless they are asked for
+    assert ids(fl.apply_filters(df, fl.FilterSpec.from_mapping({}))) == [1, 2, 4]
+    assert ids(fl.apply_filters(df, fl.FilterSpec(undated=True))) == [1, 2, 3, 4]
     assert ids(fl.apply_filters(df, fl.FilterSpec(date_range=("2100-01-01", "2101-01-01")))) == [4]
     tagged = fl.tag_presets(df, {"fire": fl.FilterSpec(text_filter="brand"), "alpha": fl.FilterSpec(selected_feeds=("alpha",))})
     assert rows(tagged, "preset", "doc_id") == [("alpha", 1), ("alpha", 2), ("fire", 1), ("fire", 2), ("fire", 4)]
     assert "Join" not in plan(tagged)
+    specs = {
+        str(i): fl.FilterSpec(date_range=span, undated=undated, selected_feeds=feeds)
+        for i, (span, undated, feeds) in enumerate(
+            (s, u, f)
+            for s in (None, ("2025-01-03", "2025-01-10"), ("2100-01-01", "2101-01-01"), ("2025-02-01", "2025-01-01"), ("soon", "2025-01-02"))
+            for u in (False, True) for f in (None, ("alpha",)))
+    }
+    together = rows(fl.tag_presets(df, specs), "preset", "doc_id")
+    assert together == sorted((name, i) for name, spec in specs.items() for i in ids(fl.apply_filters(df, spec)))
     one, two = fl.text_matches(df.schema, "brand"), fl.feed_in(["alpha"])
     assert ids(df.where(one).where(two)) == ids(df.where(two).where(one))
     kept = {r.stage: (r.kept, r.total) for r in fl.keep_ratio(df, {"alpha": F.col("feed") == "alpha"}).collect()}

@@ -36,6 +36,8 @@ def test_first_nonblank_and_raw_text(spark):
 def test_entities_decode_once(spark):
     got = one(spark, mk.decode_entities("t"), "a &amp;lt; b", "&eacute;&#233;&#xE9;", "&bogus; & x", "&#0;", "&#128512;", None)
     assert got == ["a &lt; b", "ééé", "&bogus; & x", "\ufffd", "😀", None]
+    got = one(spark, mk.decode_entities("t"), "a &#146;b&#x80;", "&check;&lbrace;", "&nbsp x &copy2 &#65", "&#99999999999999999999; &#x110000;", "&&& &;")
+    assert got == ["a ’b€", "✓{", "\u00a0 x ©2 A", "\ufffd \ufffd", "&&& &;"]
 
 
 def test_html_to_text_drops_hidden_parts(spark):
@@ -55,9 +57,12 @@ def test_paragraphs_container_gate(spark):
 
 
 def test_main_text_skips_link_lists(spark):
-    page = ("<ul><li><a href='/a'>A long link label, with comma</a></li></ul>"
-            "<div>This block has real sentences, and it is long enough.</div><p>short.</p>")
-    assert one(spark, mk.main_text("t"), page) == ["This block has real sentences, and it is long enough."]
+    links = "<ul><li><a href='/a'>A long link label, with comma</a></li></ul>"
+    text = "<div>This block has real sentences, and it is long enough.</div><p>Kort nieuws</p>"
+    assert one(spark, mk.main_text("t"), links + text) == ["This block has real sentences, and it is long enough."]
+    # inside of an article short blocks are text like any other
+    page = f"{links}<article>lead {links}{text}</article><p>Outside of it, with a long sentence.</p>"
+    assert one(spark, mk.main_text("t"), page) == ["lead This block has real sentences, and it is long enough. Kort nieuws"]
 
 
 @pytest.mark.parametrize(
