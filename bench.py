@@ -19,7 +19,7 @@ HEADLINE = [
     "country_vote", "geo_resolve", "location_candidates", "gazetteer_last_wins",
     "rule_votes", "dutch_rule_votes", "vote_moments", "label_model_fit", "weak_label",
     "text_search", "preset_counts", "location_titles", "spotlight", "explore_keywords",
-    "page_main_text", "page_listing_rows", "pages_to_articles", "stream_ingest",
+    "page_main_text", "page_listing_rows", "pages_to_articles", "enrich", "stream_ingest", "stream_exact_append",
 ]
 
 

@@ -10,10 +10,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.functions.strings import let
-from newsloom.operators.lookup import BROADCAST_ROWS
+from newsloom.functions.strings import let, sql_literal
+from newsloom.operators.lookup import BROADCAST_ROWS, collect_bounded, lookup_join
 from newsloom.operators.rows import explode_rows
 from newsloom.schemas import KEYWORDS
+from newsloom.sources.staging import stage
 
 MAX_FEATURES = 10_000
 KEYWORDS_PER_ARTICLE = 10
@@ -64,8 +65,6 @@ def term_idf(df: DataFrame, max_features: int = MAX_FEATURES) -> DataFrame:
     N together with the features and the corpus is not scanned again to count.
     Articles whose ``terms`` are null (no text) do not count.
     """
-    if max_features >= BROADCAST_ROWS:
-        raise ValueError(f"max_features must stay below {BROADCAST_ROWS}: the features are broadcast")
     marker = F.array(F.struct(F.lit("").alias("term"), F.lit(1).alias("tf")))
     counted = df.select(F.concat(marker, "terms").alias("terms"))
     top = (
@@ -73,6 +72,10 @@ def term_idf(df: DataFrame, max_features: int = MAX_FEATURES) -> DataFrame:
         .orderBy(F.desc(F.col("term") == ""), F.desc("n"), F.asc("term"))
         .limit(max_features + 1)
     )
+    if max_features >= BROADCAST_ROWS:  # too many to meet in one row: the corpus size becomes a subquery
+        top = stage(top, "features")
+        docs = top.where("term = ''").select("df").scalar()
+        return top.where("term <> ''").withColumn("idf", F.log10(docs / F.col("df")))
     # at most max_features + 1 rows meet here
     packed = top.agg(
         F.max(F.when(F.col("term") == "", F.col("df"))).alias("docs"),
@@ -83,16 +86,27 @@ def term_idf(df: DataFrame, max_features: int = MAX_FEATURES) -> DataFrame:
 
 
 def weigh_terms(df: DataFrame, idf: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """(id, term, tf, weight) for terms with an idf above zero.
-
-    ``idf`` comes from ``term_idf`` and is therefore small enough to broadcast.
-    """
-    pairs = explode_rows(df, "terms", "t", [id_col]).select(id_col, "t.term", "t.tf")
-    return pairs.join(F.broadcast(idf.select("term", "idf")), "term").select(
+    """(id, term, tf, weight) for terms with an idf above zero."""
+    weights = stage(idf.select("term", "idf"), "idf")
+    pairs = explode_rows(_featured(df, weights), "terms", "t", [id_col]).select(id_col, "t.term", "t.tf")
+    return lookup_join(pairs, weights, "term", spread_by=[id_col]).select(
         id_col, "term", "tf", (F.col("tf") * F.col("idf")).alias("tfidf")
     )
 
 
+def _featured(df: DataFrame, weights: DataFrame) -> DataFrame:
+    """Drop terms without a weight inside the row, so that they are neither exploded nor joined.
+
+    The names become a hash set in the expression; above the bound of such sets
+    all terms go on, and the join drops them.
+    """
+    names = collect_bounded(weights, "term")
+    if not names:
+        return df
+    listed = ",".join(sql_literal(n) for n in names)
+    return df.withColumn("terms", F.expr(f"filter(terms, t -> t.term in ({listed}))"))
+
+
 def rank_keywords(weighted: Column, k: int) -> Column:
     """L2-normalise an array of (word, weight) and keep the k best.
 
@@ -125,8 +139,9 @@ def document_keywords(
     article sit in one task already, so the collected list is complete before
     the shuffle and one compact row per article crosses it.
     """
-    pairs = df.select(id_col, F.explode_outer("terms").alias("t")).select(id_col, "t.term", "t.tf")
-    weighted = pairs.join(F.broadcast(idf.select("term", "idf")), "term", "left")
+    weights = stage(idf.select("term", "idf").where("idf > 0"), "idf")
+    pairs = _featured(df, weights).select(id_col, F.explode_outer("terms").alias("t")).select(id_col, "t.term", "t.tf")
+    weighted = lookup_join(pairs, weights, "term", "left", spread_by=[id_col])
     entry = F.when(
         F.col("idf") > 0,
         F.struct(F.col("term").alias("word"), (F.col("tf") * F.col("idf")).alias("weight")),

@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsloom.operators.keywords import LEADERBOARD_SIZE, leaderboard
-from newsloom.session import shared_dir
+from newsloom.sources.staging import stage  # noqa: F401
 
 
 def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -26,14 +24,3 @@ def write_keyword_map(scores: DataFrame, path: str, n: int = LEADERBOARD_SIZE) -
     ordered = F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("key"), "word", "score")))
     entries = F.transform(ordered, lambda e: F.struct(e["word"].alias("key"), e["score"].alias("value")))
     best.agg(F.to_json(F.map_from_entries(entries)).alias("value")).write.mode("overwrite").text(path)
-
-
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write an intermediate table to the shared folder and read it back.
-
-    Used where an expensive result feeds several branches. Unlike a cached
-    table it survives the loss of executors and cuts the lineage.
-    """
-    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
