@@ -10,8 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.functions.strings import let, sql_literal
-from newsloom.operators.lookup import BROADCAST_ROWS, collect_bounded, lookup_join
+from newsloom.functions.strings import let
+from newsloom.operators.lookup import BROADCAST_ROWS, lookup_join
 from newsloom.operators.rows import explode_rows
 from newsloom.schemas import KEYWORDS
 from newsloom.sources.staging import stage
@@ -88,25 +88,12 @@ def term_idf(df: DataFrame, max_features: int = MAX_FEATURES) -> DataFrame:
 def weigh_terms(df: DataFrame, idf: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """(id, term, tf, weight) for terms with an idf above zero."""
     weights = stage(idf.select("term", "idf"), "idf")
-    pairs = explode_rows(_featured(df, weights), "terms", "t", [id_col]).select(id_col, "t.term", "t.tf")
+    pairs = explode_rows(df, "terms", "t", [id_col]).select(id_col, "t.term", "t.tf")
     return lookup_join(pairs, weights, "term", spread_by=[id_col]).select(
         id_col, "term", "tf", (F.col("tf") * F.col("idf")).alias("tfidf")
     )
 
 
-def _featured(df: DataFrame, weights: DataFrame) -> DataFrame:
-    """Drop terms without a weight inside the row, so that they are neither exploded nor joined.
-
-    The names become a hash set in the expression; above the bound of such sets
-    all terms go on, and the join drops them.
-    """
-    names = collect_bounded(weights, "term")
-    if not names:
-        return df
-    listed = ",".join(sql_literal(n) for n in names)
-    return df.withColumn("terms", F.expr(f"filter(terms, t -> t.term in ({listed}))"))
-
-
 def rank_keywords(weighted: Column, k: int) -> Column:
     """L2-normalise an array of (word, weight) and keep the k best.
 
@@ -140,7 +127,7 @@ def document_keywords(
     the shuffle and one compact row per article crosses it.
     """
     weights = stage(idf.select("term", "idf").where("idf > 0"), "idf")
-    pairs = _featured(df, weights).select(id_col, F.explode_outer("terms").alias("t")).select(id_col, "t.term", "t.tf")
+    pairs = df.select(id_col, F.explode_outer("terms").alias("t")).select(id_col, "t.term", "t.tf")
     weighted = lookup_join(pairs, weights, "term", "left", spread_by=[id_col])
     entry = F.when(
         F.col("idf") > 0,
