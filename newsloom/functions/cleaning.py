@@ -12,6 +12,7 @@ import math
 import re
 import sys
 import unicodedata
+from collections.abc import Iterator
 from functools import lru_cache
 
 import pandas as pd
@@ -55,6 +56,7 @@ def nfkc(c: Column | str) -> Column:
 
 def strip_number_header(c: Column | str) -> Column:
     """Drop a leading episode number such as ``#12 - ``."""
+    # fixed value: the form of such a number
     return F.regexp_replace(_col(c), r"^\s*#?\d+\s*[-–—:]\s*", "")
 
 
@@ -120,6 +122,7 @@ def with_clean(
 
 # --- tags -------------------------------------------------------------------
 
+# Fixed value: what counts as a tag.
 TAG_MARK = r"(?U)[@#](\w+)"
 
 
@@ -184,15 +187,16 @@ def split_tags(c: Column | str, costs: dict[str, float]) -> Column:
     """Replace ``@name`` and ``#tag`` by their words, in place.
 
     Only the tags themselves reach Python, as a short array per row; repeated
-    tags are split once per worker.
+    tags are split once per task, up to the size of the cache.
     """
     text = _col(c)
     longest = max(map(len, costs), default=1)
 
     @F.pandas_udf(ArrayType(StringType()))
-    def words_of(tags: pd.Series) -> pd.Series:
+    def words_of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         cached = lru_cache(maxsize=100_000)(lambda t: split_tag(t, costs, longest))
-        return tags.map(lambda ts: [cached(t) for t in ts], na_action="ignore")
+        for tags in batches:
+            yield tags.map(lambda ts: [cached(t) for t in ts], na_action="ignore")
 
     tagged = text.rlike(TAG_MARK)
     words = words_of(F.when(tagged, F.regexp_extract_all(text, F.lit(TAG_MARK), 1)))

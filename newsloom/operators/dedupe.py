@@ -60,13 +60,14 @@ def feed_dedupe(
 
 
 def head_per_feed(
-    df: DataFrame, n: int | None, order: list[str | Column], feed: str = "feed"
+    df: DataFrame, n: int | None, order: list[str | Column], feed: str = "feed", slices: int = SLICES
 ) -> DataFrame:
     """First ``n`` rows of each feed; None or 0 keeps all.
 
     Up to a size Spark limits the groups on the map side. Beyond it each feed
     is first limited in slices, so a feed with a third of all rows reaches its
-    last task with at most ``n`` rows per slice.
+    last task with at most ``n`` rows per slice. ``slices`` should grow with
+    the rows of the largest feed; the columns of the order choose the slice.
     """
     if not n:
         return df
@@ -76,8 +77,9 @@ def head_per_feed(
         return rows.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") <= n).drop("_rank")
 
     if n > GROUP_LIMIT:
-        slices = df.withColumn("_slice", F.pmod(F.xxhash64(*df.columns), F.lit(SLICES)))
-        df = first(slices, feed, "_slice").drop("_slice")
+        spread = [F.col(c) for c in order if isinstance(c, str)] or [F.col(f"`{c}`") for c in df.columns]
+        sliced = df.withColumn("_slice", F.pmod(F.xxhash64(*spread), F.lit(slices)))
+        df = first(sliced, feed, "_slice").drop("_slice")
     return first(df, feed)
 
 

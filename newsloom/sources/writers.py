@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,8 +11,13 @@ from newsloom.operators.keywords import LEADERBOARD_SIZE, leaderboard
 from newsloom.sources.staging import stage  # noqa: F401
 
 
-def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """One object per line, UTF-8, other scripts kept as they are."""
+def write_json(df: DataFrame, path: str, mode: str = "overwrite", order: Sequence[str] = ()) -> None:
+    """One object per line, UTF-8, other scripts kept as they are.
+
+    With ``order`` the rows follow it through the files, taken by name.
+    """
+    if order:
+        df = df.repartitionByRange(*order).sortWithinPartitions(*order)
     df.write.mode(mode).option("encoding", "UTF-8").json(path)
 
 

@@ -27,7 +27,10 @@ def article_stream(spark: SparkSession, path: str, max_files: int | None = None)
 
 
 def dedupe_stream(articles: DataFrame, remember: str = REMEMBER) -> DataFrame:
-    """First arrival of each address.
+    """One row for each address, from the first micro-batch that brings it.
+
+    Which of several rows of one address inside a micro-batch stays is not
+    determined; ``exact_append`` goes by an order.
 
     The watermark runs on the time of arrival, which never goes back, so no
     article is ever too late and none is lost. An address is remembered for

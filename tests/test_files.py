@@ -55,6 +55,14 @@ def test_merge(spark, tmp_path):
     assert rows(again, "url", "title") == rows(merged, "url", "title")
 
 
+def test_ordered_output(spark, tmp_path):
+    entries = [article(f"u{i:03}", feed=f"f{i % 3}") for i in range(100)]
+    df = spark.createDataFrame(entries[::-1], schemas.ARTICLE).repartition(7)
+    writers.write_json(df, f"{tmp_path}/ordered", order=["feed", "url"])
+    back = readers.read_article_lines(spark, f"{tmp_path}/ordered").orderBy("src_file", "src_pos").collect()
+    assert [(r.feed, r.url) for r in back] == sorted((e["feed"], e["url"]) for e in entries)
+
+
 def test_archive_csv(spark, tmp_path):
     path = tmp_path / "archive.csv"
     write(path, 'date,time,title,url,full_text\n21-10-2025,09:30,"He said ""ok"", then",u1,"line one\nline two"\n05-10-2025,,b,u2,\n')
