@@ -11,6 +11,7 @@ from newsloom.functions.strings import let
 from newsloom.operators.gazetteer import COUNTRIES
 from newsloom.operators.lookup import lookup_join
 from newsloom.operators.rows import explode_rows
+from newsloom.sources.staging import stage
 
 NAME_TOKEN = r"'?[\p{L}\p{N}](?:[\p{L}\p{N}'\-]*[\p{L}\p{N}])?"
 STARTS_NAME = r"^(?:'\p{L}-)?\p{Lu}"
@@ -104,7 +105,9 @@ def location_mentions(
     ``max_words`` says otherwise. ``candidates`` may bring a recogniser of
     one's own: it gets the articles and returns (id, pos, loc) rows, which are
     then only looked up; those the lookup does not know stay, without a country.
+    The lookup is measured before it is joined, so it is staged first.
     """
+    lookup = stage(lookup.select("name_lower", "cc"), "lookup")
     if candidates is None:
         spans = candidate_spans(df, text, id_col, max_words or longest_name(lookup))
         return match_mentions(spans, lookup, id_col, blocked)
