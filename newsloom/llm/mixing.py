@@ -29,7 +29,9 @@ WORDS = 128
 # Posteriors of naive Bayes are too sure; log-odds are scaled by this.
 TEMPER = 0.25
 STEPS = 40
+# Shares of the total: targets count as met at the first, totals as settled at the second.
 TOLERANCE = 1e-4
+STILL = 2e-5
 MOST = 16.0
 
 
@@ -164,7 +166,7 @@ def fit_rates(
         rated = members.select("n_tokens", "p", _rate(F.col("p"), steps, start, least, most).alias("rate"))
         got = rated.agg(*[F.sum(tokens * F.col("rate") * at[i]).alias(f"a{i}") for i in range(d)]).first()
         before, totals = totals, np.array([got[f"a{i}"] or 0.0 for i in range(d)])
-        if np.abs(before - totals).max() <= 1e-9 * max(total, 1.0):
+        if np.abs(before - totals).max() <= STILL * max(total, 1.0):
             break
     return Mix(classifier, least, most, start, steps, dict(zip(domains, totals.tolist(), strict=True)), dict(zip(domains, targets.tolist(), strict=True)))
 
