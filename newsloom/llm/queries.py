@@ -13,7 +13,7 @@ from newsloom.llm.common import scratch, table
 from newsloom.llm.decontaminate import contamination
 from newsloom.llm.exact_dedup import exact_groups
 from newsloom.llm.html_text import extract_pages
-from newsloom.llm.lm_score import score_documents
+from newsloom.llm.window_lm import score_documents
 from newsloom.llm.quality import THRESHOLD, train, with_quality
 from newsloom.llm.simhash import near_groups
 from newsloom.llm.token_files import ids_crc32, read_tokens, tokenizer_path, write_tokens
