@@ -14,6 +14,8 @@ holds numbers per domain and per word of the classifier, both bounded.
 
 from __future__ import annotations
 
+import math
+import warnings
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -32,7 +34,6 @@ STEPS = 40
 # Shares of the total: targets count as met at the first, totals as settled at the second.
 TOLERANCE = 1e-4
 STILL = 2e-5
-MOST = 16.0
 
 
 @dataclass
@@ -52,6 +53,11 @@ class Mix:
     totals: dict[str, float]
     targets: dict[str, float]
 
+    def missed(self) -> dict[str, float]:
+        """Domains whose totals are off, and by how many tokens; empty if all targets are met."""
+        off = {x: self.totals[x] - t for x, t in self.targets.items()}
+        return {x: v for x, v in off.items() if abs(v) > TOLERANCE * max(sum(self.targets.values()), 1.0)}
+
 
 def words_of(text: Column) -> Column:
     return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), WHITE), lambda w: w != "")
@@ -128,16 +134,16 @@ def memberships(docs: DataFrame, classifier: Classifier, id_col: str = "doc_id",
 
 
 def fit_rates(
-    members: DataFrame, classifier: Classifier, weights: dict[str, float], total: float | None = None, least: float = 0.0, most: float = MOST
+    members: DataFrame, classifier: Classifier, weights: dict[str, float], total: float | None = None, least: float = 0.0, most: float = math.inf
 ) -> Mix:
-    """Rates in [least, most] whose expected domain totals come closest to ``weights`` times ``total``.
+    """Rates of ``least`` at least, and at most ``most`` if it is given, whose expected domain totals come closest to ``weights`` times ``total``.
 
     ``total`` is the corpus itself if it is not given; with ``least`` of one or
     more it is the smallest total for which no domain has to shrink. The steps
     are gradient steps of the squared distance of the totals, measured so that a
     step of length one suits every domain, and projected on the bounds. They
-    end when the totals fit or no longer move: targets out of reach stay missed
-    and can be told from ``totals``.
+    end when the totals fit or no longer move: targets out of reach stay missed,
+    which is told by a warning and by ``missed``.
     """
     domains, d = classifier.domains, len(classifier.domains)
     share = np.array([weights[x] for x in domains], float)
@@ -168,7 +174,10 @@ def fit_rates(
         before, totals = totals, np.array([got[f"a{i}"] or 0.0 for i in range(d)])
         if np.abs(before - totals).max() <= STILL * max(total, 1.0):
             break
-    return Mix(classifier, least, most, start, steps, dict(zip(domains, totals.tolist(), strict=True)), dict(zip(domains, targets.tolist(), strict=True)))
+    mix = Mix(classifier, least, most, start, steps, dict(zip(domains, totals.tolist(), strict=True)), dict(zip(domains, targets.tolist(), strict=True)))
+    if mix.missed():
+        warnings.warn(f"targets of the mix are missed: totals {mix.totals}, targets {mix.targets}", stacklevel=2)
+    return mix
 
 
 def with_rates(members: DataFrame, mix: Mix, seed: int = 0) -> DataFrame:
