@@ -33,7 +33,7 @@ TEMPER = 0.25
 STEPS = 40
 # Shares of the total: targets count as met at the first, totals as settled at the second.
 TOLERANCE = 1e-4
-STILL = 2e-5
+STILL = 1e-9
 
 
 @dataclass
@@ -141,7 +141,8 @@ def fit_rates(
     ``total`` is the corpus itself if it is not given; with ``least`` of one or
     more it is the smallest total for which no domain has to shrink. The steps
     are gradient steps of the squared distance of the totals, measured so that a
-    step of length one suits every domain, and projected on the bounds. They
+    step of length one suits every domain, and projected on the bounds; only
+    documents within the bounds are measured, unless that leads too far. They
     end when the totals fit or no longer move: targets out of reach stay missed,
     which is told by a warning and by ``missed``.
     """
@@ -166,14 +167,33 @@ def fit_rates(
             total = float(max((least * h / s for h, s in zip(have, share, strict=True) if s > 0), default=0.0))
     targets, inverse = share * total, np.linalg.pinv(metric, hermitian=True)
     start = min(most, max(least, total / row["n"])) if row["n"] else least
-    steps, totals = [], have * start
-    while np.abs(totals - targets).max() > TOLERANCE * max(total, 1.0) and len(steps) < STEPS:
-        steps.append((inverse @ (totals - targets)).tolist())
-        rated = members.select("n_tokens", "p", _rate(F.col("p"), steps, start, least, most).alias("rate"))
-        got = rated.agg(*[F.sum(tokens * F.col("rate") * at[i]).alias(f"a{i}") for i in range(d)]).first()
-        before, totals = totals, np.array([got[f"a{i}"] or 0.0 for i in range(d)])
-        if np.abs(before - totals).max() <= STILL * max(total, 1.0):
+    steps, totals, free = [], have * start, inverse
+    gap = totals - targets
+    for _ in range(STEPS):
+        if np.abs(gap).max() <= TOLERANCE * max(total, 1.0):
             break
+        tried = [*steps, (free @ gap).tolist()]
+        rated = members.select("n_tokens", "p", _rate(F.col("p"), tried, start, least, most).alias("rate"))
+        moving = (F.col("rate") > least) & (F.col("rate") < most)
+        got = rated.agg(
+            *[F.sum(tokens * F.col("rate") * at[i]).alias(f"a{i}") for i in range(d)],
+            *[F.sum(F.when(moving, tokens * at[i] * at[j])).alias(f"m{i}_{j}") for i, j in cells],
+        ).first()
+        after = np.array([got[f"a{i}"] or 0.0 for i in range(d)])
+        moved, closer = np.abs(after - totals).max(), (after - targets) @ inverse @ (after - targets) < gap @ inverse @ gap
+        if free is not inverse and not closer:
+            free = inverse  # too far: the same step again, as the whole corpus measures it
+            continue
+        settled = free is inverse and moved <= STILL * max(total, 1.0)
+        steps, totals, gap = tried, after, after - targets
+        if settled:
+            break
+        part = np.zeros((d, d))
+        for i, j in cells:
+            part[i, j] = part[j, i] = got[f"m{i}_{j}"] or 0.0
+        # a part without room for some direction, or a step that hardly moved, is measured by the whole corpus
+        roomy = np.linalg.eigvalsh(part).min() > 1e-6 * max(np.linalg.eigvalsh(metric).max(), 1e-300)
+        free = np.linalg.inv(part) if roomy and moved > STILL * max(total, 1.0) else inverse
     mix = Mix(classifier, least, most, start, steps, dict(zip(domains, totals.tolist(), strict=True)), dict(zip(domains, targets.tolist(), strict=True)))
     if mix.missed():
         warnings.warn(f"targets of the mix are missed: totals {mix.totals}, targets {mix.targets}", stacklevel=2)
