@@ -13,11 +13,14 @@ from newsloom.llm.common import scratch, table
 from newsloom.llm.decontaminate import contamination
 from newsloom.llm.exact_dedup import exact_groups
 from newsloom.llm.html_text import extract_pages
-from newsloom.llm.window_lm import score_documents
+from newsloom.llm.importance import resample
 from newsloom.llm.quality import THRESHOLD, train, with_quality
+from newsloom.llm.repeats import remove_repeats
 from newsloom.llm.simhash import near_groups
 from newsloom.llm.token_files import ids_crc32, read_tokens, tokenizer_path, write_tokens
+from newsloom.llm.vector_codes import compress
 from newsloom.llm.warc import read_warc, write_pages
+from newsloom.llm.window_lm import score_documents
 from newsloom.sources.writers import stage
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -210,3 +213,125 @@ def op3_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
 @_query("op8_lm_score")
 def op8_lm_score(spark: SparkSession, folder: str) -> DataFrame:
     return score_documents(table(spark, folder, "documents"))
+
+
+# CRC-32 by its table: one byte of a word's UTF-8 at a time.
+@_query(
+    "op11_importance_resample",
+    r"""
+    WITH tab AS (
+      SELECT list(c ORDER BY b) AS entries
+      FROM (SELECT b, list_reduce([b] || list_transform(range(8), lambda i: CAST(0 AS BIGINT)),
+                                  lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+            FROM (SELECT unnest(range(256)) AS b))
+    ), w AS (
+      SELECT kind, id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word
+      FROM (SELECT 's' AS kind, doc_id AS id, text FROM documents UNION ALL SELECT 't', item_id, text FROM benchmark)
+    ), coded AS (
+      SELECT word, xor(list_reduce([4294967295] || list_transform(range(octet_length(encode(word))), lambda i: CAST('0x' || substr(hex(encode(word)), CAST(2 * i + 1 AS INT), 2) AS BIGINT)),
+                                   lambda c, b: xor(entries[CAST(xor(c, b) & 255 AS INT) + 1], c >> 8)), 4294967295) % 10000 AS bucket
+      FROM (SELECT DISTINCT word FROM w), tab
+    ), f AS (
+      SELECT kind, id, bucket FROM w JOIN coded USING (word)
+    ), n AS (
+      SELECT bucket, count(*) FILTER (WHERE kind = 's') AS s, count(*) FILTER (WHERE kind = 't') AS t FROM f GROUP BY bucket
+    ), gains AS (
+      SELECT bucket, CAST(floor(1000 * ln(CAST((t + 1) * (all_s + 10000) AS DOUBLE) / CAST((s + 1) * (all_t + 10000) AS DOUBLE))) AS BIGINT) AS gain
+      FROM n, (SELECT sum(s) AS all_s, sum(t) AS all_t FROM n)
+    ), weighed AS (
+      SELECT id, count(*) AS n_features, CAST(sum(gain) AS BIGINT) AS weight FROM f JOIN gains USING (bucket) WHERE kind = 's' GROUP BY id
+    ), scored AS (
+      SELECT doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+             coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('2024:' || doc_id), 1, 8) AS BIGINT) + 0.5) / 4294967296.0))) AS BIGINT) AS score
+      FROM documents LEFT JOIN weighed ON doc_id = id
+    ), placed AS (
+      SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) AS place,
+             10 * count(*) OVER (PARTITION BY n_features >= 20) // 100 AS drawn
+      FROM scored
+    )
+    SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= 20 AND place <= drawn THEN place END AS rank FROM placed
+    """,
+)
+def op11_importance_resample(spark: SparkSession, folder: str) -> DataFrame:
+    return resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+# Two hexadecimal digits are a byte: a string of 50 bytes is one of 100 digits at an odd place. Blocks of 256 places keep
+# the strings short from which they are cut.
+@_query(
+    "op12_remove_repeats",
+    r"""
+    WITH d AS (
+      SELECT doc_id, hex(encode(coalesce(text, ''))) AS digits, octet_length(encode(coalesce(text, ''))) AS n_bytes FROM documents
+    ), places AS (
+      SELECT doc_id, 256 * b + i AS p, substr(block, CAST(2 * i + 1 AS INT), 100) AS gram
+      FROM (SELECT doc_id, b, block, unnest(range(least(256, len(block) // 2 - 49))) AS i
+            FROM (SELECT doc_id, b, substr(digits, CAST(512 * b + 1 AS INT), 610) AS block
+                  FROM (SELECT doc_id, digits, unnest(range((n_bytes - 50) // 256 + 1)) AS b FROM d WHERE n_bytes >= 50)))
+    ), hits AS (
+      SELECT doc_id, p FROM (SELECT doc_id, p, min(doc_id) OVER (PARTITION BY gram) AS first_id FROM places) WHERE doc_id > first_id
+    ), runs AS (
+      SELECT doc_id, min(p) AS a, max(p) + 50 AS b
+      FROM (SELECT *, sum(fresh) OVER (PARTITION BY doc_id ORDER BY p) AS run
+            FROM (SELECT *, CASE WHEN p - lag(p) OVER (PARTITION BY doc_id ORDER BY p) <= 50 THEN 0 ELSE 1 END AS fresh FROM hits))
+      GROUP BY doc_id, run
+    ), kept AS (
+      SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans,
+             string_agg(substr(digits, CAST(2 * before + 1 AS INT), CAST(2 * (a - before) AS INT)), '' ORDER BY a) || substr(any_value(digits), CAST(2 * max(b) + 1 AS INT)) AS rest
+      FROM (SELECT *, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM runs) JOIN d USING (doc_id)
+      GROUP BY doc_id
+    )
+    SELECT doc_id, CAST(n_bytes AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+           sha256(unhex(coalesce(rest, digits))) AS kept_sha256
+    FROM d LEFT JOIN kept USING (doc_id)
+    """,
+)
+def op12_remove_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    cut = remove_repeats(table(spark, folder, "documents"))
+    return cut.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        (F.size("spans") / 2).cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
+def _codes_sql() -> str:
+    """Rounds as common tables: c0 holds the first codebooks, a<i> the assignment to c<i>, c<i + 1> the entries after it."""
+    nearest = """
+    a{i} AS MATERIALIZED (
+      SELECT vec_id, part, entry, far FROM (
+        SELECT vec_id, part, entry, far, row_number() OVER (PARTITION BY vec_id, part ORDER BY far, entry) AS place
+        FROM (SELECT v.vec_id, part, entry, sum((x - y) * (x - y)) AS far FROM v JOIN c{i} USING (part, pos) GROUP BY v.vec_id, part, entry))
+      WHERE place = 1
+    )"""
+    means = """
+    c{j} AS MATERIALIZED (
+      SELECT part, entry, pos, coalesce(m, y) AS y
+      FROM c{i} LEFT JOIN (SELECT part, entry, pos, CAST(floor(sum(x) / count(*)) AS BIGINT) AS m
+                           FROM v JOIN a{i} USING (vec_id, part) GROUP BY part, entry, pos) USING (part, entry, pos)
+    )"""
+    rounds = ",".join(nearest.format(i=i) + "," + means.format(i=i, j=i + 1) for i in range(4))
+    return f"""
+    WITH e AS (
+      SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+      FROM embeddings
+      WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ), v AS MATERIALIZED (
+      SELECT vec_id, i // (len(v) // 4) AS part, i % (len(v) // 4) AS pos, v[i + 1] AS x FROM (SELECT vec_id, v, unnest(range(len(v))) AS i FROM e)
+    ), c0 AS MATERIALIZED (
+      SELECT part, entry, pos, x AS y FROM v JOIN (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM e) USING (vec_id) WHERE entry < 256
+    ),{rounds},{nearest.format(i=4)}, coded AS (
+      SELECT vec_id, label, string_agg(lpad(lower(hex(entry)), 2, '0'), '' ORDER BY part) AS code, CAST(sum(far) AS BIGINT) AS error
+      FROM a4 JOIN e USING (vec_id) GROUP BY vec_id, label
+    )
+    SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+           (SELECT sha256(string_agg(CAST(y AS VARCHAR), ',' ORDER BY part, entry, pos)) FROM c4) AS codebooks_sha256
+    FROM coded
+    """
+
+
+@_query("op13_vector_codes", _codes_sql())
+def op13_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return compress(table(spark, folder, "embeddings"))
