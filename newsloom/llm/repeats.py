@@ -10,12 +10,12 @@ is a piece of text. Three steps, each one shuffle:
    pieces of its shard before it sends them.
 3. Where the pieces of an anchor meet, every shard has its Burrows-Wheeler
    transform, and the transforms are merged: starting from one block of all rows,
-   each turn prepends the two symbols before a row, by a stable counting sort of
-   the interleave, so that after k symbols a block holds the rows that share a
-   prefix of k bytes. Rows move by the LF mapping of their own shard; suffixes of
-   different shards are never compared. Blocks of one document are finished early,
-   as they lie in order already. Blocks that are left at ``depth`` are the
-   intervals of common prefix ``depth``, hence the repeats.
+   each turn prepends the few symbols before a row and so refines the interleave;
+   after k symbols a block holds the rows that share a prefix of k bytes. Rows move
+   by the LF mapping of their own shard; suffixes of different shards are never
+   compared. Blocks of one document are finished early, as they lie in order
+   already. Blocks that are left at ``depth`` are the intervals of common prefix
+   ``depth``, hence the repeats.
 
 A bucket of pieces that is too large for one task is cut again at anchors of
 longer grams, at last of whole windows, of which a shard sends each one once.
@@ -31,7 +31,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsloom.llm.common import pick
@@ -40,17 +40,20 @@ from newsloom.sources.writers import stage
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 DEPTH = 50
-GRAM = 16
+GRAM = 24
 # Bytes of text that are hashed together.
-STRIP = 1 << 20
+STRIP = 1 << 19
 # Windows and bytes of pieces of a shard that is sent.
 SHARD = 1 << 23
 # Longest run of windows of a piece.
 RUN = 1 << 12
 # Bytes of pieces of a bucket as planned, the most that one task takes at once, and the most that is merged at once.
-BUCKET = 8 << 20
-LARGEST = 48 << 20
-MERGED = 2 << 20
+BUCKET = 2 << 20
+LARGEST = 16 << 20
+MERGED = 1 << 20
+# Bytes of pieces of one anchor that are still merged, and symbols of one transform.
+ANCHOR = 4 << 20
+TRANSFORM = 1 << 18
 
 ONE = np.uint64(1)
 MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
@@ -365,106 +368,116 @@ def _piece_rows(depth: int, gram: int, buckets: int):
 # ---- step 3: merged transforms
 
 
-def shard_transforms(text: np.ndarray, stop: np.ndarray, shard: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Transforms of all shards, one after the other: the two symbols before each row, the row two symbols earlier, and the place of each row.
+def shard_order(text: np.ndarray, left: np.ndarray, depth: int) -> np.ndarray:
+    """Places of one shard, ordered by the ``depth`` symbols from there on; ``left`` counts those before the end mark.
 
-    ``stop`` marks the end mark after each piece, ``shard`` names the shard of each place. Suffixes are ordered by their
-    first ``depth`` symbols, inside their own shard only. A row without two symbols before it has -1 as its earlier row.
+    Each round sorts numbers that hold two ranks and a place, and so doubles the symbols that the ranks stand for.
     """
     n = len(text)
-    # symbols above the end mark, eight of them in one number; what follows an end mark is cut off
-    left = np.minimum.accumulate(np.where(stop, np.arange(n), n)[::-1])[::-1] - np.arange(n)
-    head = np.zeros(n, np.uint64)
-    for k in range(7):
-        head <<= np.uint64(9)
+    bits = np.uint64(n.bit_length())
+    place = np.arange(n, dtype=np.uint64)
+    key = np.zeros(n, np.uint64)
+    known = 5  # five symbols of 257 values and a place of 20 bits fit into a number
+    for k in range(known):
         symbol = np.zeros(n, np.uint64)
-        symbol[: n - k] = text[k:].astype(np.uint64) + ONE
-        head |= np.where(left > k, symbol, np.uint64(0))
-    order = np.lexsort((head, shard)) if len(shard) and shard[0] != shard[-1] else np.argsort(head, kind="stable")
-    rank = np.empty(n, np.int64)
-
-    def ranked(*keys: np.ndarray) -> np.ndarray:
-        starts = groups(*(k[order] for k in keys))
-        rank[order] = spread(np.arange(1, len(starts) + 1), starts, n)
-        return rank
-
-    ranked(shard, head)
-    known = 7
-    while known < depth and int(rank.max()) < n:
+        symbol[: n - k] = text[k:]
+        key = key * np.uint64(257) + np.where(left > k, symbol + ONE, np.uint64(0))
+    rank = np.empty(n, np.uint64)
+    while True:
+        key = key << bits | place
+        key.sort()
+        order = (key & ((ONE << bits) - ONE)).astype(np.int64)
+        key >>= bits
+        new = np.append(False, key[1:] != key[:-1])
+        rank[order] = np.cumsum(new, dtype=np.uint64)
+        if known >= depth or int(rank[order[-1]]) == n - 1:
+            return order
         step = min(known, depth - known)
-        later = np.zeros(n, np.int64)
-        later[: n - step] = rank[step:]
+        later = np.zeros(n, np.uint64)
+        later[: n - step] = rank[step:] + ONE
         later[left < step] = 0
-        key = rank * (n + 1) + later
-        order = np.argsort(key, kind="stable")
-        ranked(key)
+        key = rank << bits | later
         known += step
-    row = np.empty(n, np.int32)
-    row[order] = np.arange(n, dtype=np.int32)
-    begun = np.append(True, stop[:-1])  # first place of a piece
-    two = np.ones(n, bool)
-    two[begun] = False
-    two[1:] &= ~begun[:-1]
-    two[:2] = False
-    pair = np.zeros(n, np.uint16)
-    pair[2:] = text[:-2].astype(np.uint16) << 8 | text[1:-1]
-    earlier = np.full(n, -1, np.int32)
-    earlier[2:] = row[:-2]
-    earlier[~two] = -1
-    return pair[order], earlier[order], order
-
-
-def merged_blocks(pair: np.ndarray, earlier: np.ndarray, doc: np.ndarray, rows: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """Rows that share ``depth`` symbols with a row of another document, and the starts of their blocks.
-
-    ``rows`` is the interleave to begin with, one block: rows of all shards, in the order of each. ``doc`` names the
-    document of a row. Each turn refines the interleave by the two symbols before its rows.
+
+
+def merged_blocks(
+    symbols: list[np.ndarray], earlier: list[np.ndarray], turns: list[int], doc: np.ndarray, rows: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """Rows that share all symbols of the turns with a row of another document, and the starts of their blocks.
+
+    ``rows`` is the interleave to begin with, one block: rows of all shards, in the order of each. Each turn refines it
+    by the symbols before its rows, whose number is ``turns[i]``: ``symbols`` has them as one number and ``earlier`` the
+    row that many symbols earlier in the same shard. ``doc`` names the document of a row. Inside a block rows stay in
+    the order of their shards, so a number of symbols, block and row puts the interleave in its new order.
     """
-    block = np.zeros(len(rows), np.int32)
-    for _ in range(depth // 2):
+    row_bits = np.uint64(len(doc).bit_length())
+    block = np.zeros(len(rows), np.uint64)
+    for turn in turns:
         if not len(rows):
             break
-        symbols = pair[rows]
-        order = np.argsort(symbols, kind="stable")
-        rows, block, symbols = earlier[rows[order]], block[order], symbols[order]
-        new = np.append(True, (symbols[1:] != symbols[:-1]) | (block[1:] != block[:-1]))
+        block_bits = np.uint64(int(block[-1]).bit_length())
+        key = symbols[turn][rows].astype(np.uint64) << (row_bits + block_bits)
+        key |= block << row_bits
+        key |= rows.astype(np.uint64)
+        key.sort()
+        rows = (key & ((ONE << row_bits) - ONE)).astype(np.int64)
+        key >>= row_bits
+        new = np.append(True, key[1:] != key[:-1])
         starts = np.flatnonzero(new)
         owner = doc[rows]
-        other = np.append(False, owner[1:] != owner[:-1]) & ~new
+        other = np.append(False, owner[1:] != owner[:-1])
+        other &= ~new
         several = np.logical_or.reduceat(other, starts)
         sizes = np.diff(np.append(starts, len(rows)))
-        keep = np.repeat(several, sizes)
-        rows = rows[keep]
-        block = np.repeat(np.arange(int(several.sum()), dtype=np.int32), sizes[several])
+        rows = earlier[turn][rows[np.repeat(several, sizes)]]
+        block = np.repeat(np.arange(int(several.sum()), dtype=np.uint64), sizes[several])
     return rows, groups(block)
 
 
-def repeated_windows(text: np.ndarray, sizes: np.ndarray, doc: np.ndarray, shard: np.ndarray, depth: int) -> np.ndarray:
+def turns_of(depth: int, rows: int, candidates: int) -> list[int]:
+    """Symbols of each turn: as many as fit into a number beside a row and a block of two rows at least."""
+    bits = 64 - rows.bit_length() - max(candidates // 2, 1).bit_length()
+    most = max(1, min(bits // 8, 4, depth))
+    return [most] * (depth // most) + [1] * (depth % most)
+
+
+def repeated_windows(text: np.ndarray, sizes: np.ndarray, doc: np.ndarray, shard: np.ndarray, depth: int, longest: int = TRANSFORM) -> np.ndarray:
     """For the windows of all pieces in turn, whether a piece of a smaller document holds the same.
 
-    Pieces come sorted by shard, one after the other in ``text``.
+    Pieces come sorted by shard, one after the other in ``text``. A shard of more than ``longest`` symbols is taken as several.
     """
-    if depth % 2:
-        raise ValueError("the merge takes two symbols a turn; the depth must be even")
     n = len(text) + len(sizes)
     ends = np.cumsum(sizes + 1) - 1
-    stop = np.zeros(n, bool)
-    stop[ends] = True
-    spaced = np.zeros(n, np.uint8)
-    spaced[~stop] = text
     piece = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes + 1)
-    pair, earlier, place = shard_transforms(spaced, stop, shard[piece], depth)
-    owner = doc[piece[place]]
-    # only suffixes that have depth symbols before them can become windows
-    rows = np.flatnonzero((place - (ends - sizes)[piece[place]]) >= depth).astype(np.int32)
-    rows, starts = merged_blocks(pair, earlier, owner, rows, depth)
+    left = (ends[piece] - np.arange(n)).astype(np.int32)
+    spaced = np.zeros(n, np.uint8)  # end marks hold no symbol
+    spaced[left > 0] = text
+    # the transform of each shard: its rows follow those of the shards before
+    place = np.empty(n, np.int64)
+    first = groups(shard, ends // longest)
+    begins = (ends - sizes)[first]
+    for a, b in zip(begins.tolist(), [*begins[1:].tolist(), n], strict=True):
+        place[a:b] = a + shard_order(spaced[a:b], left[a:b], depth)
+    row = np.empty(n, np.int32)
+    row[place] = np.arange(n, dtype=np.int32)
+    # a suffix becomes a window only if depth symbols of its piece are before it
+    rows = np.flatnonzero((sizes[piece] - left >= depth)[place])
+    turns = turns_of(depth, n, len(rows))
+    symbols, earlier = [np.zeros(0, np.uint32)] * (max(turns) + 1), [np.zeros(0, np.int32)] * (max(turns) + 1)
+    for turn in set(turns):
+        before = np.zeros(n, np.uint32)
+        for k in range(turn, 0, -1):
+            before[k:] = before[k:] << np.uint32(8) | spaced[: n - k]
+        back = np.zeros(n, np.int32)
+        back[turn:] = row[: n - turn]
+        symbols[turn], earlier[turn] = before[place], back[place]
+    owner = np.unique(doc, return_inverse=True)[1].astype(np.int32)[piece][place]
+    rows, starts = merged_blocks(symbols, earlier, turns, owner, rows)
     found = np.zeros(n, bool)
     if len(rows):
         least = np.minimum.reduceat(owner[rows], starts)
         found[place[rows]] = owner[rows] > spread(least, starts, len(rows))
-    window = ~stop
-    window &= np.arange(n) <= (ends - depth)[piece]
-    return found[window]
+    return found[left >= depth]
 
 
 def removed_spans(doc: np.ndarray, mark: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.RecordBatch:
@@ -512,7 +525,7 @@ def _both(rows: pa.RecordBatch) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([have.get(f.name, pa.nulls(rows.num_rows, f.type)) for f in SPANS_OR_PIECES], schema=SPANS_OR_PIECES)
 
 
-def _merge(depth: int, longer: int | None, buckets: int, largest: int, merged: int):
+def _merge(depth: int, longer: int | None, buckets: int, largest: int, merged: int, one: int):
     """Spans of the repeats of each bucket; too large ones, and anchors too large by themselves, are cut at ``longer`` grams."""
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -566,7 +579,7 @@ def _merge(depth: int, longer: int | None, buckets: int, largest: int, merged: i
             while at < len(starts):
                 stop = max(at + 1, int(np.searchsorted(np.cumsum(total[at:]), merged, side="right")) + at)
                 i = order[bounds[at] : bounds[stop]]
-                if longer and total[at:stop].sum() > merged:
+                if longer and total[at:stop].sum() > one:
                     yield from recut(_slices(text, ends, i), windows[i], doc[i], mark[i], place[i])
                 else:
                     i = i[np.argsort(shard[i], kind="stable")]
@@ -583,8 +596,8 @@ def repeated_spans(texts: DataFrame, depth: int = DEPTH, gram: int = GRAM, bucke
 
     ``texts`` has ``doc_id`` and ``mark``, which together name a text, and ``text``.
     """
-    if not 0 < gram <= depth or depth % 2:
-        raise ValueError("a gram is not longer than a window, and a window has an even number of bytes")
+    if not 0 < gram <= depth:
+        raise ValueError("a gram is not longer than a window")
     texts = texts.select("doc_id", "mark", "text")
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     entries = max(1, -(-size // bucket))  # an anchor takes about a byte per byte of text
@@ -601,7 +614,7 @@ def repeated_spans(texts: DataFrame, depth: int = DEPTH, gram: int = GRAM, bucke
     for i, _ in enumerate(grams):
         longer = grams[i + 1] if i + 1 < len(grams) else None
         rows = stage(
-            level.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_merge(depth, longer, parts, largest, merged), SPANS_OR_PIECES_DDL),
+            level.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_merge(depth, longer, parts, largest, merged, ANCHOR * merged // MERGED), SPANS_OR_PIECES_DDL),
             "repeats",
         )
         spans = rows.where(F.col("doc_id").isNotNull()).select("doc_id", "mark", "spans")
@@ -624,12 +637,15 @@ def _kept(text: bytes, spans: list[list[int]]) -> tuple[bytes, list[int]]:
     return b"".join(text[a:b] for a, b in zip(cuts[::2], cuts[1::2], strict=True)), joined
 
 
-@F.arrow_udf("struct<kept: binary, spans: array<long>>")
-def _removal(texts: pa.Array, spans: pa.Array) -> pa.Array:
-    kept = [_kept(t or b"", s or []) for t, s in zip(texts.cast(pa.binary()).to_pylist(), spans.to_pylist(), strict=True)]
-    return pa.StructArray.from_arrays(
-        [pa.array([k for k, _ in kept], pa.binary()), pa.array([s for _, s in kept], pa.list_(pa.int64()))], names=["kept", "spans"]
-    )
+def _removal(text: Column, spans: Column) -> Column:
+    @F.arrow_udf("struct<kept: binary, spans: array<long>>")
+    def cut(texts: pa.Array, spans: pa.Array) -> pa.Array:
+        kept = [_kept(t or b"", s or []) for t, s in zip(texts.cast(pa.binary()).to_pylist(), spans.to_pylist(), strict=True)]
+        return pa.StructArray.from_arrays(
+            [pa.array([k for k, _ in kept], pa.binary()), pa.array([s for _, s in kept], pa.list_(pa.int64()))], names=["kept", "spans"]
+        )
+
+    return cut(text, spans)
 
 
 def remove_repeats(
@@ -655,6 +671,6 @@ def remove_repeats(
     per_text = spans.groupBy("doc_id", "mark").agg(F.collect_list("spans").alias("spans"))
     judged = marked.where(has_id).join(per_text, ["doc_id", "mark"], "left").select("doc_id", "text", "spans")
     unnamed = marked.where(~has_id).select("doc_id", "text", F.lit(None).cast("array<array<bigint>>").alias("spans"))
-    return judged.unionByName(unnamed).withColumn("cut", _removal("text", "spans")).select(
+    return judged.unionByName(unnamed).withColumn("cut", _removal(F.col("text"), F.col("spans"))).select(
         "doc_id", F.octet_length("text").cast("long").alias("n_bytes"), F.col("cut.kept").alias("kept"), F.col("cut.spans").alias("spans")
     )
