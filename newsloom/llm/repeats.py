@@ -42,18 +42,21 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 DEPTH = 50
 GRAM = 24
 # Bytes of text that are hashed together.
-STRIP = 1 << 19
-# Windows and bytes of pieces of a shard that is sent.
+STRIP = 1 << 16
+# Bytes of text of a shard whose anchors are sent, and bytes of pieces of a shard.
 SHARD = 1 << 23
+SHARD_PIECES = 3 << 23
 # Longest run of windows of a piece.
 RUN = 1 << 12
 # Bytes of pieces of a bucket as planned, the most that one task takes at once, and the most that is merged at once.
 BUCKET = 2 << 20
 LARGEST = 16 << 20
-MERGED = 1 << 20
+MERGED = 96 << 10
 # Bytes of pieces of one anchor that are still merged, and symbols of one transform.
 ANCHOR = 4 << 20
-TRANSFORM = 1 << 18
+TRANSFORM = 1 << 14
+# Symbols that decide the order of the suffixes in a transform: the merge puts what is alike beyond them in its own order.
+CONTEXT = 48
 
 ONE = np.uint64(1)
 MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
@@ -80,14 +83,14 @@ def gram_hashes(text: np.ndarray, gram: int) -> np.ndarray:
 
 
 def anchors(text: np.ndarray, depth: int, gram: int) -> np.ndarray:
-    """Anchor of the window that begins at each place."""
+    """Smallest hash of the grams of the window that begins at each place."""
     least, size, wide = gram_hashes(text, gram), 1, depth - gram + 1
     while 2 * size <= wide:
         least = np.minimum(least[:-size], least[size:])
         size *= 2
     if size < wide:
         least = np.minimum(least[: size - wide], least[wide - size :])
-    return mixed(least ^ MIX[0])
+    return least
 
 
 def runs(text: np.ndarray, ends: np.ndarray, depth: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -95,15 +98,18 @@ def runs(text: np.ndarray, ends: np.ndarray, depth: int, gram: int) -> tuple[np.
     none = np.zeros(0, np.int64)
     if len(text) < depth:
         return none, none, none.astype(np.uint64)
-    anchor = anchors(text, depth, gram)
-    places = np.arange(len(anchor))
-    segment = np.searchsorted(ends, places, side="right")
-    inside = places + depth <= ends[segment]
-    start = np.append(True, (anchor[1:] != anchor[:-1]) | (segment[1:] != segment[:-1])) | (places % RUN == 0)
-    bounds = np.flatnonzero(start | ~inside)
-    sizes = np.diff(np.append(bounds, len(anchor)))
+    least = anchors(text, depth, gram)
+    places = np.arange(len(least))
+    inside = np.repeat(ends, np.diff(ends, prepend=0))[: len(least)] >= places + depth
+    bound = np.append(True, least[1:] != least[:-1])
+    bound[::RUN] = True
+    bound |= ~inside  # places whose window would reach into the next segment part the runs of two segments
+    bound[1:] |= ~inside[:-1]
+    bounds = np.flatnonzero(bound)
+    sizes = np.diff(np.append(bounds, len(least)))
     whole = inside[bounds]
-    return bounds[whole], sizes[whole], anchor[bounds[whole]]
+    bounds = bounds[whole]
+    return bounds, sizes[whole], mixed(least[bounds] ^ MIX[0])
 
 
 def strips(texts: list[bytes], depth: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
@@ -163,16 +169,21 @@ def spread(flags: np.ndarray, starts: np.ndarray, n: int) -> np.ndarray:
     return np.repeat(flags, np.diff(np.append(starts, n)))
 
 
-def shared_by_documents(key: np.ndarray, doc: np.ndarray) -> np.ndarray:
-    """Members of groups of equal keys that have two documents at least."""
-    order = np.lexsort((doc, key))
-    starts = groups(key[order])
+def in_order(key: np.ndarray) -> np.ndarray:
+    """Stable order of numbers that are not negative: key and place in one number where both fit."""
+    bits = len(key).bit_length()
+    if len(key) and int(key.max()).bit_length() + bits > 63:
+        return np.argsort(key, kind="stable")
+    both = key.astype(np.int64) << bits | np.arange(len(key))
+    both.sort()
+    return both & ((1 << bits) - 1)
+
+
+def of_several(starts: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Groups, given by their starts, that have two documents at least."""
     if not len(starts):
         return np.zeros(0, bool)
-    several = np.minimum.reduceat(doc[order], starts) != np.maximum.reduceat(doc[order], starts)
-    found = np.zeros(len(key), bool)
-    found[order] = spread(several, starts, len(key))
-    return found
+    return np.minimum.reduceat(doc, starts) != np.maximum.reduceat(doc, starts)
 
 
 def home(anchor: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
@@ -205,25 +216,25 @@ def texts_in(rows: pa.RecordBatch, i: int) -> list[bytes]:
 def _anchor_rows(depth: int, gram: int, buckets: int):
     def send(waiting: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
         doc, mark, code = (np.concatenate(c) for c in zip(*waiting, strict=True))
-        order = np.lexsort((mark, doc, code))
+        order = in_order(code)
         doc, mark, code = doc[order], mark[order], code[order]
-        first = groups(doc, mark, code)
+        first = groups(doc, mark, code)  # a text repeats an anchor: its entries are neighbours, as texts come one by one
         doc, mark, code = doc[first], mark[first], code[first]
-        here = shared_by_documents(code, doc)
+        starts = groups(code)
+        here = spread(of_several(starts, doc), starts, len(code))
         # of an anchor that documents of this shard share, one entry tells the others of it
         witness = np.zeros(len(code), bool)
-        witness[groups(code)] = True
+        witness[starts] = True
         rows = []
         if here.any():
             rows.append((-1 - int(code[0] & 0xFFFF), int(here.sum()), packed(steps(doc[here]), mark[here], code[here])))
         sent = ~here | witness
         doc, mark, code, known = doc[sent], mark[sent], code[sent], here[sent]
         bucket = code >> 32
-        order = np.lexsort((doc, bucket))
-        doc, mark, code, known, bucket = doc[order], mark[order], code[order], known[order], bucket[order]
         starts = groups(bucket)
         for a, b in zip(starts, np.append(starts[1:], len(bucket)), strict=True):
-            rows.append((int(bucket[a]), int(b - a), packed(steps(doc[a:b]), mark[a:b], code[a:b].astype(np.uint32), known[a:b])))
+            low = steps(code[a:b] & 0xFFFFFFFF).astype(np.uint32)
+            rows.append((int(bucket[a]), int(b - a), packed(steps(doc[a:b]), mark[a:b], low, known[a:b])))
         return dealt(rows)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -278,13 +289,13 @@ def _shared_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
                 doc, mark, code, _ = unpacked(data, n, "i8", "i8", "i8")
                 yield out(np.cumsum(doc), mark, code)
             continue
-        columns = [(np.cumsum(doc), mark, low, known) for n, data in entries for doc, mark, low, known, _ in [unpacked(data, n, "i8", "i8", "u4", "?")]]
+        columns = [(np.cumsum(doc), mark, np.cumsum(low, dtype=np.uint32), known) for n, data in entries for doc, mark, low, known, _ in [unpacked(data, n, "i8", "i8", "u4", "?")]]
         doc, mark, low, known = (np.concatenate(c) for c in zip(*columns, strict=True))
-        order = np.argsort(low, kind="stable")
-        starts = groups(low[order])
-        met = np.zeros(len(low), bool)
-        met[order] = spread(np.logical_or.reduceat(known[order], starts), starts, len(low))
-        take = (met | shared_by_documents(low, doc)) & ~known
+        order = in_order(low)
+        doc, mark, low, known = doc[order], mark[order], low[order], known[order]
+        starts = groups(low)
+        met = np.logical_or.reduceat(known, starts) | of_several(starts, doc) if len(low) else known
+        take = spread(met, starts, len(low)) & ~known
         yield out(doc[take], mark[take], bucket << 32 | low[take].astype(np.int64))
 
 
@@ -341,23 +352,28 @@ class Pieces:
         return dealt(rows)
 
 
+def of_text(code: np.ndarray, text: np.ndarray) -> np.ndarray:
+    return mixed(code.view(np.uint64) * MIX[0] + text.astype(np.uint64))
+
+
 def _piece_rows(depth: int, gram: int, buckets: int):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting = Pieces(depth)
         for rows in batches:
             doc_ids, marks, codes = rows.column(0).to_numpy(zero_copy_only=False), rows.column(1).to_numpy(zero_copy_only=False), rows.column(3)
-            wanted_doc = np.repeat(np.arange(rows.num_rows), pc.list_value_length(codes).to_numpy(zero_copy_only=False))
-            wanted = mixed(pc.list_flatten(codes).to_numpy(zero_copy_only=False).view(np.uint64) * MIX[0] + wanted_doc.astype(np.uint64))
+            counts = pc.list_value_length(codes).to_numpy(zero_copy_only=False)
+            reach = np.append(0, np.cumsum(counts))
+            wanted = of_text(pc.list_flatten(codes).to_numpy(zero_copy_only=False), np.repeat(np.arange(rows.num_rows), counts))
             for text, ends, owner, base in strips(texts_in(rows, 2), depth):
                 start, windows, anchor = runs(text, ends, depth, gram)
                 segment = np.searchsorted(ends, start, side="right")
                 who, code = owner[segment], code_of(anchor, buckets)
                 # a wrong match of two hashes sends a piece in vain and changes nothing
-                take = np.isin(mixed(code.view(np.uint64) * MIX[0] + who.astype(np.uint64)), wanted)
+                take = np.isin(of_text(code, who), wanted[reach[owner[0]] : reach[owner[-1] + 1]])
                 start, windows, segment, who, code = (c[take] for c in (start, windows, segment, who, code))
                 begin = np.append(0, ends[:-1])[segment]
                 waiting.add(text, start, windows, doc_ids[who], marks[who], start - begin + base[segment], code)
-                if waiting.size >= SHARD:
+                if waiting.size >= SHARD_PIECES:
                     yield waiting.sent()
         if waiting.size:
             yield waiting.sent()
@@ -368,36 +384,40 @@ def _piece_rows(depth: int, gram: int, buckets: int):
 # ---- step 3: merged transforms
 
 
-def shard_order(text: np.ndarray, left: np.ndarray, depth: int) -> np.ndarray:
-    """Places of one shard, ordered by the ``depth`` symbols from there on; ``left`` counts those before the end mark.
+def heads(symbols: np.ndarray) -> np.ndarray:
+    """The first six symbols from each place on, of 257 values each, as one number."""
+    padded = np.append(symbols, np.zeros(5, np.uint64))
+    two = padded[:-1] * np.uint64(257) + padded[1:]
+    four = two[:-2] * np.uint64(257**2) + two[2:]
+    return four[:-2] * np.uint64(257**2) + two[4:]
+
+
+def transform_order(head: np.ndarray) -> np.ndarray:
+    """Places of one transform in the order of their suffixes, decided by the first ``CONTEXT`` symbols.
 
     Each round sorts numbers that hold two ranks and a place, and so doubles the symbols that the ranks stand for.
     """
-    n = len(text)
+    n, known = len(head), 6
     bits = np.uint64(n.bit_length())
     place = np.arange(n, dtype=np.uint64)
-    key = np.zeros(n, np.uint64)
-    known = 5  # five symbols of 257 values and a place of 20 bits fit into a number
-    for k in range(known):
-        symbol = np.zeros(n, np.uint64)
-        symbol[: n - k] = text[k:]
-        key = key * np.uint64(257) + np.where(left > k, symbol + ONE, np.uint64(0))
     rank = np.empty(n, np.uint64)
+    key = head
     while True:
         key = key << bits | place
         key.sort()
         order = (key & ((ONE << bits) - ONE)).astype(np.int64)
+        if known >= CONTEXT:
+            return order
         key >>= bits
-        new = np.append(False, key[1:] != key[:-1])
-        rank[order] = np.cumsum(new, dtype=np.uint64)
-        if known >= depth or int(rank[order[-1]]) == n - 1:
+        new = np.zeros(n, np.uint64)
+        new[1:] = key[1:] != key[:-1]
+        ranks = np.cumsum(new)
+        if int(ranks[-1]) == n - 1:
             return order
-        step = min(known, depth - known)
-        later = np.zeros(n, np.uint64)
-        later[: n - step] = rank[step:] + ONE
-        later[left < step] = 0
-        key = rank << bits | later
-        known += step
+        rank[order] = ranks
+        key = rank << bits
+        key[: n - known] |= rank[known:] + ONE
+        known *= 2
 
 
 def merged_blocks(
@@ -438,13 +458,14 @@ def turns_of(depth: int, rows: int, candidates: int) -> list[int]:
     """Symbols of each turn: as many as fit into a number beside a row and a block of two rows at least."""
     bits = 64 - rows.bit_length() - max(candidates // 2, 1).bit_length()
     most = max(1, min(bits // 8, 4, depth))
-    return [most] * (depth // most) + [1] * (depth % most)
+    return [most] * (depth // most) + [depth % most] * (depth % most > 0)
 
 
-def repeated_windows(text: np.ndarray, sizes: np.ndarray, doc: np.ndarray, shard: np.ndarray, depth: int, longest: int = TRANSFORM) -> np.ndarray:
+def repeated_windows(text: np.ndarray, sizes: np.ndarray, doc: np.ndarray, depth: int, longest: int = TRANSFORM) -> np.ndarray:
     """For the windows of all pieces in turn, whether a piece of a smaller document holds the same.
 
-    Pieces come sorted by shard, one after the other in ``text``. A shard of more than ``longest`` symbols is taken as several.
+    Pieces come sorted by shard, one after the other in ``text``. A transform covers about ``longest`` symbols: a part of
+    a large shard or several small ones.
     """
     n = len(text) + len(sizes)
     ends = np.cumsum(sizes + 1) - 1
@@ -452,12 +473,12 @@ def repeated_windows(text: np.ndarray, sizes: np.ndarray, doc: np.ndarray, shard
     left = (ends[piece] - np.arange(n)).astype(np.int32)
     spaced = np.zeros(n, np.uint8)  # end marks hold no symbol
     spaced[left > 0] = text
-    # the transform of each shard: its rows follow those of the shards before
+    # the rows of a transform follow those of the transforms before
     place = np.empty(n, np.int64)
-    first = groups(shard, ends // longest)
-    begins = (ends - sizes)[first]
-    for a, b in zip(begins.tolist(), [*begins[1:].tolist(), n], strict=True):
-        place[a:b] = a + shard_order(spaced[a:b], left[a:b], depth)
+    begins = (ends - sizes)[groups(ends // longest)].tolist()
+    head = heads(np.where(left > 0, spaced.astype(np.uint64) + ONE, np.uint64(0)))
+    for a, b in zip(begins, [*begins[1:], n], strict=True):
+        place[a:b] = a + transform_order(head[a:b])
     row = np.empty(n, np.int32)
     row[place] = np.arange(n, dtype=np.int32)
     # a suffix becomes a window only if depth symbols of its piece are before it
@@ -496,15 +517,14 @@ def removed_spans(doc: np.ndarray, mark: np.ndarray, start: np.ndarray, end: np.
     return pa.RecordBatch.from_arrays([pa.array(doc[owners], pa.int64()), pa.array(mark[owners], pa.int64()), lists], schema=SPAN)
 
 
-def merged_pieces(text: np.ndarray, sizes: np.ndarray, doc: np.ndarray, mark: np.ndarray, place: np.ndarray, shard: np.ndarray, depth: int) -> pa.RecordBatch:
-    """Spans of the windows of these pieces that a smaller document holds too."""
-    found = repeated_windows(text, sizes, doc, shard, depth)
+def merged_pieces(text: np.ndarray, sizes: np.ndarray, doc: np.ndarray, mark: np.ndarray, place: np.ndarray, depth: int) -> tuple[np.ndarray, ...]:
+    """Document, mark and place of the windows of these pieces that a smaller document holds too."""
+    found = repeated_windows(text, sizes, doc, depth)
     windows = sizes - depth + 1
     piece = np.repeat(np.arange(len(sizes)), windows)
     inside = np.arange(len(found)) - np.repeat(np.cumsum(windows) - windows, windows)
     piece, inside = piece[found], inside[found]
-    at = place[piece] + inside
-    return removed_spans(doc[piece], mark[piece], at, at + depth)
+    return doc[piece], mark[piece], place[piece] + inside
 
 
 def _slices(text: np.ndarray, ends: np.ndarray, chosen: np.ndarray) -> np.ndarray:
@@ -543,7 +563,7 @@ def _merge(depth: int, longer: int | None, buckets: int, largest: int, merged: i
                 inside = start - np.append(0, ends[:-1])[piece]
                 piece += a
                 again.add(strip, start, size, doc[piece], mark[piece], place[piece] + inside, code_of(anchor, buckets))
-                if again.size >= SHARD:
+                if again.size >= SHARD_PIECES:
                     yield _both(again.sent())
 
         for bucket, entries in by_bucket(batches):
@@ -566,8 +586,9 @@ def _merge(depth: int, longer: int | None, buckets: int, largest: int, merged: i
                 continue
             doc, mark, place, windows, low, shard, text = (np.concatenate(c) for c in zip(*columns, strict=True))
             del columns
-            ends, take = np.cumsum(windows + depth - 1), shared_by_documents(low, doc)
-            order = np.flatnonzero(take)[np.argsort(low[take], kind="stable")]
+            ends, order = np.cumsum(windows + depth - 1), in_order(low)
+            starts = groups(low[order])
+            order = order[spread(of_several(starts, doc[order]), starts, len(low))]
             if not len(order):
                 continue
             # anchors are merged together up to a size; one that is larger is cut again
@@ -575,16 +596,20 @@ def _merge(depth: int, longer: int | None, buckets: int, largest: int, merged: i
             starts = groups(low[order])
             total = np.add.reduceat(sizes, starts)
             bounds = np.append(starts, len(order))
-            at = 0
+            reach = np.append(0, np.cumsum(total))
+            at, told = 0, []
             while at < len(starts):
-                stop = max(at + 1, int(np.searchsorted(np.cumsum(total[at:]), merged, side="right")) + at)
+                stop = max(at + 1, int(np.searchsorted(reach, reach[at] + merged, side="right")) - 1)
                 i = order[bounds[at] : bounds[stop]]
-                if longer and total[at:stop].sum() > one:
+                if longer and reach[stop] - reach[at] > one:
                     yield from recut(_slices(text, ends, i), windows[i], doc[i], mark[i], place[i])
                 else:
                     i = i[np.argsort(shard[i], kind="stable")]
-                    yield _both(merged_pieces(_slices(text, ends, i), (windows + depth - 1)[i], doc[i], mark[i], place[i], shard[i], depth))
+                    told.append(merged_pieces(_slices(text, ends, i), windows[i] + depth - 1, doc[i], mark[i], place[i], depth))
                 at = stop
+            if told:
+                doc, mark, place = (np.concatenate(c) for c in zip(*told, strict=True))
+                yield _both(removed_spans(doc, mark, place, place + depth))
         if again.size:
             yield _both(again.sent())
 
