@@ -19,7 +19,7 @@ def counted(folder, name):
 @pytest.mark.parametrize("name", sorted(STATEMENTS))
 def test_statement(spark, name):
     connection = duckdb.connect()
-    for table in "documents pages benchmark labels conversations".split():
+    for table in "documents pages benchmark labels conversations embeddings".split():
         connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{FOLDER}/{table}.parquet'")
     df = QUERIES[name](spark, FOLDER)
     columns = sorted(df.columns)
