@@ -7,12 +7,14 @@ run in linear-time engines as well and can be checked against one.
 
 from __future__ import annotations
 
+from functools import cache
 from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from newsloom.functions.strings import _col, collapse_ws, interleave, let, nonblank
+from newsloom.functions.tables import fixed_table
 
 HIDDEN = (
     r"(?is)<(?:!--.*?--"
@@ -48,10 +50,10 @@ def _codepoint_to_text(cp: Column) -> Column:
     )
 
 
-def _named_entities() -> Column:
-    """Name, with its semicolon if it has one, to text: one constant that the optimizer turns into a map."""
-    pairs = [f"{name}\x02{text}" for name, text in sorted(html5.items())]
-    return F.str_to_map(F.lit("\x01".join(pairs)), F.lit("\x01"), F.lit("\x02"))
+@cache
+def _named_entities() -> dict[str, str]:
+    """Name, with its semicolon if it has one, to text."""
+    return dict(sorted(html5.items()))
 
 
 def decode_entities(c: Column | str) -> Column:
@@ -60,7 +62,7 @@ def decode_entities(c: Column | str) -> Column:
     Names are those of HTML 5. Numbers that are no character, however long,
     become the replacement character; unknown names stay as they are.
     """
-    named = _named_entities()
+    named = fixed_table(_named_entities())
 
     def one(ref: Column) -> Column:
         digits = F.regexp_extract(ref, "^#([0-9]+);?$", 1)
@@ -68,7 +70,7 @@ def decode_entities(c: Column | str) -> Column:
         return (
             F.when(digits != "", let(digits.try_cast("long"), _codepoint_to_text))
             .when(hexits != "", let(F.conv(hexits, 16, 10).try_cast("long"), _codepoint_to_text))
-            .otherwise(F.coalesce(F.try_element_at(named, ref), F.concat(F.lit("&"), ref)))
+            .otherwise(F.coalesce(named(ref), F.concat(F.lit("&"), ref)))
         )
 
     def whole(text: Column) -> Column:

@@ -1,8 +1,8 @@
 """TF-IDF keywords per article and over a selection of articles.
 
-Term frequencies are counted inside the row of the article. Only two things
-are shuffled: the corpus counts per term (combined before the shuffle), and
-one compact row per article when the weights come back together.
+Term frequencies are counted inside the row of the article, and with the usual
+number of features its keywords are found there as well. Only the corpus counts
+per term are shuffled, combined before that.
 """
 
 from __future__ import annotations
@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsloom.functions.strings import let
-from newsloom.operators.lookup import BROADCAST_ROWS, lookup_join
+from newsloom.functions.tables import fixed_table
+from newsloom.operators.lookup import BROADCAST_ROWS, LITERAL_VALUES, collect_table, lookup_join
 from newsloom.operators.rows import explode_rows
 from newsloom.schemas import KEYWORDS
 from newsloom.sources.staging import stage
@@ -101,9 +102,11 @@ def rank_keywords(weighted: Column, k: int) -> Column:
     between equal scores; ties go to the smaller word.
     """
 
-    def ranked(norm: Column) -> Column:
+    def ranked(norm: Column, sorted_weights: Column) -> Column:
+        # only what may still be among the k best after rounding is rounded and sorted by word
+        least = F.get(sorted_weights, F.least(F.lit(k), F.size(sorted_weights)) - 1) - norm * 10.0 ** (1 - RANK_DIGITS)
         keyed = F.transform(
-            weighted,
+            F.filter(weighted, lambda x: x["weight"] >= least),
             lambda x: F.struct(
                 (-F.round(x["weight"] / norm, RANK_DIGITS)).alias("key"),
                 x["word"].alias("word"),
@@ -114,26 +117,35 @@ def rank_keywords(weighted: Column, k: int) -> Column:
         return F.transform(best, lambda x: F.struct(x["word"].alias("word"), x["score"].alias("score")))
 
     norm = F.sqrt(F.aggregate(weighted, F.lit(0.0), lambda acc, x: acc + x["weight"] * x["weight"]))
-    return let(F.when(norm > 0, norm).otherwise(F.lit(1.0)), ranked)
+    weights = F.sort_array(F.transform(weighted, lambda x: x["weight"]), asc=False)
+    return let(F.when(norm > 0, norm).otherwise(F.lit(1.0)), lambda n: let(weights, lambda w: ranked(n, w)))
 
 
 def document_keywords(
-    df: DataFrame, idf: DataFrame, k: int = KEYWORDS_PER_ARTICLE, id_col: str = "doc_id"
+    df: DataFrame, idf: DataFrame, k: int = KEYWORDS_PER_ARTICLE, id_col: str = "doc_id", in_row: int = LITERAL_VALUES
 ) -> DataFrame:
     """(id, keywords): the k terms of highest normalised TF-IDF per article.
 
-    Articles without a weighted term keep an empty list. All terms of an
-    article sit in one task already, so the collected list is complete before
-    the shuffle and one compact row per article crosses it.
+    Articles without a weighted term keep an empty list. Weights of at most
+    ``in_row`` terms become a table inside the expression, so that an article
+    stays one row from its terms to its keywords and nothing is shuffled. More
+    weights than that are joined to the terms, which meet again by article.
     """
     weights = stage(idf.select("term", "idf").where("idf > 0"), "idf")
+    known = collect_table(weights, "term", "idf", in_row)
+    if known is not None:
+        weight_of = fixed_table(known, "double")
+        terms = F.coalesce("terms", F.array().cast("array<struct<term:string,tf:int>>"))
+        weighed = F.transform(terms, lambda t: F.struct(t["term"].alias("word"), (t["tf"] * weight_of(t["term"])).alias("weight")))
+        weighted = F.filter(weighed, lambda w: w["weight"].isNotNull())
+        return df.select(id_col, let(weighted, lambda w: rank_keywords(w, k)).cast(KEYWORDS).alias("keywords"))
     pairs = df.select(id_col, F.explode_outer("terms").alias("t")).select(id_col, "t.term", "t.tf")
-    weighted = lookup_join(pairs, weights, "term", "left", spread_by=[id_col])
+    joined = lookup_join(pairs, weights, "term", "left", spread_by=[id_col])
     entry = F.when(
         F.col("idf") > 0,
         F.struct(F.col("term").alias("word"), (F.col("tf") * F.col("idf")).alias("weight")),
     )
-    grouped = weighted.groupBy(id_col).agg(F.collect_list(entry).alias("weighted"))
+    grouped = joined.groupBy(id_col).agg(F.collect_list(entry).alias("weighted"))
     return grouped.select(id_col, rank_keywords(F.col("weighted"), k).cast(KEYWORDS).alias("keywords"))
 
 

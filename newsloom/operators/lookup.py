@@ -41,16 +41,20 @@ def lookup_join(
     spread_by: list[str] | None = None,
     max_rows: int = BROADCAST_ROWS,
     salts: int = SALTS,
+    fits: bool | None = None,
 ) -> DataFrame:
     """Join rows to a dimension (inner, left, left_semi or left_anti).
 
+    The dimension is measured here unless ``fits`` says what a measurement of
+    it, or of a larger table with its rows, has found.
+
     ``spread_by`` names columns that differ between rows sharing a key; they
     choose the salt, so a retried task makes the same choice again.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"a dimension cannot be joined with how={how!r}")
     keys = [on] if isinstance(on, str) else list(on)
-    if fits_broadcast(right, max_rows):
+    if fits_broadcast(right, max_rows) if fits is None else fits:
         return left.join(F.broadcast(right), keys, how)
     salt = F.pmod(F.xxhash64(*[F.col(c) for c in (spread_by or left.columns)]), F.lit(salts)).cast("int")
     copies = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
@@ -63,6 +67,12 @@ def collect_bounded(df: DataFrame, column: str, max_values: int = LITERAL_VALUES
     return None if len(rows) > max_values else [r[0] for r in rows]
 
 
+def collect_table(df: DataFrame, key: str, value: str, max_values: int = LITERAL_VALUES) -> dict | None:
+    """Values by key when there are at most ``max_values`` rows, else None; rows without a key are left out."""
+    rows = df.select(key, value).limit(max_values + 1).collect()
+    return None if len(rows) > max_values else {r[0]: r[1] for r in rows if r[0] is not None}
+
+
 def member_of(value: Column, members: list[str]) -> Column:
     """Hash-set membership; usable inside array lambdas."""
     return value.isin(members) if members else F.lit(False)

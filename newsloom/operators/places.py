@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsloom.functions.strings import let
 from newsloom.operators.gazetteer import COUNTRIES
-from newsloom.operators.lookup import lookup_join
+from newsloom.operators.lookup import fits_broadcast, lookup_join
 from newsloom.operators.rows import explode_rows
 from newsloom.sources.staging import stage
 
@@ -39,55 +39,111 @@ def candidate_spans(df: DataFrame, text: str = "clean_geo", id_col: str = "doc_i
     return each.select(id_col, "s.pos", "s.words", "s.loc")
 
 
+def named_words(lookup: DataFrame, name: str = "name_lower") -> DataFrame:
+    """The lookup with the first word of each name and its number of words."""
+    words = F.length(name) - F.length(F.replace(F.col(name), F.lit(" "))) + 1
+    return lookup.select(F.col(name).alias("name_lower"), "cc", F.substring_index(name, " ", 1).alias("first"), words.alias("words"))
+
+
+def name_starts(names: DataFrame) -> DataFrame:
+    """(first, lengths): for every word that begins a name, in how many words such names come.
+
+    The root of a phrase automaton: one row per first word, with no more
+    lengths than the longest name has words.
+    """
+    return names.groupBy("first").agg(F.array_sort(F.collect_set("words")).alias("lengths"))
+
+
+def known_spans(
+    df: DataFrame,
+    lookup: DataFrame,
+    text: str = "clean_geo",
+    id_col: str = "doc_id",
+    max_words: int | None = None,
+    blocked: list[str] | None = None,
+) -> DataFrame:
+    """(id, pos, words, loc, cc): every run of tokens with a capital first that is a name of the lookup.
+
+    A token goes on only if a name begins with it, and then gives one row per
+    length of such names, so there are never more rows than names that may
+    begin there. The names are measured before they are joined; their first
+    words are fewer and smaller.
+    """
+    names = stage(named_words(lookup), "lookup")
+    starts, fits = name_starts(names), fits_broadcast(names)
+    longest = names.agg(F.max("words")).first()[0] or 1
+    reach = min(longest, max_words) if max_words else longest
+    tokens = df.select(id_col, F.regexp_extract_all(F.col(text), F.lit(NAME_TOKEN), 0).alias("w"))
+
+    def capitals(w: Column) -> Column:
+        found = F.transform(w, lambda t, i: F.when(t.rlike(STARTS_NAME), F.struct((i + 1).alias("pos"), F.slice(w, i + 1, F.lit(reach)).alias("ahead"))))
+        return F.filter(found, lambda s: s.isNotNull())
+
+    each = explode_rows(tokens, let(F.col("w"), capitals), "s", [id_col])
+    first = each.select(id_col, "s.pos", "s.ahead", F.lower(F.get("s.ahead", F.lit(0))).alias("first"))
+    begun = lookup_join(first, starts, "first", spread_by=[id_col, "pos"], fits=fits)
+    lengths = F.filter("lengths", lambda n: n <= F.size("ahead"))
+    spans = explode_rows(begun, lengths, "words", [id_col, "pos", "ahead"])
+    named = spans.select(id_col, "pos", "words", F.array_join(F.slice("ahead", F.lit(1), F.col("words")), " ").alias("loc"))
+    return _looked_up(named, names.select("name_lower", "cc"), id_col, blocked, fits)
+
+
+def _looked_up(candidates: DataFrame, lookup: DataFrame, id_col: str, blocked: list[str] | None, fits: bool | None = None) -> DataFrame:
+    keyed = candidates.withColumn("name_lower", F.lower("loc"))
+    if blocked:
+        keyed = keyed.where(~F.col("name_lower").isin(*[b.lower() for b in blocked]))
+    return lookup_join(keyed, lookup, "name_lower", spread_by=[id_col, "pos"], fits=fits).select(id_col, "pos", "words", "loc", "cc")
+
+
 def match_mentions(
     candidates: DataFrame,
     lookup: DataFrame,
     id_col: str = "doc_id",
     blocked: list[str] | None = None,
 ) -> DataFrame:
-    """Candidates the lookup knows, from left to right, longest first, without overlaps.
+    """Candidates (id, pos, words, loc) the lookup knows, chosen by ``left_to_right``."""
+    return left_to_right(_looked_up(candidates, lookup, id_col, blocked), id_col)
+
+
+def left_to_right(known: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """(id, pos, loc, cc): known names from left to right, longest first, without overlaps.
 
     At each position the longest known name counts. A name that begins inside
     an earlier one that was kept is part of it and is dropped; one that begins
-    inside a dropped name is not.
+    inside a dropped name is not. The names of an article meet in its row, one
+    shuffle of what is known, and are walked there.
     """
-    keyed = candidates.withColumn("name_lower", F.lower("loc"))
-    if blocked:
-        keyed = keyed.where(~F.col("name_lower").isin(*[b.lower() for b in blocked]))
-    known = lookup_join(keyed, lookup, "name_lower", spread_by=[id_col, "pos"])
-    # all steps share the partitioning by article: one shuffle, none if the
-    # articles already come in partitions by id
-    ordered = Window.partitionBy(id_col).orderBy("pos")
-    longest = ordered.rangeBetween(Window.currentRow, Window.currentRow)
-    before = ordered.rowsBetween(Window.unboundedPreceding, -1)
-    best = (
-        known.withColumn("_longest", F.max("words").over(longest))
-        .where("words = _longest")
-        .withColumn("_covered", F.max(F.col("pos") + F.col("words")).over(before))
-        # names that overlap in a chain form a group; only inside one the order matters
-        .withColumn("_first", (F.col("_covered").isNull() | (F.col("_covered") <= F.col("pos"))).cast("int"))
-        .withColumn("_group", F.sum("_first").over(ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    )
-    spans = F.array_sort(F.collect_list(F.struct("pos", "words", "loc", "cc")))
-    chains = best.groupBy(id_col, "_group").agg(spans.alias("spans"))
-    return explode_rows(chains, _left_to_right(F.col("spans")), "s", [id_col]).select(id_col, "s.pos", "s.loc", "s.cc")
+    rows = known.groupBy(id_col).agg(F.array_sort(F.collect_list(F.struct("pos", "words", "loc", "cc"))).alias("s"))
+    # the longest of each position is the last one, as they are sorted by position and words
+    longest = F.filter("s", lambda x, i: F.coalesce(F.get("s", i + 1)["pos"] != x["pos"], F.lit(True)))
+    return explode_rows(rows.select(id_col, let(longest, _walk).alias("s")), "s", "m", [id_col]).select(id_col, "m.pos", "m.loc", "m.cc")
 
 
-def _left_to_right(spans: Column) -> Column:
-    """Spans in order, without those that begin before the last kept one ends."""
+def _walk(spans: Column) -> Column:
+    """Spans in order, without those that begin before the last kept one ends.
 
-    def step(kept: Column, s: Column) -> Column:
-        last = F.get(kept, F.size(kept) - 1)
-        free = F.coalesce(last["pos"] + last["words"] <= s["pos"], F.lit(True))
-        return F.when(free, F.concat(kept, F.array(s))).otherwise(kept)
+    The walk runs chain by chain: where no earlier name reaches, it starts
+    anew. A name overlaps those before it only as far back as names have words.
+    """
+    back = F.aggregate(spans, F.lit(1), lambda most, s: F.greatest(most, s["words"]))
+
+    def chains(reach: Column) -> Column:
+        def begins(s: Column, i: Column) -> Column:
+            before = F.slice(spans, F.greatest(i + 2 - reach, F.lit(1)), F.least(i, reach - 1))
+            return F.when(~F.exists(before, lambda b: b["pos"] + b["words"] > s["pos"]), i + 1)
+
+        heads = F.filter(F.transform(spans, begins), lambda i: i.isNotNull())
+        return let(heads, lambda h: F.transform(h, lambda at, k: F.slice(spans, at, F.coalesce(F.get(h, k + 1), F.size(spans) + 1) - at)))
 
-    return F.aggregate(F.slice(spans, 2, F.size(spans)), F.slice(spans, 1, 1), step)
+    return F.flatten(F.transform(let(back, chains), _kept))
 
 
-def longest_name(lookup: DataFrame, name: str = "name_lower") -> int:
-    """Words of the longest name; names without a word count as one."""
-    words = F.size(F.regexp_extract_all(F.col(name), F.lit(NAME_TOKEN), 0))
-    return lookup.agg(F.greatest(F.lit(1), F.max(words))).first()[0]
+def _kept(chain: Column) -> Column:
+    def step(kept: Column, s: Column) -> Column:
+        last = F.get(kept, F.size(kept) - 1)
+        return F.when(last["pos"] + last["words"] <= s["pos"], F.concat(kept, F.array(s))).otherwise(kept)
+
+    return F.when(F.size(chain) == 1, chain).otherwise(F.aggregate(F.slice(chain, 2, F.size(chain)), F.slice(chain, 1, 1), step))
 
 
 def location_mentions(
@@ -105,12 +161,10 @@ def location_mentions(
     ``max_words`` says otherwise. ``candidates`` may bring a recogniser of
     one's own: it gets the articles and returns (id, pos, loc) rows, which are
     then only looked up; those the lookup does not know stay, without a country.
-    The lookup is measured before it is joined, so it is staged first.
     """
-    lookup = stage(lookup.select("name_lower", "cc"), "lookup")
     if candidates is None:
-        spans = candidate_spans(df, text, id_col, max_words or longest_name(lookup))
-        return match_mentions(spans, lookup, id_col, blocked)
+        return left_to_right(known_spans(df, lookup, text, id_col, max_words, blocked), id_col)
+    lookup = stage(lookup.select("name_lower", "cc"), "lookup")
     return lookup_mentions(candidates(df), lookup, id_col)
 
 

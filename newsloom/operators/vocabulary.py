@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.functions.strings import sql_literal
+from newsloom.functions.tables import fixed_table
 from newsloom.operators.lookup import LITERAL_VALUES, collect_bounded, lookup_join
 from newsloom.operators.rows import explode_rows
 
@@ -29,24 +29,20 @@ def mark_unknown(
 ) -> DataFrame:
     """Replace tokens outside the vocabulary, keeping order and length.
 
-    A vocabulary of at most ``max_values`` words is read once and becomes a hash
-    set inside the expression: no token is exploded or shuffled. A larger one is
+    A vocabulary of at most ``max_values`` words is read once and becomes a table
+    inside the expression: no token is exploded or shuffled. A larger one is
     joined to the tokens by ``id_col``, which then must name each row.
     """
     words = collect_bounded(vocabulary, "word", max_values)
-    if words is None:
-        each = explode_rows(df, tokens, "word", [id_col], pos="pos")
-        known = lookup_join(each, vocabulary.select("word", F.lit(True).alias("_known")), "word", "left", spread_by=[id_col, "pos"])
-        marked = F.struct("pos", F.when(F.col("_known"), F.col("word")).otherwise(F.lit(unknown)).alias("word"))
-        lists = known.groupBy(id_col).agg(F.array_sort(F.collect_list(marked)).alias("_marked"))
-        found = F.coalesce(F.transform("_marked", lambda m: m["word"]), F.col(tokens))
-        return df.join(lists, id_col, "left").withColumn(tokens, found).select(*df.columns)
-    if not words:
-        return df.withColumn(tokens, F.transform(tokens, lambda t: F.lit(unknown)))
-    listed = ",".join(sql_literal(w) for w in words)
-    return df.withColumn(
-        tokens, F.expr(f"transform(`{tokens}`, t -> if(t in ({listed}), t, {sql_literal(unknown)}))")
-    )
+    if words is not None:
+        known = fixed_table(dict.fromkeys(filter(None, words), True), "boolean")
+        return df.withColumn(tokens, F.transform(tokens, lambda t: F.when(known(t), t).otherwise(F.lit(unknown))))
+    each = explode_rows(df, tokens, "word", [id_col], pos="pos")
+    found = lookup_join(each, vocabulary.select("word", F.lit(True).alias("_known")), "word", "left", spread_by=[id_col, "pos"])
+    marked = F.struct("pos", F.when(F.col("_known"), F.col("word")).otherwise(F.lit(unknown)).alias("word"))
+    lists = found.groupBy(id_col).agg(F.array_sort(F.collect_list(marked)).alias("_marked"))
+    whole = F.coalesce(F.transform("_marked", lambda m: m["word"]), F.col(tokens))
+    return df.join(lists, id_col, "left").withColumn(tokens, whole).select(*df.columns)
 
 
 def oov_rate(df: DataFrame, tokens: str = "tokens", unknown: str = UNKNOWN) -> DataFrame:

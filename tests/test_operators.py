@@ -11,6 +11,7 @@ from newsloom.operators import gazetteer as gz
 from newsloom.operators import keywords as kw
 from newsloom.operators import label_model as lm
 from newsloom.operators import lookup as lk
+from newsloom.sources.staging import stage
 from newsloom.operators import places as pc
 from newsloom.operators import rules as ru
 from newsloom.operators import vocabulary as vo
@@ -156,7 +157,11 @@ def test_keywords_against_brute_force(spark, max_features, k):
     df = spark.createDataFrame(list(docs.items()), "doc_id int, tokens array<string>")
     terms = kw.with_terms(df).select("doc_id", "terms")
     got = kw.document_keywords(terms, kw.term_idf(terms, max_features), k)
-    # more features than fit in one row: the same keywords
+    # weights that are joined instead of looked up in the row, and more features than meet in one row: the same keywords
+    joined = kw.document_keywords(terms, kw.term_idf(terms, max_features), k, in_row=1)
+    assert {r[0]: r[1] for r in joined.collect()} == {r[0]: r[1] for r in got.collect()}
+    plan = kw.document_keywords(stage(terms, "t"), stage(kw.term_idf(terms, max_features), "i"), k)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
     with pytest.MonkeyPatch.context() as patch:
         patch.setattr(kw, "BROADCAST_ROWS", 10)
         large = kw.document_keywords(terms, kw.term_idf(terms, max_features), k)
@@ -458,6 +463,54 @@ def test_specs_and_presets(spark):
 # --- exploration ------------------------------------------------------------------
 
 
+def test_names_of_any_length_from_first_words(spark):
+    long_name = "san pedro de la sierra alta del rio grande de los santos"
+    names = [(long_name, "ES"), ("san", "NL"), ("san pedro", "BE"), ("de la", "BE"), ("los santos", "DE"), ("i\u0307stanbul", "DE")]
+    lookup = spark.createDataFrame(names, "name_lower string, cc string")
+    whole = "San Pedro De La Sierra Alta del Rio Grande de Los Santos"
+    texts = [(1, whole), (2, "In San Pedro De La Sierra Los Santos"), (3, "San San Pedro"), (4, "\u0130stanbul"), (5, "san pedro"), (6, None), (7, "")]
+    df = spark.createDataFrame(texts, "doc_id int, clean_geo string")
+    got = {}
+    for r in pc.location_mentions(df, lookup).orderBy("doc_id", "pos").collect():
+        got.setdefault(r.doc_id, []).append((r.loc, r.cc))
+    assert got == {
+        1: [(whole, "ES")],
+        2: [("San Pedro", "BE"), ("De La", "BE"), ("Los Santos", "DE")],
+        3: [("San", "NL"), ("San Pedro", "BE")],
+        4: [("\u0130stanbul", "DE")],
+    }
+    # never more rows than names that may begin at a token, and the same as trying every length
+    spans = pc.known_spans(df, lookup)
+    tried = pc.match_mentions(pc.candidate_spans(df, max_words=12), lookup)
+    assert sorted(map(tuple, tried.collect())) == sorted(map(tuple, pc.left_to_right(spans).collect()))
+    assert sorted((r["first"], r.lengths) for r in pc.name_starts(pc.named_words(lookup)).collect()) == [
+        ("de", [2]), ("i\u0307stanbul", [1]), ("los", [2]), ("san", [1, 2, 12])]
+
+
+def test_mentions_against_a_plain_walk(spark):
+    import random
+
+    rnd = random.Random(4)
+    words = ["A", "B", "C", "d"]
+    names = {" ".join(rnd.choice("abcd") for _ in range(rnd.randint(1, 5))) for _ in range(25)}
+    texts = [(i, " ".join(rnd.choice(words) for _ in range(rnd.randint(0, 60)))) for i in range(60)] + [(99, "A " * 3000)]
+
+    def walk(text):
+        tokens, found, until = text.split(), [], 0
+        for i, t in enumerate(tokens):
+            if i >= until and t.isupper():
+                known = [n for n in range(1, 6) if i + n <= len(tokens) and " ".join(tokens[i : i + n]).lower() in names]
+                if known:
+                    found.append((i + 1, " ".join(tokens[i : i + max(known)])))
+                    until = i + max(known)
+        return found
+
+    df = spark.createDataFrame(texts, "doc_id int, clean_geo string").repartition(3)
+    lookup = spark.createDataFrame([(n, "NL") for n in names], "name_lower string, cc string")
+    got = sorted((r.doc_id, r.pos, r["loc"]) for r in pc.location_mentions(df, lookup).collect())
+    assert got == sorted((i, p, loc) for i, t in texts for p, loc in walk(t))
+
+
 def test_location_aggregates(spark):
     df = spark.createDataFrame(
         [(1, "t1", ["A", "A", "b"]), (2, None, ["A"]), (3, "t3", None)], "doc_id int, title string, locations array<string>")

@@ -175,3 +175,23 @@ def test_stopword_list_is_sparks(spark):
     from pyspark.ml.feature import StopWordsRemover
 
     assert cl.stopwords() == list(StopWordsRemover.loadDefaultStopWords("dutch"))
+
+
+def test_fixed_table_of_any_keys(spark):
+    from newsloom.functions.tables import fixed_table
+
+    entries = {f"key {i} \u00e9\x01\"": i * 0.1 for i in range(3000)} | {"": -1.5, "\n": 7.0}
+    look_up = fixed_table(entries, "double")
+    keys = [*entries, "absent", "KEY 1", None]
+    df = spark.createDataFrame([(k,) for k in keys], "k string")
+    assert [r[0] for r in df.select(look_up(F.col("k"))).collect()] == [entries.get(k) for k in keys]
+    empty = fixed_table({}, "string")
+    assert df.select(empty(F.col("k")).alias("v")).where("v is not null").count() == 0
+
+
+def test_every_named_reference(spark):
+    from html.entities import html5
+
+    names = sorted(n for n in html5 if n.endswith(";"))
+    df = spark.createDataFrame([("&" + n, html5[n]) for n in names], "ref string, text string")
+    assert df.where(~mk.decode_entities("ref").eqNullSafe(F.col("text"))).count() == 0
