@@ -274,3 +274,13 @@ def stream_exact_append(spark, folder):
     rows = _document_stream(spark, folder).select("doc_id", "url")
     ingest.exact_append(rows, f"{base}/table", f"{base}/checkpoint", ["doc_id"]).awaitTermination()
     return spark.read.schema(rows.schema).parquet(f"{base}/table")
+
+
+@query("stream_keyed_append", """
+SELECT md5(text) AS url, min(lower(source)) IS NOT NULL AS has_source FROM documents GROUP BY md5(text)""")
+def stream_keyed_append(spark, folder):
+    """Every address once, by the state of the stream alone, through the streaming sink."""
+    base = f"{shared_dir(spark)}/keyed-{uuid.uuid4().hex}"
+    rows = ingest.keyed_stream(_document_stream(spark, folder))
+    ingest.append_to_table(rows, f"{base}/table", f"{base}/check").awaitTermination()
+    return spark.read.parquet(f"{base}/table").select("url", F.col("feed").isNotNull().alias("has_source"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from newsloom.catalog import inputs as src
@@ -229,22 +230,42 @@ def new_articles_anti(spark, folder):
     return dd.new_only(src.articles(spark, folder).select("doc_id", "url"), stored, ["doc_id"])
 
 
-@query("update_articles", f"""
-WITH {src.ARTICLES},
-bounded AS (SELECT doc_id, url, published_ts FROM articles WHERE doc_id <= (SELECT (min(doc_id) + max(doc_id)) // 2 FROM documents)),
-fresh AS (SELECT doc_id, url, published_ts FROM articles
-  WHERE published_ts >= (SELECT date_trunc('day', max(published_ts)) FROM bounded))
-SELECT doc_id, url FROM bounded UNION ALL
-(SELECT doc_id, url FROM fresh WHERE url NOT IN (SELECT url FROM bounded)
- QUALIFY row_number() OVER (PARTITION BY url ORDER BY doc_id) = 1)""")
+# Pages stand for the incoming articles: each has a link of its own and, by its number, that of a document.
+ARRIVING = """arriving AS (SELECT page_id AS doc_id, url, TIMESTAMP '2024-01-01' + to_hours(page_id * 5) AS published_ts FROM pages
+  UNION ALL SELECT page_id, 'https://news.example/' || (page_id * 2), TIMESTAMP '2024-01-01' + to_hours(page_id * 5) FROM pages),
+stored AS (SELECT doc_id, 'https://news.example/' || doc_id AS url, TIMESTAMP '2024-01-01' + to_hours(doc_id) AS published_ts FROM documents)"""
+
+
+def _stored_and_arriving(spark, folder):
+    docs, pages = src.table(spark, folder, "documents"), src.table(spark, folder, "pages")
+    link = F.lit("https://news.example/")
+    stored = docs.select("doc_id", F.concat(link, F.col("doc_id").cast("string")).alias("url"), src.publication_hour().alias("published_ts"))
+    at = F.timestamp_seconds(F.lit(1704067200) + F.col("page_id") * 5 * 3600).alias("published_ts")
+    own = pages.select(F.col("page_id").alias("doc_id"), "url", at)
+    other = pages.select(F.col("page_id").alias("doc_id"), F.concat(link, (F.col("page_id") * 2).cast("string")).alias("url"), at)
+    return stored, own.unionByName(other)
+
+
+def _update_sql(kept: str) -> str:
+    return f"""
+WITH {ARRIVING},
+fresh AS (SELECT * FROM arriving WHERE {kept} AND url NOT IN (SELECT url FROM stored))
+SELECT doc_id, url FROM stored UNION ALL
+(SELECT doc_id, url FROM fresh QUALIFY row_number() OVER (PARTITION BY url ORDER BY doc_id) = 1)"""
+
+
+@query("update_articles", _update_sql("published_ts >= (SELECT date_trunc('day', max(published_ts)) FROM stored)"))
 def update_articles(spark, folder):
-    """Stored: the documents of the first half of the time; incoming: all documents."""
-    docs = src.table(spark, folder, "documents")
-    stamped = docs.select("doc_id", F.md5("text").alias("url"), src.publication_hour().alias("published_ts"))
-    middle = docs.agg(F.expr("(min(doc_id) + max(doc_id)) div 2").alias("m"))
-    existing = stamped.where(F.col("doc_id") <= middle.scalar())
-    updated = pl.update_articles(existing, stamped, ["doc_id"])
-    return updated.select("doc_id", "url")
+    """All documents are stored, all pages arrive; what is older than the newest stored day stays out."""
+    stored, arriving = _stored_and_arriving(spark, folder)
+    return pl.update_articles(stored, arriving, ["doc_id"]).select("doc_id", "url")
+
+
+@query("update_articles_late", _update_sql("true"))
+def update_articles_late(spark, folder):
+    """The same with late arrivals let in."""
+    stored, arriving = _stored_and_arriving(spark, folder)
+    return pl.update_articles(stored, arriving, ["doc_id"], late="keep").select("doc_id", "url")
 
 
 # --- files ------------------------------------------------------------------------
@@ -329,3 +350,86 @@ def keyword_map_roundtrip(spark, folder):
     text = spark.read.text(path, wholetext=True)
     entries = text.select(F.explode(F.from_json("value", "map<string,double>")).alias("word", "score"))
     return entries.select("word", F.round("score", 6).alias("score"))
+
+
+def _json_arrays(spark, folder, path: str) -> None:
+    """The documents as files of one array per source and hundred of ids, with what may stand around an array."""
+    rows = _article_rows(spark, folder).select(
+        F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("o"), F.col("feed").alias("source"),
+        F.substring_index("url", "/", -1).cast("long").alias("n"))
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct("n", "o"))), lambda x: x["o"])
+    # a hundred documents at most in an array
+    arrays = rows.groupBy("source", F.expr("n div 100").alias("part")).agg(F.array_join(ordered, ",\n\t").alias("body"))
+    lead = F.element_at(F.array(F.lit("\n\t[ "), F.lit("["), F.lit("\ufeff["), F.lit(" \r\n[\n")), (F.col("part") % 4 + 1).cast("int"))
+    files = arrays.select(F.concat_ws("-", "source", "part").alias("file"), F.concat(lead, "body", F.lit(" ]\r\n ")).alias("value"))
+    files.write.partitionBy("file").text(path)
+
+
+@query("json_dir_scan", ROUNDTRIP.format(published="strftime(TIMESTAMP '2024-01-01' + to_hours(doc_id), '%a, %d %b %Y %H:%M:%S')"))
+def json_dir_scan(spark, folder):
+    """A folder of JSON arrays that begin with line feeds, tabs or a byte order mark."""
+    path = _scratch(spark, "arrays")
+    _json_arrays(spark, folder, path)
+    back = readers.read_article_json(spark, f"{path}/*", names="*.txt")
+    return back.select("feed", "title", "url", "published", "full_text")
+
+
+@query("merge_files", """
+WITH files AS (SELECT 'https://news.example/' || doc_id AS url, source AS feed FROM documents),
+pages AS (SELECT page_id, CASE WHEN page_id % 2 = 0 THEN 'https://news.example/' || page_id ELSE url END AS url FROM pages)
+SELECT url, feed FROM files UNION ALL
+(SELECT url, 'page' AS feed FROM pages WHERE url NOT IN (SELECT url FROM files)
+ QUALIFY row_number() OVER (PARTITION BY url ORDER BY page_id) = 1)""")
+def merge_files(spark, folder):
+    """Article files and a further source that repeats every second address."""
+    path = _scratch(spark, "merge")
+    _json_arrays(spark, folder, path)
+    own = F.when(F.col("page_id") % 2 == 0, F.concat(F.lit("https://news.example/"), F.col("page_id").cast("string"))).otherwise(F.col("url"))
+    pages = src.table(spark, folder, "pages").select(own.alias("url"), F.lit("page").alias("feed"))
+    return pl.merge_articles(spark, f"{path}/*", extra=[pages], names="*.txt").select("url", "feed")
+
+
+@query("feed_order", """
+SELECT doc_id, row_number() OVER (ORDER BY source, doc_id DESC) AS place FROM documents""")
+def feed_order(spark, folder):
+    """Articles written in the order of their feeds, and the place in the files they are read back from."""
+    path = _scratch(spark, "order")
+    docs = src.table(spark, folder, "documents").select("source", (-F.col("doc_id")).alias("back"), F.col("doc_id").cast("string").alias("url"))
+    writers.write_json(docs, path, order=["source", "back"])
+    lines = readers.read_article_lines(spark, path)
+    # rows of a file in their order, files by name: small counts per file, as for any place in a folder
+    files = lines.groupBy("src_file").agg(F.count("*").alias("n"))
+    before = files.alias("a").join(files.alias("b"), F.col("b.src_file") < F.col("a.src_file"), "left").groupBy(
+        F.col("a.src_file").alias("src_file")).agg(F.coalesce(F.sum("b.n"), F.lit(0)).alias("before"))
+    own = F.row_number().over(Window.partitionBy("src_file").orderBy("src_pos"))
+    placed = lines.withColumn("own", own).join(before, "src_file")
+    return placed.select(F.col("url").cast("long").alias("doc_id"), (F.col("own") + F.col("before")).alias("place"))
+
+
+def _feed_lines(spark, folder):
+    """Lines of one RSS channel per source: a head, an item per document, an end."""
+    docs = src.table(spark, folder, "documents")
+    number = F.col("doc_id").cast("string")
+    at = F.date_format(src.publication_hour(), dt.PUBLISHED_LAYOUT)
+    item = F.concat(
+        F.lit("<item><title> Caf\u00e9 &amp; &lt;News&gt; "), number, F.lit("</title><link>https://news.example/"), number,
+        F.lit("</link><pubDate>"), at, F.lit("</pubDate><description>"), F.col("n_chars").cast("string"), F.lit(" characters</description></item>"))
+    items = docs.select("source", F.lit(1).alias("kind"), "doc_id", item.alias("value"))
+    sources = docs.select("source").distinct()
+    head = F.concat(F.lit("<rss><channel><title> The "), "source", F.lit(" </title>"))
+    heads = sources.select("source", F.lit(0).alias("kind"), F.lit(-1).cast("long").alias("doc_id"), head.alias("value"))
+    ends = sources.select("source", F.lit(2).alias("kind"), F.lit(-1).cast("long").alias("doc_id"), F.lit("</channel></rss>").alias("value"))
+    return heads.unionByName(items).unionByName(ends)
+
+
+@query("feed_scan", """
+SELECT 'The ' || source AS feed, 'Café & <News> ' || doc_id AS title, 'https://news.example/' || doc_id AS url,
+  strftime(TIMESTAMP '2024-01-01' + to_hours(doc_id), '%a, %d %b %Y %H:%M:%S') AS published, n_chars || ' characters' AS summary,
+  row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS src_pos FROM documents""")
+def feed_scan(spark, folder):
+    """Channels written as XML, read as entries."""
+    path = _scratch(spark, "feeds")
+    lines = _feed_lines(spark, folder).repartition("source").sortWithinPartitions("source", "kind", "doc_id")
+    lines.select("source", "value").write.partitionBy("source").text(path)  # a file holds one channel
+    entries = readers.read_feed(spark, f"{path}/*")
+    return entries.select("feed", "title", "url", "published", "summary", F.col("src_pos").cast("long").alias("src_pos"))

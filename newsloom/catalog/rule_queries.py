@@ -103,3 +103,40 @@ def weak_label(spark, folder):
     """Label and probability from a fitted model; depends on the fit, so no SQL."""
     labelled, _ = pl.weak_label(_texts(spark, folder), src.WORD_RULES)
     return labelled.select("doc_id", "sme_probability", "sme_label")
+
+
+# The closed form: covariances of votes of different rules, and the median over triplets of them.
+IND = ru.indicators(src.WORD_RULES)
+TRIPLETS = f"""{VOTES},
+ind(rule, vote) AS (VALUES {", ".join(f"('{r}', {v})" for r, v in IND)}),
+total AS (SELECT count(*)::DOUBLE AS n FROM votes),
+single AS (""" + " UNION ALL ".join(f"SELECT '{r}' AS rule, {v} AS vote, count(*) FILTER ({r} = {v}) / count(*)::DOUBLE AS s FROM votes" for r, v in IND) + """),
+joint AS (""" + " UNION ALL ".join(
+    f"SELECT '{a}' AS ra, {x} AS va, '{b}' AS rb, {y} AS vb, count(*) FILTER ({a} = {x} AND {b} = {y}) / count(*)::DOUBLE AS share FROM votes"
+    for a, x in IND for b, y in IND if a != b) + f"""),
+cov AS (SELECT ra, va, rb, vb, share - p.s * q.s AS c FROM joint
+  JOIN single p ON p.rule = ra AND p.vote = va JOIN single q ON q.rule = rb AND q.vote = vb),
+squares AS (SELECT x.ra AS rule, x.va AS vote, abs(x.c * y.c / z.c) AS sq
+  FROM cov x JOIN cov y ON x.ra = y.ra AND x.va = y.va AND (x.rb, x.vb) < (y.rb, y.vb)
+  JOIN cov z ON z.ra = x.rb AND z.va = x.vb AND z.rb = y.rb AND z.vb = y.vb WHERE abs(z.c) >= {lm.LEAST_COVARIANCE}),
+gaps AS (SELECT rule, vote, s, coalesce(sqrt(median(sq) / 0.25::DOUBLE), 0) AS gap
+  FROM single LEFT JOIN squares USING (rule, vote) GROUP BY rule, vote, s),
+bounded AS (SELECT *, power(10.0::DOUBLE, -greatest(2, ceil(log10(greatest(n, 10))))) AS least FROM gaps, total),
+mu AS (SELECT rule, vote, s, least(greatest(s + gap / 2, least), 1 - least) AS own, least(greatest(s - gap / 2, least), 1 - least) AS other FROM bounded),
+weights AS (SELECT rule, vote, CASE WHEN s = 0 THEN 0.0 WHEN vote = 1 THEN ln(own / other) ELSE ln(other / own) END AS weight FROM mu)"""
+
+
+@query("label_model_triplets", f"WITH {TRIPLETS} SELECT rule, vote, round(weight, 6) AS weight FROM weights")
+def label_model_triplets(spark, folder):
+    """Weights in closed form from the vote statistics of all documents."""
+    model = lm.fit_label_model(_votes(spark, folder), src.WORD_RULES, method="triplets")
+    return model.to_frame(spark).withColumn("weight", F.round("weight", 6))
+
+
+@query("weak_label_triplets", f"WITH {TRIPLETS}, odds AS (SELECT doc_id, " + " + ".join(
+    f"CASE WHEN {r} = {v} THEN (SELECT weight FROM weights WHERE rule = '{r}' AND vote = {v}) ELSE 0 END" for r, v in IND) + """ AS o FROM votes)
+SELECT doc_id, round(1 / (1 + exp(-o)), 6) AS sme_probability FROM odds""")
+def weak_label_triplets(spark, folder):
+    """Every document scored with the closed form fitted to all of them."""
+    labelled, _ = pl.weak_label(_texts(spark, folder), src.WORD_RULES, method="triplets")
+    return labelled.select("doc_id", F.round("sme_probability", 6).alias("sme_probability"))

@@ -115,14 +115,18 @@ def stopword_filter(spark, folder):
 
 
 @query("nonempty_corpus", f"""
-WITH c AS (SELECT conv_id, turn, {src.sql_clean("CASE WHEN turn % 3 = 0 THEN '&nbsp;' ELSE text END")} AS clean FROM conversations)
-SELECT conv_id * 100 + turn AS doc_id FROM c WHERE clean <> ''""")
+WITH t AS (SELECT conv_id * 200 + turn * 2 AS doc_id, text FROM conversations
+  UNION ALL SELECT conv_id * 200 + turn * 2 + 1, '<p>&nbsp;</p> -' FROM conversations),
+c AS (SELECT doc_id, {src.sql_clean('text')} AS clean FROM t)
+SELECT doc_id FROM c WHERE clean <> ''""")
 def nonempty_corpus(spark, folder):
-    """Articles that still have text after cleaning; every third turn has only a blank."""
-    text = F.when(F.col("turn") % 3 == 0, F.lit("&nbsp;")).otherwise(F.col("text"))
-    talk = src.table(spark, folder, "conversations").select(
-        (F.col("conv_id") * 100 + F.col("turn")).alias("doc_id"), F.lit("").alias("title"), F.lit("").alias("summary"), text.alias("full_text"))
-    return pl.tokenized(talk).where("terms is not null").select("doc_id")
+    """Turns that still have text after cleaning, beside as many that hold markup and blanks only."""
+    turns = src.table(spark, folder, "conversations")
+    number = F.col("conv_id") * 200 + F.col("turn") * 2
+    blank = turns.select((number + 1).alias("doc_id"), F.lit("<p>&nbsp;</p> -").alias("full_text"))
+    talk = turns.select(number.alias("doc_id"), F.col("text").alias("full_text")).unionByName(blank)
+    articles = talk.withColumns({"title": F.lit(""), "summary": F.lit("")})
+    return pl.tokenized(articles).where("terms is not null").select("doc_id")
 
 
 # --- vocabulary ---------------------------------------------------------------

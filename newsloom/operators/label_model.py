@@ -7,7 +7,8 @@ pair counts in one aggregate; the rest works on a matrix whose size is the
 number of rules, whatever the number of articles.
 
 Published basis: Dawid & Skene (1979); Ratner et al., "Data Programming"
-(2016) and "Training Complex Models with Multi-Task Weak Supervision" (2019).
+(2016) and "Training Complex Models with Multi-Task Weak Supervision" (2019); Fu et al.,
+"Fast and Three-rious" (2020) for the closed form.
 """
 
 from __future__ import annotations
@@ -28,6 +29,8 @@ PRIOR = 0.5
 
 START_PRECISION = 0.7
 STEP = 0.05
+# Covariances below this say nothing about a third vote.
+LEAST_COVARIANCE = 1e-3
 
 
 @dataclass(frozen=True)
@@ -106,12 +109,51 @@ def fit_vote_probabilities(
     return mu
 
 
+def triplet_vote_probabilities(
+    shares: np.ndarray, votes: Sequence[int], owners: Sequence[str], n: int, prior: float = PRIOR, least: float = LEAST_COVARIANCE
+) -> np.ndarray:
+    """P(vote | class) per indicator in closed form, columns NOT_SME and SME.
+
+    Given the class, rules vote independently, so the covariance of two votes of
+    different rules is the product of what the class adds to each, times the
+    variance of the class. Three votes then give each of them alone:
+    strength(i)^2 = cov(i, j) cov(i, k) / cov(j, k). The median over all pairs
+    (j, k) with a covariance of at least ``least`` is taken; a vote without such
+    a pair says nothing. A vote speaks for its own class.
+    """
+    classes = np.array([1.0 - prior, prior])
+    single = np.diag(shares)
+    covariance = shares - np.outer(single, single)
+    floor = 10.0 ** -max(2, math.ceil(math.log10(max(n, 10))))
+    mu = np.empty((len(votes), 2))
+    for i, v in enumerate(votes):
+        others = [j for j in range(len(votes)) if owners[j] != owners[i]]
+        squares = [
+            abs(covariance[i, j] * covariance[i, k] / covariance[j, k])
+            for a, j in enumerate(others)
+            for k in others[a + 1 :]
+            if owners[j] != owners[k] and abs(covariance[j, k]) >= least
+        ]
+        # the difference of the two probabilities: covariance with a class of variance prior * (1 - prior)
+        gap = math.sqrt(float(np.median(squares)) / (prior * (1 - prior))) if squares else 0.0
+        mu[i, v] = single[i] + gap * classes[1 - v]
+        mu[i, 1 - v] = single[i] - gap * classes[v]
+    return np.clip(mu, floor, 1 - floor)
+
+
 def fit_label_model(
-    votes: DataFrame, rules: Sequence[AnyRule], prior: float = PRIOR, epochs: int = EPOCHS
+    votes: DataFrame, rules: Sequence[AnyRule], prior: float = PRIOR, epochs: int = EPOCHS, method: str = "steps"
 ) -> LabelModel:
+    """Weights from one aggregate of pair counts, by gradient ``steps`` or in closed form from ``triplets``."""
+    if method not in ("steps", "triplets"):
+        raise ValueError("the method is 'steps' or 'triplets'")
     cols = indicators(rules)
     shares, n = pair_shares(votes, rules)
-    mu = fit_vote_probabilities(shares, [v for _, v in cols], [r for r, _ in cols], n, prior, epochs)
+    polarity, owners = [v for _, v in cols], [r for r, _ in cols]
+    if method == "triplets":
+        mu = triplet_vote_probabilities(shares, polarity, owners, n, prior)
+    else:
+        mu = fit_vote_probabilities(shares, polarity, owners, n, prior, epochs)
     weights = [
         # a vote never seen says nothing
         (rule, vote, float(math.log(mu[i, 1] / mu[i, 0])) if shares[i, i] > 0 else 0.0)
@@ -131,4 +173,4 @@ def probability_filter(df: DataFrame, threshold: float = 0.6) -> DataFrame:
     return df.where(F.col("sme_probability") > threshold)
 
 
-__all__ = ["SME", "LabelModel", "fit_label_model", "fit_vote_probabilities", "label", "pair_shares", "probability_filter"]
+__all__ = ["SME", "LabelModel", "fit_label_model", "fit_vote_probabilities", "label", "pair_shares", "probability_filter", "triplet_vote_probabilities"]

@@ -30,13 +30,13 @@ from newsloom.sources.readers import ORDER, read_article_json
 from newsloom.sources.writers import stage
 
 
-def merge_articles(spark: SparkSession, *dirs: str, extra: Sequence[DataFrame] = ()) -> DataFrame:
+def merge_articles(spark: SparkSession, *dirs: str, extra: Sequence[DataFrame] = (), names: str = "*.json") -> DataFrame:
     """All article files and further sources, one row per address, first one kept.
 
     A further source that has no ``src_file`` and ``src_pos`` comes after the
     files and is numbered as it is read; give the columns where order matters.
     """
-    frames = [read_article_json(spark, *dirs)] if dirs else []
+    frames = [read_article_json(spark, *dirs, names=names)] if dirs else []
     for number, frame in enumerate(extra):
         if not set(ORDER) <= set(frame.columns):
             frame = frame.withColumn("src_file", F.lit(f"~{number:04d}")).withColumn(
@@ -96,6 +96,7 @@ def weak_label(
     min_conf: float = 0.6,
     model: LabelModel | None = None,
     text: str = "clean_geo",
+    method: str = "steps",
 ) -> tuple[DataFrame, LabelModel]:
     """Votes, fit (unless a model is given) and probability of each article.
 
@@ -105,7 +106,7 @@ def weak_label(
     votes = apply_rules(df, rules, text)
     if model is None:
         votes = stage(votes, "votes")
-    fitted = model or fit_label_model(votes, rules)
+    fitted = model or fit_label_model(votes, rules, method=method)
     names = [r.name for r in active_rules(rules)]
     return label(votes, fitted, min_conf).drop(*names), fitted
 
@@ -206,15 +207,19 @@ def explore(
     )
 
 
-def update_articles(existing: DataFrame, incoming: DataFrame, order: list[str], ts: str = "published_ts") -> DataFrame:
+def update_articles(existing: DataFrame, incoming: DataFrame, order: list[str], ts: str = "published_ts", late: str = "drop") -> DataFrame:
     """Stored articles plus the incoming ones that are new.
 
-    Incoming articles older than the newest stored day are not considered.
+    With ``late="drop"`` incoming articles without a date, or older than the
+    newest stored day, are not considered; with ``late="keep"`` all are.
     """
-    newest = existing.agg(F.date_trunc("day", F.max(ts)).alias("newest"))
-    cutoff = F.coalesce(newest.scalar(), F.lit("0001-01-01").cast("timestamp"))
-    recent = incoming.where(F.col(ts) >= cutoff)
-    return union_sources(existing, new_only(recent, existing, order))
+    if late not in ("drop", "keep"):
+        raise ValueError("late must be 'drop' or 'keep'")
+    if late == "drop":
+        newest = existing.agg(F.date_trunc("day", F.max(ts)).alias("newest"))
+        cutoff = F.coalesce(newest.scalar(), F.lit("0001-01-01").cast("timestamp"))
+        incoming = incoming.where(F.col(ts) >= cutoff)
+    return union_sources(existing, new_only(incoming, existing, order))
 
 
 def pages_to_articles(pages: DataFrame, order: list[str], blank: str = "drop") -> DataFrame:

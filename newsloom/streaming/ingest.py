@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import sys
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +19,11 @@ from newsloom.operators.label_model import LabelModel, label
 from newsloom.operators.rules import AnyRule, active_rules, apply_rules
 from newsloom.schemas import ARTICLE
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 REMEMBER = "7 days"
+# The state store that keeps keys on disk, for ``spark.sql.streaming.stateStore.providerClass``.
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def article_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
@@ -41,6 +48,33 @@ def dedupe_stream(articles: DataFrame, remember: str = REMEMBER) -> DataFrame:
     return arrived.withWatermark("arrived_at", remember).dropDuplicatesWithinWatermark(["url"])
 
 
+def _first_of_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows whose key, the last column, has not come before in this task."""
+    seen: set[bytes] = set()
+    for rows in batches:
+        keep = []
+        for key in rows.column(rows.num_columns - 1).to_pylist():
+            keep.append(key not in seen)
+            seen.add(key)
+        yield rows.filter(pa.array(keep, pa.bool_()))
+
+
+def keyed_stream(articles: DataFrame) -> DataFrame:
+    """One row for each address, ever, from the first micro-batch that brings it.
+
+    The state is keyed by a 128-bit digest of the address and holds nothing
+    else, in the store of the session (``ROCKSDB`` keeps it on disk); no text
+    is remembered and no stored table is read, so the input of a micro-batch is
+    what arrived, however long the stream has run. Repeats inside a task are
+    folded before the shuffle: an address that fills a third of a batch sends
+    one row per task. Which of several rows of one address stays is not
+    determined inside a micro-batch; ``exact_append`` goes by an order.
+    """
+    columns = articles.columns
+    keyed = articles.where(nonblank("url")).withColumn("_address", F.unhex(F.md5("url")))
+    return keyed.mapInArrow(_first_of_task, keyed.schema).dropDuplicates(["_address"]).select(*columns)
+
+
 def score_stream(articles: DataFrame, rules: Sequence[AnyRule], model: LabelModel, min_conf: float = 0.6) -> DataFrame:
     """Clean, vote and score with a model fitted beforehand; all row by row."""
     cleaned = with_clean_geo(articles, raw_text())

@@ -1,5 +1,7 @@
 import json
 
+import pytest
+
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -161,3 +163,13 @@ def test_stage_writes_to_the_shared_folder(spark):
     assert staged.count() == 5 and staged.dtypes == df.dtypes
     assert all(f.startswith(f"file:{shared_dir(spark)}/probe-") or f.startswith(f"file://{shared_dir(spark)}/probe-")
                for f in staged.inputFiles())
+
+
+@pytest.mark.parametrize("lead", ["\n", "\t", " \r\n\t", "\ufeff", "\ufeff\n ", ""])
+@pytest.mark.parametrize("body", ['[{"url": "u1"},\n {"url": "u2"}]', '{"url": "u1"}'])
+def test_article_files_with_something_before_the_value(spark, tmp_path, lead, body):
+    (tmp_path / "a.json").write_text(lead + body + "\n\t ", encoding="utf-8")
+    (tmp_path / "broken.json").write_text(lead + body[:-2], encoding="utf-8")
+    (tmp_path / "blank.json").write_text(lead, encoding="utf-8")
+    got = readers.read_article_json(spark, str(tmp_path))
+    assert sorted(r.url for r in got.collect()) == (["u1", "u2"] if body[0] == "[" else ["u1"])

@@ -545,3 +545,23 @@ def test_listing_rows(spark):
         pages, r"(?is)<div class='item'>(.*?)</div>",
         {"date": "<i>(.*?)</i>", "title": r"<a[^>]*>(.*?)</a>", "href": r"<a href='([^']*)'"}, ["dd-MM-yyyy"])
     assert rows(got, "item_no", "title", "href") == [(0, "One & two", "https://a.example/a/1"), (3, "", "")]
+
+
+def test_triplets_agree_with_the_truth_and_with_the_steps():
+    from newsloom.operators import label_model as lm
+
+    rng = np.random.default_rng(2)
+    n = 200_000
+    truth = rng.random(n) < 0.5
+    own = {"a": (1, 0.6, 0.1), "b": (0, 0.5, 0.15), "c": (1, 0.4, 0.05), "d": (0, 0.7, 0.3), "e": (1, 0.3, 0.1)}  # vote, P under its class, under the other
+    fired = np.array([np.where(truth == bool(v), rng.random(n) < p, rng.random(n) < q) for v, p, q in own.values()], float)
+    shares = fired @ fired.T / n
+    votes, owners = [v for v, _, _ in own.values()], list(own)
+    closed = lm.triplet_vote_probabilities(shares, votes, owners, n)
+    stepped = lm.fit_vote_probabilities(shares, votes, owners, n, epochs=4000)
+    for i, (v, p, q) in enumerate(own.values()):
+        assert closed[i, v] == pytest.approx(p, abs=0.02) and closed[i, 1 - v] == pytest.approx(q, abs=0.02)
+        assert closed[i].tolist() == pytest.approx(stepped[i].tolist(), abs=0.05)
+    # a vote that no pair of others speaks about says nothing
+    alone = lm.triplet_vote_probabilities(np.diag([0.5, 0.2]), [1, 0], ["a", "b"], n)
+    assert alone.tolist() == [[0.5, 0.5], [0.2, 0.2]]

@@ -1,5 +1,7 @@
 import json
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from newsloom.operators.filters import FilterSpec
@@ -161,3 +163,35 @@ def test_exact_append(spark, tmp_path):
     # a lost checkpoint replays everything and still adds nothing
     run(check + "2")
     assert rows(spark.read.parquet(table), "url") == [("u1",), ("u2",), ("u3",)]
+
+
+def test_keyed_stream_reads_only_what_arrives(spark, tmp_path):
+    folder, table, check = tmp_path / "in", str(tmp_path / "table"), str(tmp_path / "check")
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(provider)
+    spark.conf.set(provider, ingest.ROCKSDB)
+    try:
+        arrived = []
+        for batch in range(6):
+            land(folder, f"{batch}.json", *[f"u{i}" for i in range(batch * 10, batch * 10 + 20)], "u0", "u0", "")
+            run = ingest.append_to_table(ingest.keyed_stream(ingest.article_stream(spark, str(folder))), table, check)
+            run.awaitTermination()
+            arrived += [p["numInputRows"] for p in run.recentProgress if p["numInputRows"]]
+        assert rows(spark.read.parquet(table), "url") == sorted((f"u{i}",) for i in range(70))
+        # an address is one key of the state, and no batch reads more than its own file
+        assert arrived == [23] * 6
+        assert run.recentProgress[-1]["stateOperators"][0]["numRowsTotal"] == 70
+    finally:
+        spark.conf.set(provider, before)
+    assert spark.read.parquet(table).columns == ingest.article_stream(spark, str(folder)).columns
+
+
+def test_update_lets_late_articles_in_if_asked(spark):
+    schema = "pos int, url string, published_ts timestamp"
+    day = lambda d: __import__("datetime").datetime(2024, 1, d)
+    stored = spark.createDataFrame([(1, "a", day(5))], schema)
+    arriving = spark.createDataFrame([(2, "a", day(6)), (3, "b", day(6)), (4, "late", day(1)), (5, "undated", None), (6, "b", None)], schema)
+    assert rows(pl.update_articles(stored, arriving, ["pos"]), "url") == [("a",), ("b",)]
+    assert rows(pl.update_articles(stored, arriving, ["pos"], late="keep"), "url") == [("a",), ("b",), ("late",), ("undated",)]
+    with pytest.raises(ValueError):
+        pl.update_articles(stored, arriving, ["pos"], late="some")
