@@ -23,7 +23,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from newsloom.llm.common import WHITE, pick
+from newsloom.llm.common import WHITE, fresh, pick, quoted
 from newsloom.sources.writers import stage
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -105,5 +105,6 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
-    kept = pick(exact_groups(docs, id_col, text_col).where("kept"), kept_id="doc_id").distinct()
-    return docs.join(kept, F.col(id_col).cast("long").eqNullSafe(F.col("kept_id")), "left_semi")
+    name = fresh(docs)
+    kept = exact_groups(docs, id_col, text_col).where("kept").select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(kept, F.col(quoted(id_col)).cast("long").eqNullSafe(F.col(name)), "left_semi")

@@ -22,7 +22,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.llm.common import pick
+from newsloom.llm.common import pick, quoted
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -225,9 +225,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 def with_quality(docs: DataFrame, model: Model, into: str = "quality_score", text_col: str = "text") -> DataFrame:
     """All columns of ``docs`` and the score; a column of that name is replaced. Null texts count as empty."""
-    return docs.withColumn(into, score_column(model, F.col(text_col)))
+    return docs.withColumn(into, score_column(model, F.col(quoted(text_col))))
 
 
 def keep_good(docs: DataFrame, model: Model, threshold: float = THRESHOLD, text_col: str = "text") -> DataFrame:
     """The documents whose score reaches the threshold, with their own columns."""
-    return docs.where(score_column(model, F.col(text_col)) >= threshold)
+    return docs.where(score_column(model, F.col(quoted(text_col))) >= threshold)

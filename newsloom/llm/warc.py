@@ -257,16 +257,31 @@ def _finish(row: dict, block: bytes, headers: dict[str, str], verify: bool) -> d
 
 
 def _read_member(source: _Source, wanted: Callable[[dict], bool], verify: bool) -> Iterator[dict]:
+    """Records of one member: one where its header tells the length, any number in archives of other origin."""
     member_, data = _Member(source), b""
-    while (end := data.find(b"\r\n\r\n")) < 0 and (more := member_.read(2048)):
-        data += more
-    headers = _headers(data[:end]) if end >= 0 else {}
-    row = _values(headers)
-    if end < 0 or not wanted(row):
-        member_.leave()
-        return
-    pieces = [data[end + 4 :], *iter(lambda: member_.read(1 << 20), b"")]
-    yield _finish(row, b"".join(pieces)[: int(headers.get("content-length", "0"))], headers, verify)
+    while True:
+        data = data.lstrip(b"\r\n")
+        while (end := data.find(b"\r\n\r\n")) < 0 and (more := member_.read(2048)):
+            data = (data + more).lstrip(b"\r\n")
+        if end < 0:
+            return
+        headers = _headers(data[:end])
+        row, left = _values(headers), int(headers.get("content-length", "0"))
+        data, alone = data[end + 4 :], member_.length is not None
+        if wanted(row):
+            pieces, have = [data], len(data)
+            while (alone or have < left) and (more := member_.read(1 << 20)):
+                pieces.append(more)
+                have += len(more)
+            data = b"".join(pieces)
+            yield _finish(row, data[:left], headers, verify)
+        elif alone:
+            member_.leave()
+        if alone:
+            return
+        while len(data) < left and (more := member_.read(1 << 20)):
+            left, data = left - len(data), more
+        data = data[left:]
 
 
 def _read_plain(source: _Source, wanted: Callable[[dict], bool], verify: bool) -> Iterator[dict]:

@@ -46,3 +46,9 @@ def test_hot_group_over_many_partitions_and_long_texts(spark):
 def test_dropping_keeps_all_columns(spark):
     df = spark.createDataFrame([(2, "a", "p", 1), (1, "a", "q", 2), (3, "b", "r", 3)], SCHEMA)
     assert sorted(map(tuple, drop_exact_copies(df).collect())) == [(1, "a", "q", 2), (3, "b", "r", 3)]
+
+
+def test_columns_of_any_name(spark):
+    docs = spark.createDataFrame([(1, "a", "k", "x"), (2, "a", None, "x"), (3, "b", "k", "x")], "`d.id` long, `t.x` string, kept_id string, _new0 string")
+    kept = drop_exact_copies(docs, "d.id", "t.x")
+    assert kept.columns == docs.columns and sorted(r["d.id"] for r in kept.collect()) == [1, 3]

@@ -75,3 +75,10 @@ def test_samples_nulls_and_missing_labels(spark, corpus):
     even = Q.train(docs, labels.where("false"))
     assert {r.s for r in Q.with_quality(docs, even, "s").collect()} == {0.5}
     assert Q.with_quality(docs.where("false"), even, "s").collect() == []
+
+
+def test_text_column_with_a_dot(spark):
+    docs = spark.createDataFrame([(1, "Some words of a text."), (2, None)], "id long, `t.x` string")
+    model = Q.train(docs, spark.createDataFrame([(1, 1), (2, 0)], "id long, quality int"), "id", "t.x")
+    assert Q.with_quality(docs, model, text_col="t.x").count() == 2
+    assert Q.keep_good(docs, model, 0.0, "t.x").count() == 2

@@ -87,3 +87,14 @@ def test_damage_is_noticed():
 
 def test_empty_table(spark):
     assert W.read_warc(spark, archive(spark, [])).collect() == []
+
+
+def test_members_of_several_records():
+    one = b"WARC/1.0\r\nWARC-Type: resource\r\nWARC-Record-ID: <urn:%d>\r\nContent-Length: %d\r\n\r\n%s\r\n\r\n"
+    bodies = [b"first", b"", b"\r\n\r\n third" * 1000, b"x" * 3_000_000, b"last"]
+    whole = b"".join(one % (i, len(b), b) for i, b in enumerate(bodies))
+    for packed in (gzip.compress(whole), gzip.compress(whole) * 2, gzip.compress(whole[:-4]), whole):
+        rows = list(W.read_records(io.BytesIO(packed)))
+        assert [r["payload"] for r in rows] == bodies * (len(rows) // 5) and len(rows) in (5, 10)
+        some = list(W.read_records(io.BytesIO(packed), lambda r: r["record_id"] in ("urn:1", "urn:4")))
+        assert [r["payload"] for r in some] == [b"", b"last"] * (len(rows) // 5)
