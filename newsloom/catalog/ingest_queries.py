@@ -15,7 +15,7 @@ from newsloom.operators import dedupe as dd
 from newsloom.operators.filters import since
 from newsloom.plans import pipelines as pl
 from newsloom.session import shared_dir
-from newsloom.sources import readers, writers
+from newsloom.sources import readers, stored, writers
 
 TS = "yyyy-MM-dd HH:mm:ss"
 SQL_TS = "'%Y-%m-%d %H:%M:%S'"
@@ -239,11 +239,11 @@ stored AS (SELECT doc_id, 'https://news.example/' || doc_id AS url, TIMESTAMP '2
 def _stored_and_arriving(spark, folder):
     docs, pages = src.table(spark, folder, "documents"), src.table(spark, folder, "pages")
     link = F.lit("https://news.example/")
-    stored = docs.select("doc_id", F.concat(link, F.col("doc_id").cast("string")).alias("url"), src.publication_hour().alias("published_ts"))
+    held = docs.select("doc_id", F.concat(link, F.col("doc_id").cast("string")).alias("url"), src.publication_hour().alias("published_ts"))
     at = F.timestamp_seconds(F.lit(1704067200) + F.col("page_id") * 5 * 3600).alias("published_ts")
     own = pages.select(F.col("page_id").alias("doc_id"), "url", at)
     other = pages.select(F.col("page_id").alias("doc_id"), F.concat(link, (F.col("page_id") * 2).cast("string")).alias("url"), at)
-    return stored, own.unionByName(other)
+    return held, own.unionByName(other)
 
 
 def _update_sql(kept: str) -> str:
@@ -257,15 +257,25 @@ SELECT doc_id, url FROM stored UNION ALL
 @query("update_articles", _update_sql("published_ts >= (SELECT date_trunc('day', max(published_ts)) FROM stored)"))
 def update_articles(spark, folder):
     """All documents are stored, all pages arrive; what is older than the newest stored day stays out."""
-    stored, arriving = _stored_and_arriving(spark, folder)
-    return pl.update_articles(stored, arriving, ["doc_id"]).select("doc_id", "url")
+    docs, arriving = _stored_and_arriving(spark, folder)
+    return pl.update_articles(docs, arriving, ["doc_id"]).select("doc_id", "url")
 
 
 @query("update_articles_late", _update_sql("true"))
 def update_articles_late(spark, folder):
     """The same with late arrivals let in."""
-    stored, arriving = _stored_and_arriving(spark, folder)
-    return pl.update_articles(stored, arriving, ["doc_id"], late="keep").select("doc_id", "url")
+    docs, arriving = _stored_and_arriving(spark, folder)
+    return pl.update_articles(docs, arriving, ["doc_id"], late="keep").select("doc_id", "url")
+
+
+@query("update_stored_table", _update_sql("true"))
+def update_stored_table(spark, folder):
+    """The same into a table in buckets by address, which is never shuffled."""
+    docs, arriving = _stored_and_arriving(spark, folder)
+    table = f"stored_{uuid.uuid4().hex}"
+    path = _scratch(spark, "stored")
+    stored.store_articles(docs, table, path=path)
+    return stored.add_new(arriving, table, ["doc_id"], path=path).select("doc_id", "url")
 
 
 # --- files ------------------------------------------------------------------------

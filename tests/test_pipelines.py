@@ -195,3 +195,29 @@ def test_update_lets_late_articles_in_if_asked(spark):
     assert rows(pl.update_articles(stored, arriving, ["pos"], late="keep"), "url") == [("a",), ("b",), ("late",), ("undated",)]
     with pytest.raises(ValueError):
         pl.update_articles(stored, arriving, ["pos"], late="some")
+
+
+def test_stored_table_is_not_shuffled(spark, tmp_path):
+    import uuid
+
+    from newsloom.sources import stored
+
+    schema = "pos int, url string, full_text string"
+    table, path = f"t_{uuid.uuid4().hex}", str(tmp_path / "stored")
+    held = spark.createDataFrame([(i, f"u{i}", "x" * 50) for i in range(500)] + [(1000, " ", "blank"), (1001, None, "none")], schema)
+    stored.store_articles(held, table, 8, path=path)
+    arriving = spark.createDataFrame([(i, f"u{i % 700}", "y") for i in range(2000, 4000)] + [(1, None, "none")], schema)
+    broadcast = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)  # tables of a real size
+    try:
+        plan = stored.not_stored(arriving, table, ["pos"])._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    scan = next(x for x in plan.splitlines() if "Scan parquet" in x)
+    assert "Bucketed: true" in scan and "full_text" not in scan
+    assert plan.count("Exchange hashpartitioning") == 1  # of what arrives
+    both = stored.add_new(arriving, table, ["pos"], 8, path=path)
+    assert both.count() == 700 and both.select("url").distinct().count() == 700
+    assert {r.pos for r in both.where("full_text = 'y'").collect()} == {*range(2000, 2100), *range(2600, 2700)}
+    assert stored.add_new(arriving, table, ["pos"], 8, path=path).count() == 700
+    spark.sql(f"DROP TABLE {table}")
