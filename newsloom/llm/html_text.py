@@ -36,6 +36,8 @@ BLOCKS = frozenset(
     " caption title button label select".split()
 )
 # Elements whose content is not text of the page.
+# Elements that may end in their own tag.
+FOREIGN = ("svg", "math")
 RAW = frozenset("script style noscript template textarea title iframe object svg math canvas audio video noembed noframes xmp".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 # Elements that hold something beside the article.
@@ -76,6 +78,25 @@ def _place(tag: str, attributes: str) -> tuple[int, int]:
     return beside, inside
 
 
+def _past(page: str, tag: str, at: int) -> int:
+    """Where the element ends whose opening tag ends at ``at``; its text is left out.
+
+    Drawings and formulas may be empty elements, hold elements of their own
+    name, and end where they began if they are never closed.
+    """
+    if tag not in FOREIGN:
+        end = re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.I).search(page, at)
+        return end.end() if end else len(page)
+    if page[at - 2 : at] == "/>":
+        return at
+    depth = 1
+    for m in re.compile(rf"<(/?){tag}(?=[\s/>])[^>]*>", re.I).finditer(page, at):
+        depth += -1 if m[1] else 0 if m[0].endswith("/>") else 1
+        if not depth:
+            return m.end()
+    return at
+
+
 def blocks_of(page: str) -> list[dict]:
     """The blocks of a page in order, without empty ones."""
     found: list[dict] = []
@@ -121,8 +142,7 @@ def blocks_of(page: str) -> list[dict]:
         tag = tag.lower()
         if not m[1]:
             if tag in RAW:
-                end = re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.I).search(page, at)
-                at = end.end() if end else size
+                at = _past(page, tag, at)
                 continue
             if tag == "br":
                 pieces.append(" ")

@@ -35,6 +35,13 @@ def test_odd_pages():
     assert H.main_text_of("<article><p title='a>b'>" + "long " * 100_000 + "</p></article>", TREE) == ("long " * 100_000).strip()
 
 
+def test_drawings_and_formulas_take_only_their_own_text():
+    text = "Words of an article that stand before and after a small drawing of some kind."
+    for inner in ('<svg class="i"/>', "<svg><text>no</text></svg>", "<svg><svg/><svg>no</svg><g>no</g></svg>", "<math><mi>x</mi></math>", "<MATH />", "<svg>"):
+        page = f"<article><p>{text}</p><p>{inner}{text}</p><p>{text}</p></article>"
+        assert H.main_text_of(page, TREE) == "\n\n".join([text] * 3), inner
+
+
 def test_rows(spark):
     rows = [(1, "u", PAGE, "x", 1), (1, "u", PAGE, "x", 1), (2, None, None, "x", 1), (None, "v", "<article><p>é😀</p></article>", "x", 1)]
     got = H.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string, text string, n_chars int")).collect()
