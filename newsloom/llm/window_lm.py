@@ -2,8 +2,10 @@
 
 Every token is predicted from the two tokens on either side by a small network:
 an embedding of each neighbour, a matrix per place of the window, one hidden
-layer, and a softmax. The score of a document is the sum over its tokens of the
-log-probability of the token given its neighbours.
+layer, and a softmax of two levels: a group of classes, then a class of that
+group, so a token costs about twice the root of the number of classes. The score
+of a document is the sum over its tokens of the log-probability of the token
+given its neighbours.
 
 The vocabulary is every word that occurs ``LEAST`` times; each has an embedding
 of its own. The softmax is over classes, whose number grows with the root of
@@ -12,9 +14,13 @@ class a word has its share of the class' occurrences, so every word has a
 probability of its own. Rarer words are one entry, times the probability of
 their spelling by pairs of bytes; that is never zero.
 
-Spark counts the words. A sample of bounded size gives the network its starting
-values; then every task walks all of its documents, and the values of all tasks
-are averaged: embeddings by how often the task met the word, the rest by tokens.
+Spark counts the words and stages every document as token numbers. Pieces of
+about ``SAMPLE`` tokens, chosen by hash from anywhere in any text, give the network
+its starting values only; then every task walks all of its documents, and what it
+changed is averaged: embeddings by how often the task met the word, the rest by
+tokens. A task sends the embeddings of words it met, so what is sent grows with the
+text and not with tasks times vocabulary; it is added up in two turns, so no block
+of values meets the records of all tasks at once.
 """
 
 from __future__ import annotations
@@ -25,6 +31,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -50,8 +57,11 @@ BATCH = 4096
 RATE = 0.05
 # Tokens of the sample the starting values come from, and how often they are walked.
 SAMPLE, WALKS = 400_000, 6
-SAMPLE_CHARS = 200_000
-BLOCK = 1024
+PIECE = 4_000  # characters of a piece of the sample
+# A class that fills up a group has this as its base, and with it no probability.
+NEVER = -60.0
+# Embeddings in a block of changes, blocks in a record batch.
+BLOCK, RECORDS = 1024, 128
 REMEMBER = 400_000
 CHUNK = 1_000_000
 SPACE = 0x20
@@ -159,68 +169,101 @@ def classes(known: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
     return of, share
 
 
+def layout(k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Group of each of ``k`` classes, and its place there; groups are runs of classes of nearly one length."""
+    groups = min(k, math.isqrt(k) + 1)
+    group = np.arange(k) * groups // k
+    return group, np.arange(k) - np.searchsorted(group, np.arange(groups))[group]
+
+
+def _errors(x: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Probabilities less one at the right place, over the number of rows."""
+    x -= x.max(axis=1, keepdims=True)
+    np.exp(x, out=x)
+    x *= 1 / (len(x) * x.sum(axis=1, keepdims=True))
+    x[np.arange(len(x)), right] -= 1 / len(x)
+    return x
+
+
 class Network:
-    """Values of the network; ``rows`` are the embeddings, all others are in ``dense``."""
+    """Values of the network; ``rows`` are the embeddings, all others are in ``dense``.
 
-    def __init__(self, rows: np.ndarray, dense: list[np.ndarray], squares: tuple[np.ndarray, list[np.ndarray]]):
-        self.rows, self.dense, self.squares = rows, dense, squares
+    ``dense``: a matrix per place and the base of the hidden layer, the matrix and
+    base of the groups, and the matrices and bases of the classes in each group.
+    """
+
+    def __init__(self, rows: np.ndarray, dense: list[np.ndarray], squares: tuple[np.ndarray, list[np.ndarray]], k: int):
+        self.rows, self.dense, self.squares, self.k = rows, dense, squares, k
+        self.group, self.member = layout(k)
 
     def copy(self) -> Network:
-        return Network(self.rows.copy(), [d.copy() for d in self.dense], (self.squares[0].copy(), [s.copy() for s in self.squares[1]]))
+        return Network(self.rows.copy(), [d.copy() for d in self.dense], (self.squares[0].copy(), [s.copy() for s in self.squares[1]]), self.k)
 
-    def _hidden(self, row: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        place, base = self.dense[:2]
-        z, n = self.rows[row], len(row) - 4
+    def _hidden(self, row: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Places of the tokens in order of their group, classes, neighbours and hidden layer there."""
         at = np.flatnonzero(row[2:-2])
-        h = z[:n] @ place[0]
-        for i in (1, 2, 3):
-            h += z[PLACES[i] : PLACES[i] + n] @ place[i]
-        h += base
-        return z, at, np.tanh(h[at])
-
-    def _chances(self, h: np.ndarray) -> np.ndarray:
+        right = of[row[2 + at]]
+        order = np.argsort(self.group[right].astype(np.int16), kind="stable")
+        at, right = at[order], right[order]
+        around = self.rows[row[at[:, None] + PLACES]].reshape(len(at), 4 * EMBEDDING)
+        h = around @ self.dense[0].reshape(4 * EMBEDDING, HIDDEN)
+        h += self.dense[1]
+        return at, right, around, np.tanh(h, out=h)
+
+    def _outputs(self, right: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int, int]]]:
+        """Outputs of the groups, those of the classes of the right group, and the run of tokens of each group."""
+        group = self.group[right]
         x = h @ self.dense[2]
         x += self.dense[3]
-        x -= x.max(axis=1, keepdims=True)
-        np.exp(x, out=x)
-        x /= x.sum(axis=1, keepdims=True)
-        return x
+        used, first = np.unique(group, return_index=True)
+        runs = list(zip(used.tolist(), first.tolist(), [*first[1:].tolist(), len(group)], strict=True))
+        y = np.empty((len(h), self.dense[5].shape[1]), np.float32)
+        for g, a, b in runs:
+            np.matmul(h[a:b], self.dense[4][g], out=y[a:b])
+            y[a:b] += self.dense[5][g]
+        return x, y, runs
 
     def log_chances(self, row: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Places of tokens in ``row`` (less two at either end), and the log-probability of the class of each."""
-        _, at, h = self._hidden(row)
-        x = h @ self.dense[2]
-        x += self.dense[3]
-        right = x[np.arange(len(at)), of[row[2 + at]]]
-        most = x.max(axis=1)
-        x -= most[:, None]
-        np.exp(x, out=x)
-        return at, right - most - np.log(x.sum(axis=1))
+        at, right, _, h = self._hidden(row, of)
+        if not len(at):
+            return at, np.zeros(0, np.float32)
+        x, y, _ = self._outputs(right, h)
+        here, chance = np.arange(len(at)), np.zeros(len(at), np.float32)
+        for values, chosen in ((x, self.group[right]), (y, self.member[right])):
+            values -= values.max(axis=1, keepdims=True)
+            chance += values[here, chosen]
+            chance -= np.log(np.exp(values, out=values).sum(axis=1))
+        order = np.argsort(at)
+        return at[order], chance[order]
 
     def step(self, row: np.ndarray, of: np.ndarray, rate: float = RATE) -> None:
         """One step down the gradient of the windows of ``row``, which has two places more at either end."""
-        z, at, h = self._hidden(row)
+        at, right, around, h = self._hidden(row, of)
         if not len(at):
             return
-        place, _, out, _ = self.dense
-        error = self._chances(h)
-        error[np.arange(len(at)), of[row[2 + at]]] -= 1
-        error /= len(at)
-        n = len(row) - 4
-        back = np.zeros((n, HIDDEN), np.float32)
-        back[at] = (error @ out.T) * (1 - h * h)
-        down, place_grad = np.zeros_like(z), np.empty_like(place)
-        for i in range(4):
-            down[PLACES[i] : PLACES[i] + n] += back @ place[i].T
-            place_grad[i] = z[PLACES[i] : PLACES[i] + n].T @ back
-        grads = [place_grad, back.sum(axis=0), h.T @ error, error.sum(axis=0)]
+        x, y, runs = self._outputs(right, h)
+        x, y = _errors(x, self.group[right]), _errors(y, self.member[right])
+        place, _, groups, _, members, bases = self.dense
+        back = x @ groups.T
+        inside, below = np.zeros_like(members), np.zeros_like(bases)
+        for g, a, b in runs:
+            back[a:b] += y[a:b] @ members[g].T
+            np.matmul(h[a:b].T, y[a:b], out=inside[g])
+            below[g] = y[a:b].sum(axis=0)
+        back *= 1 - h * h
+        down = back @ place.reshape(4 * EMBEDDING, HIDDEN).T
+        grads = [(around.T @ back).reshape(place.shape), back.sum(axis=0), h.T @ x, x.sum(axis=0), inside, below]
         for p, g, s in zip(self.dense, grads, self.squares[1], strict=True):
             s += g * g
             p -= rate * g / (np.sqrt(s) + 1e-8)
+        each = np.zeros((len(row), EMBEDDING), np.float32)
+        for i, p in enumerate(PLACES):
+            each[at + p] += down[:, i * EMBEDDING : (i + 1) * EMBEDDING]
         order = np.argsort(row, kind="stable")
         met = row[order]
-        first = np.flatnonzero(np.concatenate([[True], met[1:] != met[:-1]]))
-        g, met = np.add.reduceat(down[order], first), met[first]
+        first = np.flatnonzero(np.diff(met, prepend=-1))
+        g, met = np.add.reduceat(each[order], first), met[first]
         self.squares[0][met] += (g * g).mean(axis=1)
         self.rows[met] -= rate * g / (np.sqrt(self.squares[0][met])[:, None] + 1e-8)
 
@@ -230,13 +273,18 @@ class Network:
 
 
 def new_network(known: Vocabulary, of: np.ndarray, seed: int = 0) -> Network:
-    """Random values, but for the base of each class: its share of all tokens."""
+    """Random values, but for the bases: the share of each group in all tokens, and of each class in its group."""
     rng, k = np.random.default_rng(seed), int(of.max()) + 1
     n = np.bincount(of[1:], np.concatenate([[known.rest], known.counts]), minlength=k) + 0.5
     rows = rng.normal(0, 0.3, (len(of), EMBEDDING)).astype(np.float32)
-    dense = [rng.normal(0, 0.3, (4, EMBEDDING, HIDDEN)), np.zeros(HIDDEN), rng.normal(0, 0.1, (HIDDEN, k)), np.log(n / n.sum())]
+    group, member = layout(k)
+    sums = np.bincount(group, n)
+    bases = np.full((len(sums), member.max() + 1), NEVER)
+    bases[group, member] = np.log(n / sums[group])
+    dense = [rng.normal(0, 0.3, (4, EMBEDDING, HIDDEN)), np.zeros(HIDDEN), rng.normal(0, 0.1, (HIDDEN, len(sums))), np.log(sums / sums.sum())]
+    dense += [rng.normal(0, 0.1, (len(sums), HIDDEN, bases.shape[1])), bases]
     dense = [d.astype(np.float32) for d in dense]
-    return Network(rows, dense, (np.full(len(of), 1e-8, np.float32), [np.full_like(d, 1e-8) for d in dense]))
+    return Network(rows, dense, (np.full(len(of), 1e-8, np.float32), [np.full_like(d, 1e-8) for d in dense]), k)
 
 
 def numbered(texts: list[bytes], numbers: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
@@ -258,11 +306,12 @@ def numbers_of(words: list[bytes]) -> dict[bytes, int]:
 
 
 def _sample(docs: DataFrame, total: int) -> list[bytes]:
-    """Texts of about ``SAMPLE`` tokens, by hash and in order."""
-    chance = min(1.0, SAMPLE / max(total, 1))
-    chosen = docs.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) < F.lit(int(chance * (1 << 30))))
-    rows = chosen.select(F.left(F.coalesce("text", F.lit("")), F.lit(SAMPLE_CHARS)).alias("text")).toArrow()
-    return sorted(t.encode() for t in rows.column(0).to_pylist())
+    """Pieces of about ``SAMPLE`` tokens, by hash from all places of all texts, in order."""
+    limit = int(min(1.0, SAMPLE / max(total, 1)) * (1 << 30))
+    starts = F.sequence(F.lit(0), F.greatest(F.length("text") - 1, F.lit(0)), F.lit(PIECE))
+    chosen = F.filter(starts, lambda i: F.pmod(F.xxhash64("doc_id", i), F.lit(1 << 30)) < limit)
+    rows = docs.where("text is not null").select("text", F.explode(chosen).alias("i")).select(F.substring("text", F.col("i") + 1, F.lit(PIECE)).alias("text"))
+    return sorted(t.encode() for t in rows.toArrow().column(0).to_pylist())
 
 
 def started(texts: list[bytes], known: Vocabulary, of: np.ndarray) -> Network:
@@ -273,15 +322,80 @@ def started(texts: list[bytes], known: Vocabulary, of: np.ndarray) -> Network:
     return net
 
 
+NUMBERED = pa.schema([("doc_id", pa.int64()), ("tokens", pa.binary()), ("spelled", pa.float64())])
+NUMBERED_SQL = "doc_id long, tokens binary, spelled double"
+
+
+def _per_text(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Sums over the tokens of each text, of values in the places of ``numbered``."""
+    sums = np.concatenate([[0], np.cumsum(values)])
+    starts = np.concatenate([[0], np.cumsum(counts + 2)])[:-1]
+    return sums[starts + counts] - sums[starts]
+
+
+def spelled(row: np.ndarray, counts: np.ndarray, rare: list[bytes], spelling: np.ndarray) -> np.ndarray:
+    """Log-probability of the spelling of the rare words of each text."""
+    if not rare:
+        return np.zeros(len(counts))
+    values = np.zeros(len(row) - 4)
+    cells, starts = pairs_of(rare)
+    values[row[2:-2] == REST] = np.add.reduceat(spelling.ravel()[cells], starts)
+    return _per_text(values, counts)
+
+
+def number_documents(docs: DataFrame, known: Vocabulary) -> DataFrame:
+    """Every document as token numbers (four bytes each), and what the spelling of its rare words comes to; staged."""
+    sent = docs.sparkSession.sparkContext.broadcast((known.words, known.spelling))
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, spelling = sent.value
+        numbers = numbers_of(words)
+        for rows in batches:
+            at = 0
+            for part in _chunks(_bytes(rows.column(1))):
+                row, counts, rare = numbered(part, numbers)
+                ends = 2 + np.cumsum(counts + 2) - 2
+                small = row.astype("<i4")
+                tokens = [small[e - n : e].tobytes() for e, n in zip(ends.tolist(), counts.tolist(), strict=True)]
+                columns = [rows.column(0).slice(at, len(part)), pa.array(tokens, pa.binary()), pa.array(spelled(row, counts, rare, spelling))]
+                yield pa.RecordBatch.from_arrays(columns, schema=NUMBERED)
+                at += len(part)
+
+    staged = stage(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(number, NUMBERED_SQL), "tokens")
+    sent.destroy()
+    return staged
+
+
+def _rows(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Tokens of several documents as ``numbered`` has them, and tokens per document."""
+    edge = np.zeros(2, np.int64)
+    for part in _chunks(_bytes(column)):
+        tokens = [np.frombuffer(t, "<i4") for t in part]
+        yield np.concatenate([edge, *(x for t in tokens for x in (t, edge))]), np.array([len(t) for t in tokens], np.int64)
+
+
 MERGED = pa.schema([("block", pa.int64()), ("at", pa.binary()), ("weight", pa.binary()), ("value", pa.binary())])
 MERGED_SQL = "block long, at binary, weight binary, value binary"
 
 
-def _blocks(weight: np.ndarray, value: np.ndarray) -> Iterator[tuple[int, bytes, bytes, bytes]]:
-    for b in range(0, len(weight), BLOCK):
-        at = np.flatnonzero(weight[b : b + BLOCK])
-        if len(at):
-            yield b // BLOCK, at.astype(np.int32).tobytes(), weight[b + at].tobytes(), value[b + at].tobytes()
+def _pack(block: int, weight: np.ndarray, value: np.ndarray) -> Iterator[tuple[int, bytes, bytes, bytes]]:
+    """A record of the rows of a block that have weight: their places, weights and values in half precision."""
+    at = np.flatnonzero(weight)
+    if len(at):
+        yield block, at.astype(np.uint16).tobytes(), weight[at].astype(np.float32).tobytes(), value[at].astype(np.float16).tobytes()
+
+
+def changes(net: Network, start: Network, met: np.ndarray, tokens: int) -> Iterator[tuple[int, bytes, bytes, bytes]]:
+    """What a task changed: embeddings it met in blocks, weighed by how often, and all else in negative blocks, by tokens."""
+    for b in range(0, len(met), BLOCK):
+        yield from _pack(b // BLOCK, met[b : b + BLOCK], net.rows[b : b + BLOCK] - start.rows[b : b + BLOCK])
+    dense = _columns(np.concatenate([d.ravel() - s.ravel() for d, s in zip(net.dense, start.dense, strict=True)]))
+    for b in range(0, len(dense), BLOCK):
+        yield from _pack(-1 - b // BLOCK, np.full(len(dense[b : b + BLOCK]), float(tokens)), dense[b : b + BLOCK])
+
+
+def _columns(values: np.ndarray) -> np.ndarray:
+    return np.pad(values, (0, -len(values) % EMBEDDING)).reshape(-1, EMBEDDING)
 
 
 def _record(rows: list[tuple]) -> pa.RecordBatch:
@@ -289,55 +403,62 @@ def _record(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def average(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One record per block: the weighted sum of the values of all tasks, and the sum of the weights."""
+    """One record per block: the weighted mean of the changes, and the sum of the weights, so that means can be averaged again."""
     sums: dict[int, tuple[np.ndarray, np.ndarray]] = {}
     for rows in batches:
-        for block, at, weight, value in zip(*(c.to_pylist() for c in rows.columns), strict=True):
-            at, weight = np.frombuffer(at, np.int32), np.frombuffer(weight, np.float64)
-            value = np.frombuffer(value, np.float32).reshape(len(at), -1)
+        for block, at, weight, value in zip(*(rows.column(f.name).to_pylist() for f in MERGED), strict=True):
+            at, weight = np.frombuffer(at, np.uint16), np.frombuffer(weight, np.float32)
             if block not in sums:
-                sums[block] = np.zeros(BLOCK if block >= 0 else 1), np.zeros((BLOCK if block >= 0 else 1, value.shape[1]))
+                sums[block] = np.zeros(BLOCK), np.zeros((BLOCK, EMBEDDING))
             sums[block][0][at] += weight
-            sums[block][1][at] += weight[:, None] * value
+            sums[block][1][at] += weight[:, None] * np.frombuffer(value, np.float16).reshape(len(at), -1)
     for block, (weight, value) in sums.items():
-        at = np.flatnonzero(weight)
-        mean = (value[at] / weight[at, None]).astype(np.float32)
-        yield _record([(block, at.astype(np.int32).tobytes(), weight[at].tobytes(), mean.tobytes())])
+        yield _record(list(_pack(block, weight, value / np.maximum(weight, 1e-30)[:, None])))
 
 
-def train(docs: DataFrame, known: Vocabulary, of: np.ndarray) -> Network:
-    """The network after every task has walked its documents once."""
-    total = int(known.counts.sum()) + known.rest
-    net = started(_sample(docs, total), known, of)
-    if not total:
-        return net
-    sent = docs.sparkSession.sparkContext.broadcast((known.words, of, net))
+def train(docs: DataFrame, known: Vocabulary, of: np.ndarray, tokens: DataFrame | None = None) -> Network:
+    """The network after every task has walked its documents once; ``tokens`` are those of ``number_documents``."""
+    tokens = number_documents(docs, known) if tokens is None else tokens
+    net = started(_sample(docs, int(known.counts.sum()) + known.rest), known, of)
+    sent = tokens.sparkSession.sparkContext.broadcast((of, net))
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, of, start = sent.value
-        numbers, mine, met, tokens = numbers_of(words), None, np.zeros(len(of)), 0
+        of, start = sent.value
+        mine, met, n = None, np.zeros(len(of)), 0
         for rows in batches:
-            for part in _chunks(_bytes(rows.column(0))):
-                row, counts, _ = numbered(part, numbers)
+            for row, counts in _rows(rows.column(0)):
                 mine = mine or start.copy()
                 mine.walk(row, of)
                 met += np.bincount(row, minlength=len(of))
-                tokens += int(counts.sum())
-        if tokens:
-            dense = np.concatenate([d.ravel() for d in mine.dense])
-            yield _record([(-1, np.zeros(1, np.int32).tobytes(), np.array([float(tokens)]).tobytes(), dense.tobytes()), *_blocks(met, mine.rows)])
-
-    parts = docs.select("text").mapInArrow(walk, MERGED_SQL)
-    merged = stage(parts.repartition("block").mapInArrow(average, MERGED_SQL), "network")
+                n += int(counts.sum())
+        if n:
+            records = changes(mine, start, met, n)
+            while some := list(islice(records, RECORDS)):
+                yield _record(some)
+
+    parts = tokens.select("tokens").mapInArrow(walk, MERGED_SQL)
+    # a frequent block has a record from every task: tasks are first added up in as many lots as the root of the number of files
+    lots = max(1, math.isqrt(len(tokens.inputFiles())))
+    near = parts.withColumn("lot", F.spark_partition_id() % lots).repartition("block", "lot").mapInArrow(average, MERGED_SQL)
+    merged = stage(near.repartition("block").mapInArrow(average, MERGED_SQL), "network")
+    end, dense = net.copy(), _columns(np.concatenate([d.ravel() for d in net.dense]))
     for r in merged.toLocalIterator():
-        at, value = np.frombuffer(r["at"], np.int32), np.frombuffer(r["value"], np.float32)
-        if r["block"] >= 0:
-            net.rows[r["block"] * BLOCK + at] = value.reshape(len(at), -1)
-        else:
-            cuts = np.cumsum([d.size for d in net.dense])[:-1]
-            net.dense = [v.reshape(d.shape) for v, d in zip(np.split(value, cuts), net.dense, strict=True)]
+        at, value = np.frombuffer(r["at"], np.uint16), np.frombuffer(r["value"], np.float16)
+        into, block = (end.rows, r["block"]) if r["block"] >= 0 else (dense, -1 - r["block"])
+        into[block * BLOCK + at] += value.reshape(len(at), -1)
+    cuts = np.cumsum([d.size for d in net.dense])
+    end.dense = [v.reshape(d.shape) for v, d in zip(np.split(dense.ravel()[: cuts[-1]], cuts[:-1]), net.dense, strict=True)]
     sent.destroy()
-    return net
+    return end
+
+
+def score_row(row: np.ndarray, counts: np.ndarray, of: np.ndarray, share: np.ndarray, net: Network) -> np.ndarray:
+    """Summed log-probability of each text but for the spelling of rare words."""
+    values = share[row[2:-2]]
+    for a in range(0, len(values), BATCH):
+        at, chance = net.log_chances(row[a : a + BATCH + 4], of)
+        values[a + at] += chance
+    return _per_text(values, counts)
 
 
 def score_texts(
@@ -345,16 +466,7 @@ def score_texts(
 ) -> tuple[np.ndarray, np.ndarray]:
     """Tokens and summed log-probability of each text."""
     row, counts, rare = numbered(texts, numbers)
-    values = share[row[2:-2]]
-    if rare:
-        cells, starts = pairs_of(rare)
-        values[row[2:-2] == REST] += np.add.reduceat(spelling.ravel()[cells], starts)
-    for a in range(0, len(values), BATCH):
-        at, chance = net.log_chances(row[a : a + BATCH + 4], of)
-        values[a + at] += chance
-    sums = np.concatenate([[0], np.cumsum(values)])
-    starts = np.concatenate([[0], np.cumsum(counts + 2)])[:-1]
-    return counts, sums[starts + counts] - sums[starts]
+    return counts, score_row(row, counts, of, share, net) + spelled(row, counts, rare, spelling)
 
 
 def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST) -> DataFrame:
@@ -367,20 +479,19 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     texts = pick(docs, doc_id=id_col, text=text_col)
     known = vocabulary(texts, least)
     of, share = classes(known)
-    net = train(texts, known, of)
+    tokens = number_documents(texts, known)
+    net = train(texts, known, of, tokens)
     net.squares = (np.zeros(0), [])
-    sent = docs.sparkSession.sparkContext.broadcast((known.words, of, share, known.spelling, net))
+    sent = docs.sparkSession.sparkContext.broadcast((of, share, net))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("log_prob", pa.float64())])
-        words, *rest = sent.value
-        numbers = numbers_of(words)
         for rows in batches:
             at = 0
-            for part in _chunks(_bytes(rows.column(1))):
-                n, sums = score_texts(part, numbers, *rest)
-                yield pa.RecordBatch.from_arrays([rows.column(0).slice(at, len(part)), pa.array(n), pa.array(sums)], schema=schema)
-                at += len(part)
+            for row, counts in _rows(rows.column(1)):
+                sums = score_row(row, counts, *sent.value) + rows.column(2).slice(at, len(counts)).to_numpy()
+                yield pa.RecordBatch.from_arrays([rows.column(0).slice(at, len(counts)), pa.array(counts), pa.array(sums)], schema=schema)
+                at += len(counts)
 
-    scored = texts.select(F.col("doc_id").cast("long"), "text").mapInArrow(score, "doc_id long, n_tokens long, log_prob double")
+    scored = tokens.mapInArrow(score, "doc_id long, n_tokens long, log_prob double")
     return scored.withColumn("mean_log_prob", F.try_divide("log_prob", "n_tokens"))

@@ -1,3 +1,4 @@
+import math
 import random
 
 import numpy as np
@@ -68,7 +69,7 @@ def test_step_follows_the_gradient(spark):
     row = np.array([0, 0, 2, 3, 1, 4, 3, 0, 0])
     # the first step of this rule moves each value by the rate against the sign of its gradient
     loss = lambda n: -n.log_chances(row, of)[1].mean()
-    for k, index in ((0, (1, 3, 5)), (1, (4,)), (2, (3, 1)), (3, (2,))):
+    for k, index in ((0, (1, 3, 5)), (1, (4,)), (2, (3, 1)), (3, (2,)), (4, (0, 2, 1)), (5, (0, 1))):
         up, down, moved = net.copy(), net.copy(), net.copy()
         up.dense[k][index] += 1e-2
         down.dense[k][index] -= 1e-2
@@ -98,6 +99,76 @@ def test_the_network_beats_single_words_and_prefers_the_right_order(spark):
     assert better > 0.9 * len(long)
 
 
+def token_by_token(text, known, of, share, net):
+    """The score of one text from the values of the network, in plain arithmetic."""
+    words = text.encode().lower().split()
+    ids = [known.words.index(w) + 2 if w in known.words else 1 for w in words]
+    place, base, groups, group_base, members, member_base = (d.tolist() for d in net.dense)
+    dot = lambda h, matrix, j: sum(h[i] * matrix[i][j] for i in range(len(h)))
+    total = 0.0
+    for t, word in enumerate(words):
+        h = list(base)
+        for p, step in enumerate((-2, -1, 1, 2)):
+            z = net.rows[ids[t + step] if 0 <= t + step < len(ids) else 0].tolist()
+            h = [h[j] + dot(z, place[p], j) for j in range(len(h))]
+        h = [math.tanh(x) for x in h]
+        g, m = net.group[of[ids[t]]], net.member[of[ids[t]]]
+        for matrix, bases, right in ((groups, group_base, g), (members[g], member_base[g], m)):
+            outputs = [dot(h, matrix, j) + bases[j] for j in range(len(bases))]
+            total += outputs[right] - math.log(sum(math.exp(x) for x in outputs))
+        total += share[ids[t]]
+        if ids[t] == 1:
+            spelled = b" " + word + b" "
+            total += sum(known.spelling[a, b] for a, b in zip(spelled, spelled[1:], strict=False))
+    return total
+
+
+def test_scores_are_those_of_one_token_after_the_other(spark, monkeypatch):
+    rows = corpus(60, 120) + [(1000, ""), (1001, "w1xyz"), (1002, "é w1xyz unseen"), (1003, None)]
+    df, seen, train = spark.createDataFrame(rows, SCHEMA).repartition(3), [], L.train
+    monkeypatch.setattr(L, "train", lambda docs, known, of, tokens: seen.append((known, of, train(docs, known, of, tokens))) or seen[-1][2])
+    got = {r.doc_id: r for r in L.score_documents(df).collect()}
+    known, of, net = seen[0]
+    share = L.classes(known)[1]
+    assert len(got) == len(rows)
+    for i, text in rows:
+        assert got[i].n_tokens == len((text or "").split())
+        assert got[i].log_prob == pytest.approx(token_by_token(text or "", known, of, share, net), rel=1e-4, abs=1e-4)
+
+
+def test_changes_of_tasks_are_averaged_by_weight_in_any_number_of_turns():
+    known = L.Vocabulary([f"w{i}".encode() for i in range(1500)], np.arange(1500, 0, -1), 2, L.spelling_of(np.zeros(256 * 256)))
+    of, _ = L.classes(known)
+    start, rng, tasks = L.new_network(known, of), np.random.default_rng(5), []
+    for n in (10, 30, 60):
+        net, met = start.copy(), rng.integers(0, 3, len(of)).astype(float)
+        net.rows += rng.normal(0, 1, net.rows.shape).astype(np.float32)
+        for d in net.dense:
+            d += np.float32(n)
+        tasks.append((net, met, n))
+    sent = [L._record(list(L.changes(net, start, met, n))) for net, met, n in tasks]
+    weight = sum(met for _, met, _ in tasks)
+    want = sum(met[:, None] * (net.rows - start.rows) for net, met, _ in tasks) / np.maximum(weight, 1)[:, None]
+    for merged in (L.average(iter(sent)), L.average(iter([*L.average(iter(sent[:2])), sent[2]]))):
+        got, dense = np.zeros_like(want), []
+        for r in (r for b in merged for r in b.to_pylist()):
+            at, value = np.frombuffer(r["at"], np.uint16), np.frombuffer(r["value"], np.float16).reshape(-1, L.EMBEDDING)
+            if r["block"] >= 0:
+                got[r["block"] * L.BLOCK + at] = value
+            else:
+                dense.append(value[:1])
+        assert np.allclose(got, want, atol=5e-3)
+        assert dense and np.allclose(dense, (100 + 900 + 3600) / 100, rtol=2e-3)
+
+
+def test_the_sample_reaches_the_ends_of_long_texts(spark, monkeypatch):
+    text = " ".join(f"w{i}" for i in range(60_000))
+    monkeypatch.setattr(L, "SAMPLE", 6_000)
+    pieces = L._sample(spark.createDataFrame([(i, text) for i in range(3)] + [(9, None), (10, "")], SCHEMA), 180_000)
+    numbers = [int(w[1:]) for p in pieces for w in p.split()[1:-1]]
+    assert 1_000 < len(numbers) < 20_000 and max(numbers) > 30_000 > min(numbers)
+
+
 def test_odd_rows(spark):
     assert L.score_documents(spark.createDataFrame([], SCHEMA)).collect() == []
     (row,) = L.score_documents(spark.createDataFrame([(1, None)], SCHEMA)).collect()
