@@ -28,13 +28,13 @@ from __future__ import annotations
 import math
 import sys
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -47,13 +47,14 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 # Token numbers: 0 stands outside of a text, 1 for a rare word, then the vocabulary.
 REST = 1
 LEAST = 5
-# Longer words are spelled.
+# Longer words (bytes) are spelled, whatever their number: none of them enters the broadcast vocabulary.
 LONGEST = 64
 # Classes besides one for each unit of the root of the vocabulary: words by themselves, endings.
 OWN, ENDINGS = 64, 24
 EMBEDDING, HIDDEN = 16, 32
 PLACES = (0, 1, 3, 4)
-BATCH = 4096
+# Tokens of a step: of the sample, and of the documents.
+START, BATCH = 4096, 16384
 RATE = 0.05
 # Tokens of the sample the starting values come from, and how often they are walked.
 SAMPLE, WALKS = 400_000, 6
@@ -62,7 +63,7 @@ PIECE = 4_000  # characters of a piece of the sample
 NEVER = -60.0
 # Embeddings in a block of changes, blocks in a record batch.
 BLOCK, RECORDS = 1024, 128
-REMEMBER = 400_000
+REMEMBER = 1_000_000
 CHUNK = 1_000_000
 SPACE = 0x20
 
@@ -94,23 +95,39 @@ def _chunks(texts: list[bytes]) -> Iterator[list[bytes]]:
 COUNTED = pa.schema([("word", pa.binary()), ("n", pa.int64())])
 
 
+def _words(column: pa.Array) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
+    """Of several texts at a time: their different words, the places of their words among these, and words per text."""
+    lengths = np.concatenate([[0], np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False))])
+    cuts = np.unique(np.searchsorted(lengths, np.arange(CHUNK, lengths[-1], CHUNK)))
+    for a, b in zip([0, *cuts], [*cuts, len(column)], strict=True):
+        lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(column.slice(a, b - a), "")))
+        flat, ends = lists.flatten(), np.cumsum(pc.list_value_length(lists).to_numpy())
+        full = pc.greater(pc.binary_length(flat), 0)
+        kept = np.concatenate([[0], np.cumsum(full.to_numpy(zero_copy_only=False))])
+        told = flat.filter(full).dictionary_encode()
+        yield told.dictionary.cast(pa.binary()), told.indices.to_numpy(), np.diff(kept[ends], prepend=0)
+
+
 def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Words and their number; the empty word stands for all that are too long."""
-    counts: Counter = Counter()
+    tables, size = [], 0
 
-    def counted() -> pa.RecordBatch:
-        short = {w: n for w, n in counts.items() if len(w) <= LONGEST}
-        if len(short) < len(counts):
-            short[b""] = sum(n for w, n in counts.items() if len(w) > LONGEST)
-        return pa.RecordBatch.from_arrays([pa.array(list(short), pa.binary()), pa.array(list(short.values()), pa.int64())], schema=COUNTED)
+    def merged() -> pa.Table:
+        return pa.concat_tables(tables).group_by("word", use_threads=False).aggregate([("n", "sum")]).rename_columns(COUNTED.names)
 
     for rows in batches:
-        for text in _bytes(rows.column(0)):
-            counts.update(text.lower().split())
-        if len(counts) > REMEMBER:
-            yield counted()
-            counts.clear()
-    yield counted()
+        for words, places, _ in _words(rows.column(0)):
+            short = pc.if_else(pc.less_equal(pc.binary_length(words), LONGEST), words, pa.scalar(b"", pa.binary()))
+            tables.append(pa.table([short, pa.array(np.bincount(places, minlength=len(words)))], schema=COUNTED))
+            size += len(words)
+            if size > REMEMBER:
+                tables = [merged()]
+                size = len(tables[0])
+                if size > REMEMBER // 2:
+                    yield from tables[0].to_batches()
+                    tables, size = [], 0
+    if tables:
+        yield from merged().to_batches()
 
 
 def pairs_of(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -267,9 +284,9 @@ class Network:
         self.squares[0][met] += (g * g).mean(axis=1)
         self.rows[met] -= rate * g / (np.sqrt(self.squares[0][met])[:, None] + 1e-8)
 
-    def walk(self, row: np.ndarray, of: np.ndarray) -> None:
-        for a in range(0, len(row) - 4, BATCH):
-            self.step(row[a : a + BATCH + 4], of)
+    def walk(self, row: np.ndarray, of: np.ndarray, batch: int) -> None:
+        for a in range(0, len(row) - 4, batch):
+            self.step(row[a : a + batch + 4], of)
 
 
 def new_network(known: Vocabulary, of: np.ndarray, seed: int = 0) -> Network:
@@ -318,7 +335,7 @@ def started(texts: list[bytes], known: Vocabulary, of: np.ndarray) -> Network:
     net = new_network(known, of)
     row, _, _ = numbered(texts, numbers_of(known.words))
     for _ in range(WALKS):
-        net.walk(row, of)
+        net.walk(row, of, START)
     return net
 
 
@@ -333,13 +350,18 @@ def _per_text(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return sums[starts + counts] - sums[starts]
 
 
+def spell(words: list[bytes], spelling: np.ndarray) -> np.ndarray:
+    """Log-probability of the spelling of each word."""
+    if not words:
+        return np.zeros(0)
+    cells, starts = pairs_of(words)
+    return np.add.reduceat(spelling.ravel()[cells], starts)
+
+
 def spelled(row: np.ndarray, counts: np.ndarray, rare: list[bytes], spelling: np.ndarray) -> np.ndarray:
     """Log-probability of the spelling of the rare words of each text."""
-    if not rare:
-        return np.zeros(len(counts))
     values = np.zeros(len(row) - 4)
-    cells, starts = pairs_of(rare)
-    values[row[2:-2] == REST] = np.add.reduceat(spelling.ravel()[cells], starts)
+    values[row[2:-2] == REST] = spell(rare, spelling)
     return _per_text(values, counts)
 
 
@@ -352,14 +374,19 @@ def number_documents(docs: DataFrame, known: Vocabulary) -> DataFrame:
         numbers = numbers_of(words)
         for rows in batches:
             at = 0
-            for part in _chunks(_bytes(rows.column(1))):
-                row, counts, rare = numbered(part, numbers)
-                ends = 2 + np.cumsum(counts + 2) - 2
-                small = row.astype("<i4")
-                tokens = [small[e - n : e].tobytes() for e, n in zip(ends.tolist(), counts.tolist(), strict=True)]
-                columns = [rows.column(0).slice(at, len(part)), pa.array(tokens, pa.binary()), pa.array(spelled(row, counts, rare, spelling))]
+            for different, places, counts in _words(rows.column(1)):
+                words = different.to_pylist()
+                found = np.fromiter((numbers.get(w, REST) for w in words), np.dtype("<i4"), len(words))
+                rare = np.flatnonzero(found == REST)
+                chance = np.zeros(len(words))
+                chance[rare] = spell([words[i] for i in rare], spelling)
+                sums = np.concatenate([[0], np.cumsum(chance[places])])
+                starts = np.concatenate([[0], np.cumsum(counts)])
+                tokens = found[places]
+                each = [tokens[a:b].tobytes() for a, b in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True)]
+                columns = [rows.column(0).slice(at, len(counts)), pa.array(each, pa.binary()), pa.array(np.diff(sums[starts]))]
                 yield pa.RecordBatch.from_arrays(columns, schema=NUMBERED)
-                at += len(part)
+                at += len(counts)
 
     staged = stage(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(number, NUMBERED_SQL), "tokens")
     sent.destroy()
@@ -428,7 +455,7 @@ def train(docs: DataFrame, known: Vocabulary, of: np.ndarray, tokens: DataFrame
         for rows in batches:
             for row, counts in _rows(rows.column(0)):
                 mine = mine or start.copy()
-                mine.walk(row, of)
+                mine.walk(row, of, BATCH)
                 met += np.bincount(row, minlength=len(of))
                 n += int(counts.sum())
         if n:
@@ -445,7 +472,7 @@ def train(docs: DataFrame, known: Vocabulary, of: np.ndarray, tokens: DataFrame
     for r in merged.toLocalIterator():
         at, value = np.frombuffer(r["at"], np.uint16), np.frombuffer(r["value"], np.float16)
         into, block = (end.rows, r["block"]) if r["block"] >= 0 else (dense, -1 - r["block"])
-        into[block * BLOCK + at] += value.reshape(len(at), -1)
+        into[block * BLOCK + at.astype(np.int64)] += value.reshape(len(at), -1)
     cuts = np.cumsum([d.size for d in net.dense])
     end.dense = [v.reshape(d.shape) for v, d in zip(np.split(dense.ravel()[: cuts[-1]], cuts[:-1]), net.dense, strict=True)]
     sent.destroy()
