@@ -64,7 +64,8 @@ NEVER = -60.0
 # Embeddings in a block of changes, blocks in a record batch.
 BLOCK, RECORDS = 1024, 128
 REMEMBER = 1_000_000
-CHUNK = 1_000_000
+# Bytes of texts, or of token numbers, that are worked on together.
+CHUNK, WORDS_CHUNK = 1_000_000, 4_000_000
 SPACE = 0x20
 
 
@@ -98,7 +99,7 @@ COUNTED = pa.schema([("word", pa.binary()), ("n", pa.int64())])
 def _words(column: pa.Array) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
     """Of several texts at a time: their different words, the places of their words among these, and words per text."""
     lengths = np.concatenate([[0], np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False))])
-    cuts = np.unique(np.searchsorted(lengths, np.arange(CHUNK, lengths[-1], CHUNK)))
+    cuts = np.unique(np.searchsorted(lengths, np.arange(WORDS_CHUNK, lengths[-1], WORDS_CHUNK)))
     for a, b in zip([0, *cuts], [*cuts, len(column)], strict=True):
         lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(column.slice(a, b - a), "")))
         flat, ends = lists.flatten(), np.cumsum(pc.list_value_length(lists).to_numpy())
@@ -193,9 +194,10 @@ def layout(k: int) -> tuple[np.ndarray, np.ndarray]:
     return group, np.arange(k) - np.searchsorted(group, np.arange(groups))[group]
 
 
-def _errors(x: np.ndarray, right: np.ndarray) -> np.ndarray:
+def _errors(x: np.ndarray, right: np.ndarray, safe: bool) -> np.ndarray:
     """Probabilities less one at the right place, over the number of rows."""
-    x -= x.max(axis=1, keepdims=True)
+    if not safe:
+        x -= x.max(axis=1, keepdims=True)
     np.exp(x, out=x)
     x *= 1 / (len(x) * x.sum(axis=1, keepdims=True))
     x[np.arange(len(x)), right] -= 1 / len(x)
@@ -240,15 +242,20 @@ class Network:
             y[a:b] += self.dense[5][g]
         return x, y, runs
 
+    def _safe(self) -> bool:
+        """Whether no output can leave the range of exp in single precision: hidden values lie between -1 and 1."""
+        return all((np.abs(w).sum(axis=-2) + np.abs(b)).max() < 80 for w, b in (self.dense[2:4], self.dense[4:6]))
+
     def log_chances(self, row: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Places of tokens in ``row`` (less two at either end), and the log-probability of the class of each."""
         at, right, _, h = self._hidden(row, of)
         if not len(at):
             return at, np.zeros(0, np.float32)
         x, y, _ = self._outputs(right, h)
-        here, chance = np.arange(len(at)), np.zeros(len(at), np.float32)
+        here, chance, safe = np.arange(len(at)), np.zeros(len(at), np.float32), self._safe()
         for values, chosen in ((x, self.group[right]), (y, self.member[right])):
-            values -= values.max(axis=1, keepdims=True)
+            if not safe:
+                values -= values.max(axis=1, keepdims=True)
             chance += values[here, chosen]
             chance -= np.log(np.exp(values, out=values).sum(axis=1))
         order = np.argsort(at)
@@ -260,7 +267,8 @@ class Network:
         if not len(at):
             return
         x, y, runs = self._outputs(right, h)
-        x, y = _errors(x, self.group[right]), _errors(y, self.member[right])
+        safe = self._safe()
+        x, y = _errors(x, self.group[right], safe), _errors(y, self.member[right], safe)
         place, _, groups, _, members, bases = self.dense
         back = x @ groups.T
         inside, below = np.zeros_like(members), np.zeros_like(bases)
