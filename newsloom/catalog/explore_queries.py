@@ -249,8 +249,10 @@ def enrich(spark, folder):
 
 
 def _document_stream(spark, folder):
+    """The documents as a stream, from one file or from a folder of files."""
     schema = src.table(spark, folder, "documents").schema
-    docs = spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet").parquet(folder)
+    # a stream takes a path for a folder unless it is a pattern; this one matches the table alone
+    docs = spark.readStream.schema(schema).parquet(f"{folder}/{{documents.parquet}}")
     return docs.select("doc_id", F.col("source").alias("feed"), F.md5("text").alias("url"),
                        F.lit("").alias("title"), F.lit("").alias("summary"), F.col("text").alias("full_text"))
 
