@@ -285,4 +285,4 @@ def stream_keyed_append(spark, folder):
     base = f"{shared_dir(spark)}/keyed-{uuid.uuid4().hex}"
     rows = ingest.keyed_stream(_document_stream(spark, folder))
     ingest.append_to_table(rows, f"{base}/table", f"{base}/check").awaitTermination()
-    return spark.read.parquet(f"{base}/table").select("url", F.col("feed").isNotNull().alias("has_source"))
+    return spark.read.schema(rows.schema).parquet(f"{base}/table").select("url", F.col("feed").isNotNull().alias("has_source"))
