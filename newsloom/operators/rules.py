@@ -1,9 +1,11 @@
 """Keyword rules as data, compiled to vote columns, and their vote statistics.
 
-A rule looks for terms between word boundaries in lower-cased text. Terms
-that are one plain word are looked up in the set of words of the text, which
-is computed once per row for all rules; only terms that need a pattern are
-searched with one.
+A rule looks for terms between word boundaries in lower-cased text. Terms are
+written out into the word sequences they match. The words of a text are met
+with all of those words once per row, for all rules; what is left is a short
+list that decides terms of one word. A term of several words is searched with
+its pattern only where all of its words are there, and a term that cannot be
+written out is searched everywhere.
 """
 
 from __future__ import annotations
@@ -54,18 +56,85 @@ AnyRule = Rule | ColumnRule
 
 def bounded_pattern(terms: Sequence[str]) -> str:
     """Any of the terms as whole words, with Unicode-aware boundaries."""
-    body = "|".join(t.replace(r"\s", rf"[{SPACE}]") for t in terms)
-    return rf"(^|[^{WORD_CHAR}])({body})($|[^{WORD_CHAR}])"
+    return rf"(^|[^{WORD_CHAR}])({_pattern(terms)})($|[^{WORD_CHAR}])"
+
+
+def _pattern(terms: Sequence[str]) -> str:
+    return "|".join(t.replace(r"\s", rf"[{SPACE}]") for t in terms)
+
+
+# Pieces of a term that can be written out: a part of a group, white space, a letter or a sign that stands for itself.
+PIECE = re.compile(r"(?P<open>\()|(?P<close>\))|(?P<bar>\|)|(?P<space>\\s\+?)|(?P<char>[\w '\-])")
+MOST_SPELLINGS = 64
+
+
+def spellings(term: str) -> list[str] | None:
+    """All a term matches, white space of any kind as one line feed; null if it says more than groups, bars and ``?`` do."""
+    stack: list[tuple[list[str], list[str]]] = [([], [""])]  # per open group: finished branches, the one being read
+    at = 0
+    while at < len(term):
+        piece = PIECE.match(term, at)
+        if piece is None:
+            return None
+        at = piece.end()
+        if piece["open"]:
+            stack.append(([], [""]))
+            continue
+        done, branch = stack.pop()
+        if piece["bar"]:
+            stack.append(([*done, *branch], [""]))
+            continue
+        if piece["close"]:
+            if not stack:
+                return None
+            last = [*done, *branch]
+            done, branch = stack.pop()
+        else:
+            last = ["\n" if piece["space"] else piece["char"]]
+        if term.startswith("?", at):
+            at, last = at + 1, [*last, ""]
+        branch = [b + x for b in branch for x in last]
+        if len(branch) > MOST_SPELLINGS:
+            return None
+        stack.append((done, branch))
+    if len(stack) != 1:
+        return None
+    return sorted({*stack[0][0], *stack[0][1]})
+
+
+def _needed_words(term: str) -> list[tuple[str, ...]] | None:
+    """Per spelling the words that a text with it has; null if any spelling has none, or the term cannot be written out."""
+    written = spellings(term)
+    needed = [tuple(re.findall(r"\w+", x)) for x in written or [""]]
+    return needed if all(needed) else None
+
+
+def _is_plain(term: str) -> bool:
+    """Whether a text has the term exactly if it has one of its spellings as a word."""
+    return all(re.fullmatch(r"\w+", x) for x in spellings(term) or [""])
+
+
+def _sought_words(rules: Sequence[AnyRule]) -> list[str]:
+    """Every word that a term of the rules needs."""
+    terms = {t for r in rules if isinstance(r, Rule) for group in (*r.groups, r.none_of) for t in group}
+    return sorted({w for t in terms for words in _needed_words(t) or [] for w in words})
 
 
 def _has_term(terms: Sequence[str], words: Column, text: Column) -> Column:
-    plain = [t for t in terms if re.fullmatch(r"\w+", t)]
-    patterns = [t for t in terms if t not in plain]
+    plain = sorted({x for t in terms if _is_plain(t) for x in spellings(t)})
+    longer = [t for t in terms if not _is_plain(t) and _needed_words(t)]
+    others = [t for t in terms if not _needed_words(t)]
     tests = []
     if plain:
         tests.append(F.arrays_overlap(words, F.array(*[F.lit(t) for t in plain])))
-    if patterns:
-        tests.append(text.rlike(bounded_pattern(patterns)))
+    if longer:
+        needed = sorted({n for t in longer for n in _needed_words(t)})
+        present = any_of([all_of([F.array_contains(words, w) for w in n]) for n in needed])
+        tests.append(present & text.rlike(bounded_pattern(longer)))
+    if others:
+        found = text.rlike(bounded_pattern(others))
+        # without bounds a pattern is ruled out faster, but its groups have other numbers
+        tests.append(found if re.search(r"\\\d", _pattern(others)) else text.rlike(_pattern(others)) & found)
     return any_of(tests)
 
 
@@ -85,10 +154,11 @@ def active_rules(rules: Sequence[AnyRule]) -> list[AnyRule]:
 def apply_rules(df: DataFrame, rules: Sequence[AnyRule], text: str = "clean_geo") -> DataFrame:
     """One integer vote column per active rule, all in one projection."""
     lowered = df.withColumn(TEXT_COLUMN, F.lower(F.coalesce(F.col(text), F.lit(""))))
-    worded = lowered.withColumn(
-        WORDS_COLUMN, F.array_distinct(F.split(F.col(TEXT_COLUMN), rf"[^{WORD_CHAR}]+", -1))
-    )
-    votes = [rule_vote(r, F.col(WORDS_COLUMN), F.col(TEXT_COLUMN)).alias(r.name) for r in active_rules(rules)]
+    active = active_rules(rules)
+    sought = F.array(*[F.lit(w) for w in _sought_words(active)]).cast("array<string>")
+    words = F.split(F.col(TEXT_COLUMN), rf"[^{WORD_CHAR}]+", -1)
+    worded = lowered.withColumn(WORDS_COLUMN, F.array_intersect(words, sought))
+    votes = [rule_vote(r, F.col(WORDS_COLUMN), F.col(TEXT_COLUMN)).alias(r.name) for r in active]
     kept = [F.col(c) for c in df.columns]
     return worded.select(*kept, *votes)
 
