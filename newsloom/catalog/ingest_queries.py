@@ -363,16 +363,8 @@ def keyword_map_roundtrip(spark, folder):
 
 
 def _json_arrays(spark, folder, path: str) -> None:
-    """The documents as files of one array per source and hundred of ids, with what may stand around an array."""
-    rows = _article_rows(spark, folder).select(
-        F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("o"), F.col("feed").alias("source"),
-        F.substring_index("url", "/", -1).cast("long").alias("n"))
-    ordered = F.transform(F.array_sort(F.collect_list(F.struct("n", "o"))), lambda x: x["o"])
-    # a hundred documents at most in an array
-    arrays = rows.groupBy("source", F.expr("n div 100").alias("part")).agg(F.array_join(ordered, ",\n\t").alias("body"))
-    lead = F.element_at(F.array(F.lit("\n\t[ "), F.lit("["), F.lit("\ufeff["), F.lit(" \r\n[\n")), (F.col("part") % 4 + 1).cast("int"))
-    files = arrays.select(F.concat_ws("-", "source", "part").alias("file"), F.concat(lead, "body", F.lit(" ]\r\n ")).alias("value"))
-    files.write.partitionBy("file").text(path)
+    """The documents as files of one array each, with what may stand around an array; of one address the first source leads."""
+    writers.write_json_arrays(_article_rows(spark, folder), path, "url", order=["feed", "url"])
 
 
 @query("json_dir_scan", ROUNDTRIP.format(published="strftime(TIMESTAMP '2024-01-01' + to_hours(doc_id), '%a, %d %b %Y %H:%M:%S')"))
@@ -380,7 +372,7 @@ def json_dir_scan(spark, folder):
     """A folder of JSON arrays that begin with line feeds, tabs or a byte order mark."""
     path = _scratch(spark, "arrays")
     _json_arrays(spark, folder, path)
-    back = readers.read_article_json(spark, f"{path}/*", names="*.txt")
+    back = readers.read_article_json(spark, path, names="*.txt")
     return back.select("feed", "title", "url", "published", "full_text")
 
 
@@ -396,7 +388,7 @@ def merge_files(spark, folder):
     _json_arrays(spark, folder, path)
     own = F.when(F.col("page_id") % 2 == 0, F.concat(F.lit("https://news.example/"), F.col("page_id").cast("string"))).otherwise(F.col("url"))
     pages = src.table(spark, folder, "pages").select(own.alias("url"), F.lit("page").alias("feed"))
-    return pl.merge_articles(spark, f"{path}/*", extra=[pages], names="*.txt").select("url", "feed")
+    return pl.merge_articles(spark, path, extra=[pages], names="*.txt").select("url", "feed")
 
 
 @query("feed_order", """
