@@ -14,6 +14,7 @@ from newsloom.operators import vocabulary as vo
 from newsloom.operators.rows import explode_rows
 from newsloom.plans import pipelines as pl
 from newsloom.rules.stopwords import DUTCH
+from newsloom.sources.staging import stage
 
 
 def _docs(spark, folder):
@@ -222,7 +223,7 @@ def term_idf(spark, folder):
 
 @query("idf_join", f"WITH {TERMS} SELECT doc_id, term, round(tfidf, 6) AS tfidf FROM weighted")
 def idf_join(spark, folder):
-    terms = _terms(spark, folder)
+    terms = stage(_terms(spark, folder), "terms")  # for the weights and for the join
     weighed = kw.weigh_terms(terms, kw.term_idf(terms, FEATURES))
     return weighed.select("doc_id", "term", F.round("tfidf", 6).alias("tfidf"))
 
@@ -230,7 +231,7 @@ def idf_join(spark, folder):
 @query("l2_norm", f"""
 WITH {TERMS} SELECT doc_id, round(sqrt(sum(tfidf * tfidf)), 6) AS norm FROM weighted GROUP BY doc_id""")
 def l2_norm(spark, folder):
-    terms = _terms(spark, folder)
+    terms = stage(_terms(spark, folder), "terms")  # for the weights and for the join
     weighed = kw.weigh_terms(terms, kw.term_idf(terms, FEATURES))
     return weighed.groupBy("doc_id").agg(F.round(F.sqrt(F.sum(F.col("tfidf") * F.col("tfidf"))), 6).alias("norm"))
 
