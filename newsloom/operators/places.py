@@ -19,13 +19,18 @@ VOTE_THRESHOLD = 0.6
 UNCERTAIN = "uncertain"
 
 
+def _starts_name(token: Column) -> Column:
+    """Whether a token begins as names do; most tokens begin with a plain small letter and need no pattern."""
+    return ~((token >= "a") & (token < "{")) & token.rlike(STARTS_NAME)
+
+
 def candidate_spans(df: DataFrame, text: str = "clean_geo", id_col: str = "doc_id", max_words: int = 3) -> DataFrame:
     """(id, pos, words, loc): runs of 1..max_words tokens that start with a capital."""
     tokens = df.select(id_col, F.regexp_extract_all(F.col(text), F.lit(NAME_TOKEN), 0).alias("w"))
 
     def spans(w: Column) -> Column:
         starts = F.filter(
-            F.transform(w, lambda t, i: F.when(t.rlike(STARTS_NAME), i + 1)), lambda i: i.isNotNull()
+            F.transform(w, lambda t, i: F.when(_starts_name(t), i + 1)), lambda i: i.isNotNull()
         )
         return F.flatten(F.transform(
             starts,
@@ -76,7 +81,7 @@ def known_spans(
     tokens = df.select(id_col, F.regexp_extract_all(F.col(text), F.lit(NAME_TOKEN), 0).alias("w"))
 
     def capitals(w: Column) -> Column:
-        found = F.transform(w, lambda t, i: F.when(t.rlike(STARTS_NAME), F.struct((i + 1).alias("pos"), F.slice(w, i + 1, F.lit(reach)).alias("ahead"))))
+        found = F.transform(w, lambda t, i: F.when(_starts_name(t), F.struct((i + 1).alias("pos"), F.slice(w, i + 1, F.lit(reach)).alias("ahead"))))
         return F.filter(found, lambda s: s.isNotNull())
 
     each = explode_rows(tokens, let(F.col("w"), capitals), "s", [id_col])
