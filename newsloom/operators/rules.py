@@ -152,15 +152,20 @@ def active_rules(rules: Sequence[AnyRule]) -> list[AnyRule]:
 
 
 def apply_rules(df: DataFrame, rules: Sequence[AnyRule], text: str = "clean_geo") -> DataFrame:
-    """One integer vote column per active rule, all in one projection."""
+    """One integer vote column per active rule.
+
+    The votes of a row are made together and exploded as one: a filter on a vote
+    or on a score would else be pushed below the words and make them once per vote.
+    """
     lowered = df.withColumn(TEXT_COLUMN, F.lower(F.coalesce(F.col(text), F.lit(""))))
     active = active_rules(rules)
     sought = F.array(*[F.lit(w) for w in _sought_words(active)]).cast("array<string>")
     words = F.split(F.col(TEXT_COLUMN), rf"[^{WORD_CHAR}]+", -1)
     worded = lowered.withColumn(WORDS_COLUMN, F.array_intersect(words, sought))
     votes = [rule_vote(r, F.col(WORDS_COLUMN), F.col(TEXT_COLUMN)).alias(r.name) for r in active]
-    kept = [F.col(c) for c in df.columns]
-    return worded.select(*kept, *votes)
+    if not votes:
+        return df
+    return worded.select(*[F.col(c) for c in df.columns], F.inline_outer(F.array(F.struct(*votes))))
 
 
 def indicators(rules: Sequence[AnyRule]) -> list[tuple[str, int]]:

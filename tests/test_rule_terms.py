@@ -30,3 +30,13 @@ def test_terms_agree_with_their_patterns(spark):
     for r in got:
         assert [r[f"w{i}"] for i in range(7)] == [r[f"p{i}"] for i in range(7)], r.clean_geo
     assert {r.w0 for r in got} == {ru.SME, ru.ABSTAIN}
+
+
+def test_a_filter_on_votes_makes_the_words_once(spark):
+    df = spark.createDataFrame([(1, "het mkb"), (2, "een bank"), (3, None), (4, "niets")], "doc_id int, clean_geo string").repartition(2)
+    voted = ru.apply_rules(df, RULES)
+    kept = voted.where((F.col("lf_explicit_sme") + F.col("lf_general_sector_terms")) >= 0)
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(") == 1
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 2]
+    assert ru.apply_rules(df, []).columns == df.columns
