@@ -1,52 +1,52 @@
 """Token ids of whole texts by the tokenizers library, with each distinct piece encoded once.
 
-A byte-level tokenizer of the usual pattern never joins a letter, digit or sign
-to white space that follows it. A text therefore falls into pieces, each some
-white space and the run after it, whose ids stand side by side in the ids of
-the whole text. A worker remembers the ids of the pieces it has met.
+A byte-level tokenizer of the usual pattern never joins white space to what
+stands before it, nor a sign to a letter before it. A text therefore falls into
+pieces, cut before each run of white space and between a letter and a sign,
+whose ids stand side by side in the ids of the whole text. A worker remembers
+the ids of the pieces it has met. Short pieces are looked up all at once, as
+pairs of whole numbers that hold their bytes and their length.
 """
 
 from __future__ import annotations
 
-import gc
-import re
+import os
 import string
 import sys
 import types
+from collections.abc import Sequence
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# Pieces a worker remembers; beyond that it forgets the rare ones, so its memory stays bounded.
-REMEMBER = 500_000
-TOGETHER = 2_000
-SIGNS = string.punctuation
-PIECES = re.compile(r"\s*\S+|\s+")
-# Python counts these as white space, the pattern of the tokenizer does not.
-UNSURE = re.compile(r"[\x1c-\x1f]")
+# Pieces a worker remembers, and ids for each; beyond that it forgets the rare ones, so its memory stays bounded.
+REMEMBER = 600_000
+IDS_EACH = 8
+# Pieces that are encoded as one text.
+TOGETHER = 200
+# Bytes of a piece that fit two whole numbers of eight bytes, besides the length.
+SHORT = 15
 
-
-class _Numbers(dict):
-    """Numbers keys in the order they are met. New ones are noted for encoding, or as a piece and signs."""
-
-    def __init__(self, coder: PieceEncoder, spaced: bool):
-        self.coder, self.spaced = coder, spaced
-
-    def __missing__(self, key: str) -> int:
-        coder = self.coder
-        # a letter and the signs after it are never joined
-        stem = key.rstrip(SIGNS)
-        signed = len(stem) < len(key) and stem[-1:].isalpha() and stem[-1] < "\u0250"
-        parts = (self[stem], coder.exact[key[len(stem) :]]) if signed else None
-        self[key] = number = coder.count
-        coder.count += 1
-        if parts:
-            coder.derived.append((number, *parts))
-        else:
-            coder.new.append((number, " " + key if self.spaced and key[0] != "\n" else key))
-        return number
+WHITE, LETTER, SIGN, LATIN, WIDE = 1, 2, 3, 4, 5
+KINDS = np.zeros(256, np.uint8)
+KINDS[[*b" \t\n\v\f\r"]] = WHITE
+KINDS[[*string.ascii_letters.encode()]] = LETTER
+KINDS[[*string.punctuation.encode()]] = SIGN
+# first bytes of the letters from U+00C0 to U+023F, and of white space beyond ASCII
+KINDS[0xC3:0xC9] = LATIN
+KINDS[[0xC2, 0xE1, 0xE2, 0xE3]] = WIDE
+SPACES = [chr(c).encode() for c in (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)]
+# A mask for each number of bytes.
+MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+# The letter that stands for each byte: its own if it can be seen, else one from 256 on, in order.
+SEEN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+LETTERS = np.zeros(256, np.uint16)
+LETTERS[SEEN] = SEEN
+LETTERS[LETTERS == 0] = range(256, 512 - len(SEEN))
 
 
 def _wider(values: np.ndarray, size: int) -> np.ndarray:
@@ -55,15 +55,50 @@ def _wider(values: np.ndarray, size: int) -> np.ndarray:
     return values
 
 
+def _bytes(texts: pa.Array | Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all texts in a row, with some more behind them, and where each text begins and ends."""
+    held = pc.fill_null(pa.array(texts, pa.string()) if not isinstance(texts, pa.Array) else texts, "").cast(pa.large_string())
+    _, bounds, data = held.buffers()
+    if not len(held) or data is None:
+        return np.zeros(16, np.uint8), np.zeros(len(held) + 1, np.int64)
+    bounds = np.frombuffer(bounds, np.int64)[held.offset : held.offset + len(held) + 1]
+    data = np.frombuffer(data, np.uint8)[bounds[0] : bounds[-1]]
+    return np.append(data, np.zeros(16, np.uint8)), bounds - bounds[0]
+
+
+def _kinds(data: np.ndarray) -> np.ndarray:
+    """What each byte belongs to: white space, a letter, a sign or something else."""
+    kinds = KINDS[data]
+    latin = np.flatnonzero(kinds == LATIN)
+    # two signs lie among the letters
+    latin = latin[(data[latin] != 0xC3) | ((data[latin + 1] != 0x97) & (data[latin + 1] != 0xB7))]
+    kinds[latin] = kinds[latin + 1] = LETTER
+    wide = np.flatnonzero(kinds == WIDE)
+    codes = (data[wide].astype(np.int64) << 16) | (data[wide + 1].astype(np.int64) << 8) | data[wide + 2]
+    for n, found in ((2, codes >> 8), (3, codes)):
+        for at in range(n):
+            kinds[wide[np.isin(found, [int.from_bytes(s) for s in SPACES if len(s) == n])] + at] = WHITE
+    return kinds
+
+
+def _spans(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Positions of all elements of spans, span by span."""
+    ends = np.cumsum(sizes)
+    return np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
+
+
 class PieceEncoder:
-    """``encode(texts)`` gives (ids of all texts in a row, ids per text)."""
+    """``encode(texts)`` gives (ids of all texts in a row, ids per text); a text that is null is empty."""
 
     def __init__(self, path: str, end: int | None = None, remember: int = REMEMBER):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         # strings of special tokens inside a text are ordinary text
         self.tokenizer.encode_special_tokens = True
+        # for words that the pattern does not cut, given in the letters of their bytes
+        self.words = Tokenizer(self.tokenizer.model)
+        self.words.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(" ")
         self.end, self.remember = end, remember
         vocabulary = self.tokenizer.get_vocab()
         self.lengths = np.zeros(max(vocabulary.values()) + 1, np.int64)
@@ -73,29 +108,32 @@ class PieceEncoder:
 
     def _start(self) -> None:
         self.ids, self.used = np.zeros(1 << 16, np.int32), 0
-        self.starts, self.sizes = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
+        self.starts, self.sizes = np.zeros(1 << 14, np.int32), np.zeros(1 << 14, np.int32)
         self.uses = np.zeros(1, np.int64)
-        self.count, self.new, self.derived = 1, [], []
-        self.spaced, self.exact = _Numbers(self, True), _Numbers(self, False)
+        self.count = 1
+        # a place of the table holds the two halves of a piece, and its number; no piece has an empty second half
+        self.low, self.high, self.number = np.zeros(1 << 15, np.uint64), np.zeros(1 << 15, np.uint64), np.zeros(1 << 15, np.int32)
+        self.long: dict[bytes, int] = {}
         # piece 0 ends a text
         self._store(np.zeros(1, np.int64), np.array([] if self.end is None else [self.end], np.int32), np.array([self.end is not None], np.int64))
 
     def _forget(self) -> None:
-        """Keep the pieces met most often since the last time, at most half of the bound."""
+        """Keep the pieces met most often since the last time, at most half of the bounds."""
         least = 2
-        while (self.uses >= least).sum() > self.remember // 2:
+        while (kept := self.uses >= least).sum() > self.remember // 2 or self.sizes[: self.count][kept].sum() > self.remember * IDS_EACH // 2:
             least *= 2
-        kept = np.union1d([0], np.flatnonzero(self.uses >= least))
-        ids, sizes = self._gather(kept)
-        number = np.full(self.count, -1, np.int64)
+        kept = np.union1d([0], np.flatnonzero(kept))
+        # in parts: positions of ids take more memory than the ids
+        ids, sizes = map(np.concatenate, zip(*map(self._gather, np.array_split(kept, 50)), strict=True))
+        number = np.zeros(self.count, np.int32)
         number[kept] = np.arange(len(kept))
-        number, before = number.tolist(), (self.spaced, self.exact)
+        held = np.flatnonzero(number[self.number])
+        low, high, numbers, before = self.low[held], self.high[held], number[self.number[held]], self.long
         self._start()
-        self.count = len(kept)
-        self.used = 0
+        self.count, self.used = len(kept), 0
         self._store(np.arange(len(kept)), ids, sizes)
-        for old, new in zip(before, (self.spaced, self.exact), strict=True):
-            new.update((key, number[n]) for key, n in old.items() if number[n] >= 0)
+        self._place(low, high, numbers)
+        self.long = {key: int(number[n]) for key, n in before.items() if number[n]}
 
     def _store(self, numbers: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> None:
         self.ids = _wider(self.ids, self.used + len(ids))
@@ -108,75 +146,139 @@ class PieceEncoder:
     def _gather(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of pieces in a row, and how many each has."""
         sizes = self.sizes[numbers]
-        ends = np.cumsum(sizes)
-        total = int(ends[-1]) if len(ends) else 0
-        return self.ids[np.repeat(self.starts[numbers] - (ends - sizes), sizes) + np.arange(total)], sizes
-
-    def _encode_new(self) -> None:
-        """Ids of the new pieces. Those that begin with white space are encoded as one text, cut where their bytes end."""
-        joined, rest = [], []
-        for entry in self.new:
-            (joined if entry[1][0] in " \n" and not entry[1][-1].isspace() else rest).append(entry)
-        groups = [joined[at : at + TOGETHER] for at in range(0, len(joined), TOGETHER)]
-        for group, coded in zip(groups, self._ids(["".join([p for _, p in group]) for group in groups]), strict=True):
-            ends = np.cumsum(self.lengths[coded])
-            wanted = np.cumsum([len(p.encode()) for _, p in group])
-            cuts = np.searchsorted(ends, wanted)
-            if cuts[-1] == len(coded) - 1 and (ends[cuts] == wanted).all():
-                self._store(np.array([n for n, _ in group]), coded, np.diff(cuts, prepend=-1))
+        return self.ids[_spans(self.starts[numbers], sizes)], sizes
+
+    def _find(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """The place of each piece in the table, or the free one where it belongs."""
+        mixed = (low * np.uint64(0x9E3779B97F4A7C15)) ^ (high * np.uint64(0xC2B2AE3D27D4EB4F))
+        mixed = (mixed ^ (mixed >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+        at = (mixed >> np.uint64(64 - (len(self.low).bit_length() - 1))).astype(np.int64)
+        left = np.flatnonzero((self.low[at] != low) | (self.high[at] != high))
+        while len(left := left[self.high[at[left]] != 0]):
+            at[left] = (at[left] + 1) & (len(self.low) - 1)
+            left = left[(self.low[at[left]] != low[left]) | (self.high[at[left]] != high[left])]
+        return at
+
+    def _place(self, low: np.ndarray, high: np.ndarray, numbers: np.ndarray | None = None) -> np.ndarray:
+        """Puts pieces into the table, under the numbers given or new ones; positions of the first of each kind."""
+        size, held = len(self.low), self.count + (len(low) if numbers is None else 0)
+        while 3 * held > 2 * size:
+            size *= 2
+        if size > len(self.low):
+            held = np.flatnonzero(self.number)
+            before = self.low[held], self.high[held], self.number[held]
+            self.low, self.high, self.number = np.zeros(size, np.uint64), np.zeros(size, np.uint64), np.zeros(size, np.int32)
+            self._place(*before)
+        placed, left = [], np.arange(len(low))
+        while len(left):
+            at = self._find(low[left], high[left])
+            free = self.number[at] == 0
+            at, left = at[free], left[free]
+            # of those that want one place, one has it
+            self.number[at] = left + 1
+            first = self.number[at] == left + 1
+            at, own = at[first], left[first]
+            self.low[at], self.high[at] = low[own], high[own]
+            if numbers is None:
+                self.number[at] = np.arange(self.count, self.count + len(own))
+                self.count += len(own)
             else:
-                rest.extend(group)
-        if rest:
-            coded = self._ids([p for _, p in rest])
-            self._store(np.array([n for n, _ in rest]), np.concatenate(coded), np.array([len(x) for x in coded]))
-        if self.derived:
-            rows = np.array(self.derived)
-            ids, sizes = self._gather(rows[:, 1:].ravel())
-            self._store(rows[:, 0], ids, sizes.reshape(-1, 2).sum(axis=1))
-        self.new, self.derived = [], []
-
-    def _ids(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.asarray(e.ids, np.int32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)] if texts else []
-
-    def _pieces(self, text: str) -> list[int]:
-        if not text:
-            return []
-        # regular: every white space is one space or line feed between two other characters;
-        # no other white space is printable
-        flat = text.replace("\n", " ")
-        if (flat.isprintable() and "  " not in flat and " " not in (flat[0], flat[-1])) or flat.split(" ") == text.split():
-            parts = text.replace("\n", " \n").split(" ")
-            row = list(map(self.spaced.__getitem__, parts[1:]))
-            row.insert(0, self.exact[parts[0]])
-            return row
-        if UNSURE.search(text):
-            return [self.exact[text]]
-        return list(map(self.exact.__getitem__, PIECES.findall(text)))
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        if self.count > self.remember:
+                self.number[at] = numbers[own]
+            placed.append(own)
+            left = left[~first]
+        return np.concatenate([np.zeros(0, np.int64), *placed])
+
+    def _numbers(self, data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The number of each piece, and the positions of one of each that is new."""
+        eight = np.ndarray(len(data) - 7, "<u8", data, strides=(1,))  # the eight bytes from each byte on
+        low = eight[starts] & MASKS[np.minimum(sizes, 8)]
+        high = (eight[starts + 8] & MASKS[np.clip(sizes - 8, 0, 7)]) | (sizes.astype(np.uint64) << np.uint64(56))
+        short = np.flatnonzero(sizes <= SHORT)
+        low, high = low[short], high[short]
+        numbers = np.zeros(len(starts), np.int64)
+        numbers[short] = self.number[self._find(low, high)]
+        unknown = np.flatnonzero(numbers[short] == 0)
+        new = short[unknown[self._place(low[unknown], high[unknown])]]
+        numbers[short[unknown]] = self.number[self._find(low[unknown], high[unknown])]
+        new_long = []
+        for i in np.flatnonzero(sizes > SHORT).tolist():
+            key = data[starts[i] : starts[i] + sizes[i]].tobytes()
+            number = self.long.get(key)
+            if number is None:
+                self.long[key] = number = self.count
+                self.count += 1
+                new_long.append(i)
+            numbers[i] = number
+        return numbers, np.append(new, np.array(new_long, np.int64))
+
+    def _encode_new(self, data: np.ndarray, kinds: np.ndarray, numbers: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> None:
+        """Ids of the new pieces: many are encoded as one text, which is cut where their bytes end."""
+        others = np.append(0, np.cumsum(kinds != LETTER, dtype=np.int32))
+        others = others[starts + sizes] - others[starts] - (data[starts] == ord(" "))
+        words, rest = np.flatnonzero(others == 0), np.flatnonzero(others > 0)
+        # words in the letters of their bytes, a space before each
+        ends = np.cumsum(sizes[words] + 1)
+        letters = np.full(ends[-1] if len(words) else 0, ord(" "), np.uint16)
+        letters[_spans(ends - sizes[words], sizes[words])] = LETTERS[data[_spans(starts[words], sizes[words])]]
+        ends = np.append(0, ends)[[*range(0, len(words), TOGETHER), len(words)]].tolist()
+        text = letters.astype("<u2").tobytes().decode("utf-16-le")
+        failed = self._cut(self.words, [text[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)], numbers[words], sizes[words], sizes[words])
+        # a line feed before pieces without white space keeps them apart from the last one; its id is left out
+        raw = data.tobytes()
+        texts = [raw[a : a + n].decode() for a, n in zip(starts[rest].tolist(), sizes[rest].tolist(), strict=True)]
+        together = kinds[starts[rest] + sizes[rest] - 1] != WHITE
+        joined = rest[together]
+        bare = kinds[starts[joined]] != WHITE
+        parts = [("\n" if b else "") + texts[i] for i, b in zip(np.flatnonzero(together).tolist(), bare.tolist(), strict=True)]
+        groups = ["".join(parts[i : i + TOGETHER]) for i in range(0, len(parts), TOGETHER)]
+        failed_rest = self._cut(self.tokenizer, groups, numbers[joined], sizes[joined] + bare, sizes[joined])
+        alone = np.concatenate([words[failed], joined[failed_rest], rest[~together]])
+        if len(alone):
+            coded = self._ids(self.tokenizer, [raw[a : a + n].decode() for a, n in zip(starts[alone].tolist(), sizes[alone].tolist(), strict=True)])
+            self._store(numbers[alone], np.concatenate(coded), np.array([len(x) for x in coded]))
+
+    def _cut(self, tokenizer, groups: list[str], numbers: np.ndarray, spaced: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Stores the ids of pieces from texts of TOGETHER pieces each; positions of those of texts that can't be cut.
+
+        A piece takes ``spaced`` bytes of a text, of which the last ``sizes`` are its own.
+        """
+        failed = [np.zeros(0, np.int64)]
+        for k, coded in enumerate(self._ids(tokenizer, groups)):
+            group = slice(k * TOGETHER, (k + 1) * TOGETHER)
+            ends = np.append(0, np.cumsum(self.lengths[coded]))
+            wanted = np.cumsum(spaced[group])
+            last, first = np.searchsorted(ends, wanted), np.searchsorted(ends, wanted - sizes[group])
+            if ends[-1] == wanted[-1] and (ends[last] == wanted).all() and (ends[first] == wanted - sizes[group]).all():
+                self._store(numbers[group], coded[_spans(first, last - first)], last - first)
+            else:
+                failed.append(np.arange(len(numbers))[group])
+        return np.concatenate(failed)
+
+    def _ids(self, tokenizer, texts: list[str]) -> list[np.ndarray]:
+        return [np.asarray(e.ids, np.int32) for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)] if texts else []
+
+    def encode(self, texts: pa.Array | Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+        if self.count > self.remember or self.used > self.remember * IDS_EACH:
             self._forget()
-        rows, counts = [], []
-        collecting = gc.isenabled()
-        gc.disable()  # millions of short-lived strings and no cycles
-        try:
-            for text in texts:
-                row = self._pieces(text)
-                row.append(0)
-                counts.append(len(row))
-                rows.extend(row)
-            if self.new or self.derived:
-                self._encode_new()
-        finally:
-            if collecting:
-                gc.enable()
-        at = np.array(rows, np.int64)
+        data, bounds = _bytes(texts)
+        kinds = _kinds(data)
+        white, length = kinds == WHITE, int(bounds[-1])
+        cut = np.zeros(len(data), bool)
+        cut[1:] = (white[1:] > white[:-1]) | ((kinds[1:] == SIGN) & (kinds[:-1] == LETTER))
+        cut[bounds] = True
+        starts = np.flatnonzero(cut[:length])
+        sizes = np.diff(starts, append=length)
+        numbers, new = self._numbers(data, starts, sizes)
+        if len(new):
+            self._encode_new(data, kinds, numbers[new], starts[new], sizes[new])
+        # the end of a text stands behind its last piece
+        at = np.insert(numbers, np.searchsorted(starts, bounds[1:]), 0)
         uses = np.bincount(at, minlength=self.count)
         uses[: len(self.uses)] += self.uses
         self.uses = uses
         ids, sizes = self._gather(at)
-        ends, bounds = np.cumsum(sizes), np.cumsum(counts)
-        return ids, np.diff(ends[bounds - 1], prepend=0) if len(bounds) else np.zeros(0, np.int64)
+        ends = np.append(0, np.cumsum(sizes))
+        return ids, np.diff(ends[np.append(0, np.flatnonzero(at == 0) + 1)])
 
 
 def worker_encoder(path: str, end: int | None = None) -> PieceEncoder:
@@ -184,5 +286,7 @@ def worker_encoder(path: str, end: int | None = None) -> PieceEncoder:
     store = sys.modules.setdefault("_newsloom_encoders", types.ModuleType("_newsloom_encoders"))
     key = f"{end}:{path}"
     if not hasattr(store, key):
+        # Spark has a task for each core already
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         setattr(store, key, PieceEncoder(path, end))
     return getattr(store, key)

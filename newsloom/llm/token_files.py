@@ -21,7 +21,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from newsloom.llm.common import pick, texts_of
+from newsloom.llm.common import pick
 from newsloom.llm.encoder import worker_encoder
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -64,7 +64,7 @@ def _coder(path: str, end: int | None):
         encoder, shard, start = worker_encoder(path, end), TaskContext.get().partitionId(), 0
         for rows in batches:
             for a, b in _chunks(rows.column(1)):
-                ids, sizes = encoder.encode(texts_of(rows.column(1).slice(a, b - a)))
+                ids, sizes = encoder.encode(rows.column(1).slice(a, b - a))
                 ends = np.cumsum(sizes)
                 lists = pa.ListArray.from_arrays(pa.array(np.append(0, ends), pa.int32()), pa.array(ids))
                 yield pa.RecordBatch.from_arrays(
